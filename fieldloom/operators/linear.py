@@ -4,6 +4,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PolynomialExpansion
@@ -175,6 +176,9 @@ def fit_polynomial_pipeline(
 
 def coefficient_table(df: DataFrame, model) -> DataFrame:
     """Coefficients of a fitted model as rows (idx, coefficient), the intercept at -1."""
-    values = [(-1, float(model.intercept))]
-    values += [(i, float(x)) for i, x in enumerate(model.coefficients.toArray())]
-    return df.sparkSession.createDataFrame(values, "idx int, coefficient double")
+    coefficients = model.coefficients.toArray()
+    rows = pa.table({
+        "idx": pa.array(np.arange(-1, len(coefficients)), pa.int32()),
+        "coefficient": np.concatenate([[model.intercept], coefficients]),
+    })
+    return df.sparkSession.createDataFrame(rows)

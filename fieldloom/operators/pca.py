@@ -80,8 +80,9 @@ def column_means(df: DataFrame, features: str = "features") -> DataFrame:
 def center(df: DataFrame, features: str = "features", output: str = "centered") -> DataFrame:
     """Add the array of each row's differences from the column means."""
     mean = df.select(vector_to_array(Summarizer.mean(as_vector(df, features)))).scalar()
-    difference = F.zip_with(dense_array(df, features), mean, lambda x, m: x - m)
-    return df.withColumn(output, difference)
+    # A subquery may not stand inside an array function, so it gets a column first.
+    difference = F.zip_with(dense_array(df, features), F.col("__mean"), lambda x, m: x - m)
+    return df.withColumn("__mean", mean).withColumn(output, difference).drop("__mean")
 
 
 def matrix_table(spark: SparkSession, matrix: np.ndarray, value: str) -> DataFrame:
