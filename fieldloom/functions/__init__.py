@@ -1,6 +1,6 @@
 from .digest import md5_bucket
 from .numeric import clamped_sigmoid, dot, label_loss
-from .vectors import dense_array, dense_vector, sparse_vector, vector_entries, vector_sparsity
+from .vectors import dense_array, dense_vector, sparse_vector, stored_vector, vector_entries, vector_sparsity
 from .words import clean_word, is_kept, lines_to_words
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "lines_to_words",
     "md5_bucket",
     "sparse_vector",
+    "stored_vector",
     "vector_entries",
     "vector_sparsity",
 ]

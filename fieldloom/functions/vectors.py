@@ -27,6 +27,16 @@ def as_vector(df: DataFrame, column: str) -> Column:
     return dense_vector(F.col(column))
 
 
+def stored_vector(size: int, indices: Column, values: Column) -> Column:
+    """The fields in which a sparse vector is stored, as a plain struct."""
+    return F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).cast("int").alias("size"),
+        indices.cast("array<int>").alias("indices"),
+        values.cast("array<double>").alias("values"),
+    )
+
+
 def sparse_vector(size: int, indices: Column, values: Column) -> Column:
     """A sparse vector from ascending, unique indices and their values.
 
@@ -34,12 +44,7 @@ def sparse_vector(size: int, indices: Column, values: Column) -> Column:
     the zeros. The JSON reader builds the type from its stored fields without a
     Python worker.
     """
-    stored = F.struct(
-        F.lit(0).cast("tinyint").alias("type"),
-        F.lit(size).cast("int").alias("size"),
-        indices.cast("array<int>").alias("indices"),
-        values.cast("array<double>").alias("values"),
-    )
+    stored = stored_vector(size, indices, values)
     return F.from_json(F.to_json(F.struct(stored.alias("v"))), _WRAPPED)["v"]
 
 

@@ -13,12 +13,19 @@ STOP_WORDS = (
     "if", "with", "you", "or",
 )
 
-_BREAKS = " |\r\n|\r|\n"
+# What ends a line, the longest first.
+_LINE_ENDS = ("\r\n", "\n", "\r")
 
 
 def lines_to_words(text: Column) -> Column:
-    """Pieces between single spaces of every line; empty pieces are kept."""
-    return F.split(text, _BREAKS)
+    """Pieces between single spaces of every line; empty pieces are kept.
+
+    A line end separates just as one space does. Putting spaces first lets the
+    split run on a single character instead of a pattern.
+    """
+    for end in _LINE_ENDS:
+        text = F.replace(text, F.lit(end), F.lit(" "))
+    return F.split(text, " ")
 
 
 def clean_word(word: Column, punctuation: str = PUNCTUATION) -> Column:

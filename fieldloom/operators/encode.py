@@ -1,13 +1,15 @@
 """One-hot dictionaries, one-hot vectors and hashed features."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.digest import check_buckets, digest_bucket
-from ..functions.vectors import sparse_vector, vector_sparsity
-from ..storage import materialize
+from ..functions.vectors import sparse_vector, stored_vector, vector_sparsity
+from ..storage import materialize, materialize_vectors
 
 # A dictionary is sent to every executor up to this size, estimated from its
 # category texts plus the fixed cost of an entry. Larger ones are joined by shuffle.
@@ -15,6 +17,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _ENTRY_BYTES = 64
 # Rows with more categories than this are encoded through the shuffled join.
 MAX_CHAINED_JOINS = 64
+_JOINS_PER_STAGE = 8
 # A pair is hot when it holds more than this share of the sampled pairs, so there
 # can be at most 1 / HOT_SHARE hot pairs.
 HOT_SHARE = 0.001
@@ -59,6 +62,13 @@ def category_counts(df: DataFrame, column: str = "feature") -> DataFrame:
     )
 
 
+def _measures() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("size"),
+        F.coalesce(F.sum(F.octet_length("category")), F.lit(0)).alias("text"),
+    ]
+
+
 @dataclass(frozen=True)
 class OneHotDictionary:
     """A table (feature_id, category, idx) with its measured size."""
@@ -69,10 +79,8 @@ class OneHotDictionary:
 
     @classmethod
     def of(cls, frame: DataFrame) -> "OneHotDictionary":
-        row = frame.agg(
-            F.count(F.lit(1)).alias("size"),
-            F.coalesce(F.sum(F.octet_length("category")), F.lit(0)).alias("text"),
-        ).first()
+        """Measure a table that is already numbered 0..n-1."""
+        row = frame.agg(*_measures()).first()
         return cls(frame, row["size"], row["text"] + row["size"] * _ENTRY_BYTES)
 
 
@@ -80,10 +88,11 @@ def build_dictionary(df: DataFrame, column: str = "feature") -> OneHotDictionary
     """Number the distinct pairs 0..n-1 in the order (feature_id, category).
 
     Pairs are sorted by range partitioning, numbered inside each partition, and
-    shifted by the sizes of the partitions before it. Only those sizes, one per
-    partition, are ever brought together, and a feature with most of the
+    shifted by the sizes of the partitions before it. Only those sizes, one row
+    per partition, are ever brought together, and a feature with most of the
     categories is cut into as many ranges as it needs.
     """
+    spark = df.sparkSession
     ranges = (
         distinct_pairs(df, column)
         .repartitionByRange(*_PAIR)
@@ -97,17 +106,50 @@ def build_dictionary(df: DataFrame, column: str = "feature") -> OneHotDictionary
         F.shiftright("__slot", _PLACE_BITS).alias("__range"),
         F.col("__slot").bitwiseAND((1 << _PLACE_BITS) - 1).alias("__place"),
     )
-    sizes = numbered.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
-    before = F.sum("__size").over(Window.orderBy("__range")) - F.col("__size")
-    offsets = sizes.select("__range", before.alias("__offset"))
+    sizes = numbered.groupBy("__range").agg(*_measures()).orderBy("__range").collect()
+    before = accumulate((row["size"] for row in sizes), initial=0)
+    offsets = spark.createDataFrame(
+        [(row["__range"], offset) for row, offset in zip(sizes, before)],
+        "__range long, __offset long",
+    )
     frame = numbered.join(F.broadcast(offsets), "__range").select(
         *_PAIR, (F.col("__offset") + F.col("__place")).alias("idx")
     )
-    return OneHotDictionary.of(materialize(frame, "dictionary-index"))
+    size = sum(row["size"] for row in sizes)
+    return OneHotDictionary(
+        frame, size, sum(row["text"] for row in sizes) + size * _ENTRY_BYTES
+    )
+
+
+def _unique_pairs(column: str) -> Column:
+    """The pairs of a row, each once.
+
+    Rows of pairwise different features, the usual case, are recognized by their
+    short feature numbers and skip the comparison of whole pairs.
+    """
+    features = F.col(column)["_1"]
+    return F.when(
+        F.size(F.array_distinct(features)) == F.size(column), F.col(column)
+    ).otherwise(F.array_distinct(column))
 
 
 def _ones(indices: Column) -> Column:
-    return F.transform(indices, lambda _: F.lit(1.0))
+    return F.array_repeat(F.lit(1.0), F.size(indices))
+
+
+def _with_vector(
+    df: DataFrame,
+    kept: list[str],
+    output: str,
+    size: int,
+    indices: Column,
+    values: Column,
+    written: bool,
+) -> DataFrame:
+    if written:
+        stored = df.select(*kept, stored_vector(size, indices, values).alias(output))
+        return materialize_vectors(stored, output, "features")
+    return df.select(*kept, sparse_vector(size, indices, values).alias(output))
 
 
 def _widest(df: DataFrame, column: str) -> int:
@@ -115,58 +157,67 @@ def _widest(df: DataFrame, column: str) -> int:
 
 
 def _encode_in_row(
-    df: DataFrame, dictionary: OneHotDictionary, column: str, output: str, width: int
+    df: DataFrame, dictionary: OneHotDictionary, column: str, kept: list[str], width: int
 ) -> DataFrame:
     """Look up each position of the array by a broadcast join: no shuffle.
 
     All joins share one broadcast of the dictionary.
     """
-    kept = df.columns
-    checked = F.when(F.size(column) <= width, F.array_distinct(column)).otherwise(
+    checked = F.when(F.size(column) <= width, _unique_pairs(column)).otherwise(
         F.raise_error(F.lit(f"a row has more than {width} categories"))
     )
-    df = df.withColumn("__pairs", F.when(F.col(column).isNotNull(), checked))
-    for i in range(width):
-        entry = dictionary.frame.select(
-            F.col("feature_id").alias("__f"), F.col("category").alias("__c"),
-            F.col("idx").alias(f"__i{i}"),
-        )
-        pair = F.get("__pairs", F.lit(i))
-        match = (pair["_1"] == F.col("__f")) & (pair["_2"] == F.col("__c"))
-        df = df.join(F.broadcast(entry), match, "left").drop("__f", "__c")
-    found = F.array(*[F.col(f"__i{i}") for i in range(width)]).cast("array<int>")
-    indices = F.array_sort(F.array_compact(found))
-    return df.select(*kept, sparse_vector(dictionary.size, indices, _ones(indices)).alias(output))
-
-
-def _hot_pairs(pairs: DataFrame, dictionary: OneHotDictionary) -> DataFrame:
-    """Frequent pairs with their index, or no index if unknown: at most 1 / HOT_SHARE rows."""
-    counts = (
-        pairs.select(*_PAIR)
-        .sample(HOT_SAMPLE, _SAMPLE_SEED)
-        .groupBy(*_PAIR)
-        .agg(F.count(F.lit(1)).alias("__n"))
+    df = df.select(
+        *kept,
+        F.when(F.col(column).isNotNull(), checked).alias("__pairs"),
+        F.array().cast("array<int>").alias("__found"),
     )
+    for start in range(0, width, _JOINS_PER_STAGE):
+        places = range(start, min(start + _JOINS_PER_STAGE, width))
+        for i in places:
+            entry = dictionary.frame.select(
+                F.col("feature_id").alias("__f"),
+                F.col("category").alias("__c"),
+                F.col("idx").cast("int").alias(f"__i{i}"),
+            )
+            pair = F.get("__pairs", F.lit(i))
+            match = (pair["_1"] == F.col("__f")) & (pair["_2"] == F.col("__c"))
+            df = df.join(F.broadcast(entry), match, "left").drop("__f", "__c")
+        # Collecting what was found ends a stage of generated code, which keeps
+        # each within the size that the JVM compiles.
+        new = F.array_compact(F.array(*[F.col(f"__i{i}") for i in places]))
+        df = df.select(*kept, "__pairs", F.concat("__found", new).alias("__found"))
+    return df.select(*kept, F.sort_array("__found").alias("__indices"))
+
+
+def _hot_pairs(df: DataFrame, dictionary: OneHotDictionary, column: str) -> DataFrame:
+    """Frequent pairs with their index, or no index if unknown: at most 1 / HOT_SHARE rows.
+
+    The sample only decides which pairs take which way; both ways are exact.
+    """
+    sample = df.select(column).sample(HOT_SAMPLE, _SAMPLE_SEED)
+    counts = explode_pairs(sample, column).groupBy(*_PAIR).agg(F.count(F.lit(1)).alias("__n"))
     counts = materialize(counts, "pair-sample")
     limit = counts.agg(F.sum("__n") * HOT_SHARE).scalar()
-    hot = counts.filter(F.col("__n") > limit).select(*_PAIR)
-    return materialize(hot.join(dictionary.frame, _PAIR, "left"), "hot-pairs")
+    hot = counts.filter(F.col("__n") > limit).select(*_PAIR).dropna()
+    known = dictionary.frame.join(F.broadcast(hot), _PAIR)
+    return materialize(hot.join(F.broadcast(known), _PAIR, "left"), "hot-pairs")
 
 
 def _encode_by_shuffle(
-    df: DataFrame, dictionary: OneHotDictionary, column: str, output: str, row_id: str
+    df: DataFrame, dictionary: OneHotDictionary, column: str, kept: list[str], row_id: str
 ) -> DataFrame:
     """Join exploded pairs with the dictionary, then regroup them by row.
 
     Frequent pairs, known or not, are found in a sample and looked up by
-    broadcast, so no join key of the shuffle holds a large share of the rows.
+    broadcast, and missing ones need no look-up, so no join key of the shuffle
+    holds a large share of the rows.
     """
-    kept = df.columns
-    payload = F.struct(*[F.col(name) for name in kept if name != row_id])
+    # The constant keeps the struct valid when there is nothing else to carry.
+    payload = F.struct(F.lit(0).alias("__"), *[F.col(name) for name in kept if name != row_id])
     exploded = df.select(
         row_id,
         payload.alias("__row"),
-        F.posexplode_outer(F.array_distinct(column)).alias("__pos", "__pair"),
+        F.posexplode_outer(_unique_pairs(column)).alias("__pos", "__pair"),
     ).select(
         row_id,
         # The row itself travels with its first pair only.
@@ -174,10 +225,13 @@ def _encode_by_shuffle(
         F.col("__pair")["_1"].alias("feature_id"),
         F.col("__pair")["_2"].alias("category"),
     )
-    hot = _hot_pairs(exploded.filter(F.col("feature_id").isNotNull()), dictionary)
-    by_broadcast = exploded.join(F.broadcast(hot), _PAIR)
-    rest = exploded.join(F.broadcast(hot), _PAIR, "left_anti")
-    by_shuffle = rest.join(dictionary.frame.hint("merge"), _PAIR, "left")
+    missing = F.col("feature_id").isNull() | F.col("category").isNull()
+    hot = _hot_pairs(df, dictionary, column).withColumn("__hot", F.lit(True))
+    by_broadcast = exploded.join(F.broadcast(hot), _PAIR, "left").filter(
+        F.col("__hot") | missing
+    )
+    rest = exploded.filter(~missing).join(F.broadcast(hot), _PAIR, "left_anti")
+    by_shuffle = rest.join(dictionary.frame, _PAIR, "left")
     names = [row_id, "__row", "idx"]
     grouped = (
         by_broadcast.select(*names)
@@ -185,16 +239,13 @@ def _encode_by_shuffle(
         .groupBy(row_id)
         .agg(
             F.first("__row", ignorenulls=True).alias("__row"),
-            F.array_sort(F.collect_list(F.col("idx").cast("int"))).alias("__indices"),
+            F.sort_array(F.collect_list(F.col("idx").cast("int"))).alias("__indices"),
         )
     )
     columns = [
         F.col(name) if name == row_id else F.col("__row")[name].alias(name) for name in kept
     ]
-    indices = F.col("__indices")
-    return grouped.select(
-        *columns, sparse_vector(dictionary.size, indices, _ones(indices)).alias(output)
-    )
+    return grouped.select(*columns, "__indices")
 
 
 def one_hot_encode(
@@ -205,6 +256,8 @@ def one_hot_encode(
     row_id: str | None = None,
     width: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    keep: Sequence[str] | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Add a sparse vector with 1.0 at the index of each pair of the row.
 
@@ -212,16 +265,23 @@ def one_hot_encode(
     the dictionary. A dictionary within ``broadcast_bytes`` is looked up in place.
     A larger one, or a row of very many pairs, needs a unique ``row_id`` column to
     put rows together again after the shuffle. ``width``, the most pairs in any
-    row, is measured if not given.
+    row, is measured if not given. ``keep`` names the columns to keep, all if not
+    given. ``written`` rows are computed once, into the shared folder, and read
+    from there by every later use.
     """
+    kept = df.columns if keep is None else list(keep)
+    found = None
     if dictionary.bytes <= broadcast_bytes:
         if width is None:
             width = _widest(df, column)
         if width <= MAX_CHAINED_JOINS:
-            return _encode_in_row(df, dictionary, column, output, width)
-    if row_id is None:
-        raise ValueError("this dictionary is too large to broadcast: name a unique row_id column")
-    return _encode_by_shuffle(df, dictionary, column, output, row_id)
+            found = _encode_in_row(df, dictionary, column, kept, width)
+    if found is None:
+        if row_id is None:
+            raise ValueError("too large to encode by broadcast: name a unique row_id column")
+        found = _encode_by_shuffle(df, dictionary, column, kept, row_id)
+    indices = F.col("__indices")
+    return _with_vector(found, kept, output, dictionary.size, indices, _ones(indices), written)
 
 
 def hash_features(
@@ -229,25 +289,33 @@ def hash_features(
     column: str = "feature",
     output: str = "features",
     buckets: int = HASH_BUCKETS,
+    keep: Sequence[str] | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Add a sparse vector of how many pairs of the row fall into each bucket.
 
     A pair's bucket is the md5 digest of ``category:feature_id`` modulo the number
     of buckets; a pair that occurs twice counts once. Everything happens inside
-    the row, without a shuffle.
+    the row, without a shuffle. ``keep`` and ``written`` are as for
+    ``one_hot_encode``.
     """
     check_buckets(buckets)
+    kept = df.columns if keep is None else list(keep)
     keys = F.transform(
-        F.array_distinct(column),
+        _unique_pairs(column),
         lambda pair: F.md5(F.concat(pair["_2"], F.lit(":"), pair["_1"].cast("string"))),
     )
     hits = F.transform(keys, lambda digest: digest_bucket(digest, buckets).cast("int"))
-    df = df.withColumn("__hits", hits)
-    indices = F.array_sort(F.array_distinct("__hits"))
-    counts = F.transform(
-        indices, lambda i: (F.size("__hits") - F.size(F.array_remove("__hits", i))).cast("double")
+    df = df.withColumn("__hits", F.coalesce(hits, F.array().cast("array<int>")))
+    df = df.withColumn("__indices", F.sort_array(F.array_distinct("__hits")))
+    indices = F.col("__indices")
+    # Most rows have no two pairs in one bucket, hence nothing to count.
+    counts = F.when(F.size("__hits") == F.size(indices), _ones(indices)).otherwise(
+        F.transform(
+            indices, lambda i: (F.size("__hits") - F.size(F.array_remove("__hits", i))).cast("double")
+        )
     )
-    return df.withColumn(output, sparse_vector(buckets, indices, counts)).drop("__hits")
+    return _with_vector(df, kept, output, buckets, indices, counts, written)
 
 
 def add_sparsity(df: DataFrame, vector: str = "features", output: str = "sparsity") -> DataFrame:

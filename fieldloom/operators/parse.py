@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 
 
 def _fields(column: str, sep: str) -> Column:
-    return F.split(F.col(column), r"\Q" + sep + r"\E")
+    # Patterns of one plain or escaped character are split without a regular
+    # expression.
+    if len(sep) == 1:
+        pattern = "\\" + sep if sep in r".$|()[]{}^?*+\-" else sep
+    else:
+        pattern = r"\Q" + sep + r"\E"
+    return F.split(F.col(column), pattern)
 
 
 def _after_first(fields: Column) -> Column:

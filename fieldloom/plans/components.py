@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from ..operators import pca as ops
-from .inputs import DOCUMENT_SIZES_SQL, document_sizes, rounded, table
+from ..sources import read_table
+from .inputs import DOCUMENT_SIZES_SQL, document_sizes, rounded
 
 
 def column_means(spark, folder):
-    means = ops.column_means(table(spark, folder, "embeddings"), "embedding")
+    means = ops.column_means(read_table(spark, folder, "embeddings"), "embedding")
     return means.select(F.col("i").cast("bigint").alias("i"), rounded("mean").alias("mean"))
 
 
@@ -27,7 +28,7 @@ def _covariance(df, features):
 
 
 def covariance(spark, folder):
-    return _covariance(table(spark, folder, "embeddings"), "embedding")
+    return _covariance(read_table(spark, folder, "embeddings"), "embedding")
 
 
 def covariance_2d(spark, folder):
@@ -63,7 +64,7 @@ def pca_scores_2d(spark, folder):
 
 
 def pca_eigen_moments(spark, folder):
-    values = ops.pca(table(spark, folder, "embeddings"), "embedding", k=2).eigenvalues
+    values = ops.pca(read_table(spark, folder, "embeddings"), "embedding", k=2).eigenvalues
     rows = [(round(float(values.sum()), 6), round(float((values**2).sum()), 6))]
     return spark.createDataFrame(rows, "total double, total_squares double")
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..functions.vectors import vector_entries
 from ..operators import encode
 from ..operators.split import with_split
-from .inputs import CLICKS_SQL, DICTIONARY_SQL, clicks, rounded, table
+from ..sources import read_table
+from .inputs import CLICKS_SQL, DICTIONARY_SQL, clicks, rounded
 
 _BUCKETS = 32768
 _FOLD_BUCKETS = 1000
@@ -32,10 +33,15 @@ def ohe_dictionary(spark, folder):
     )
 
 
+_KEPT = ["o_orderkey", "split"]
+
+
 def _encoded(spark, folder, **options):
     rows = clicks(spark, folder)
     dictionary = encode.build_dictionary(_train(rows))
-    return encode.one_hot_encode(rows, dictionary, row_id="o_orderkey", **options)
+    return encode.one_hot_encode(
+        rows, dictionary, row_id="o_orderkey", **{"keep": _KEPT, **options}
+    )
 
 
 def _entries(df, index="idx", value="value"):
@@ -57,7 +63,7 @@ def ohe_encode_shuffled(spark, folder):
 
 
 def ohe_unseen(spark, folder):
-    encoded = _encoded(spark, folder, width=4)
+    encoded = _encoded(spark, folder, width=4, keep=[*_KEPT, "feature"])
     stored = F.unwrap_udt("features")
     held_out = encoded.filter(F.col("split") != "train")
     return held_out.groupBy("split").agg(
@@ -68,11 +74,11 @@ def ohe_unseen(spark, folder):
 
 
 def hash_features(spark, folder):
-    return _entries(encode.hash_features(clicks(spark, folder)), "bucket", "hits")
+    return _entries(encode.hash_features(clicks(spark, folder), keep=_KEPT), "bucket", "hits")
 
 
 def hash_features_fold(spark, folder):
-    customers = table(spark, folder, "customer")
+    customers = read_table(spark, folder, "customer")
     pairs = [
         F.struct(F.lit(i).cast("short").alias("_1"), F.col(name).cast("string").alias("_2"))
         for i, name in enumerate(["c_name", "c_nationkey", "c_mktsegment"])
@@ -87,7 +93,7 @@ def hash_features_fold(spark, folder):
 
 def sparsity(spark, folder):
     one_hot = encode.mean_sparsity(_train(_encoded(spark, folder, width=4)))
-    hashed = encode.mean_sparsity(_train(encode.hash_features(clicks(spark, folder))))
+    hashed = encode.mean_sparsity(_train(encode.hash_features(clicks(spark, folder), keep=_KEPT)))
     return one_hot.select(
         F.lit("one_hot").alias("encoding"), rounded("sparsity", 9).alias("sparsity")
     ).unionByName(

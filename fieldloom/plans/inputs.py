@@ -5,15 +5,12 @@ from pyspark.sql import functions as F
 
 from ..operators.parse import parse_categorical
 from ..operators.split import split_limits, with_split
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+from ..sources import read_table, spread
 
 
 def order_point_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as lines ``year,x0,x1,x2``."""
-    orders = table(spark, folder, "orders")
+    orders = read_table(spark, folder, "orders")
     line = F.concat_ws(
         ",",
         F.year("o_orderdate").cast("double").cast("string"),
@@ -33,7 +30,7 @@ points AS (
 
 def order_click_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as tab-separated lines: a 0/1 label and four categories, one at times empty."""
-    orders = table(spark, folder, "orders")
+    orders = spread(read_table(spark, folder, "orders"))
     customer = F.col("o_custkey")
     line = F.concat_ws(
         "\t",
@@ -85,7 +82,7 @@ def document_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
     The features are pieces between spaces, in hundreds, and lines, in tens.
     """
-    documents = table(spark, folder, "documents")
+    documents = spread(read_table(spark, folder, "documents"))
     sized = documents.select(
         "doc_id",
         (F.col("n_chars") / 1000).alias("label"),
@@ -107,7 +104,7 @@ sized AS (
 
 def price_points(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as ``label`` (price) and three scaled features."""
-    return table(spark, folder, "lineitem").select(
+    return read_table(spark, folder, "lineitem").select(
         (F.col("l_extendedprice") / 10000).alias("label"),
         F.array(
             F.col("l_quantity") / 50, F.col("l_discount") * 10, F.col("l_tax") * 10

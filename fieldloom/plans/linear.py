@@ -9,6 +9,7 @@ from ..operators import linear as lin
 from ..operators.evaluate import add_baseline, compare_models, rmse
 from ..operators.parse import parse_numeric_points
 from ..operators.split import with_split
+from ..sources import read_table
 from .inputs import (
     DOCUMENT_SIZES_SQL,
     ORDER_POINTS_SQL,
@@ -18,7 +19,6 @@ from .inputs import (
     price_points,
     rounded,
     split_sql,
-    table,
 )
 
 _ITERATIONS = 50
@@ -132,7 +132,7 @@ def pipeline_mean_identity(spark, folder):
 
 
 def model_comparison(spark, folder):
-    orders = table(spark, folder, "orders").select(
+    orders = read_table(spark, folder, "orders").select(
         "o_orderkey",
         (F.col("o_totalprice") / 100000).alias("label"),
         F.array((F.col("o_custkey") % 100) / 100).alias("features"),

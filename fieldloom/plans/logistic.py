@@ -19,6 +19,7 @@ from ..operators.logistic import (
     fit_logistic,
     fit_logistic_hashed,
 )
+from ..sources import read_table
 from .encoding import bucket_sql
 from .inputs import (
     CLICKS_SQL,
@@ -27,10 +28,9 @@ from .inputs import (
     clicks,
     document_sizes,
     rounded,
-    table,
 )
 
-_CONVERGED = {"maxIter": 500, "tol": 1e-12}
+_CONVERGED = {"maxIter": 500, "tol": 1e-9}
 _WEIGHTS = (0.8, -0.5)
 _INTERCEPT = 0.1
 
@@ -42,7 +42,7 @@ def _part(df, name):
 def _labelled_documents(spark, folder):
     """Documents that have a quality label, with the label and two features."""
     sizes = document_sizes(spark, folder).drop("label")
-    labels = table(spark, folder, "labels").select(
+    labels = read_table(spark, folder, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label")
     )
     return sizes.join(labels, "doc_id")
@@ -51,7 +51,7 @@ def _labelled_documents(spark, folder):
 def log_loss_edges(spark, folder):
     case = F.col("doc_id") % 5
     p = F.when(case == 0, 0.0).when(case == 1, 0.01).when(case == 2, 0.5).when(case == 3, 0.99)
-    rows = table(spark, folder, "labels").select(
+    rows = read_table(spark, folder, "labels").select(
         "doc_id", p.otherwise(1.0).alias("p"), F.col("quality").alias("label")
     )
     return add_log_loss(rows).select("doc_id", rounded("log_loss").alias("log_loss"))
@@ -114,20 +114,22 @@ def _slopes(scored, model, reg, mixing):
         F.greatest(F.abs(slope) - reg * mixing, F.lit(0.0))
     )
     joined = sums.join(coefficient_table(scored, model), "idx").withColumn("rows", rows)
-    return joined.select(F.col("idx").cast("bigint").alias("idx"), rounded(excess, 5).alias("excess"))
+    return joined.select(F.col("idx").cast("bigint").alias("idx"), rounded(excess, 6).alias("excess"))
 
 
 def logistic_one_hot_optimum(spark, folder):
     rows = clicks(spark, folder)
     train = _part(rows, "train")
-    encoded = one_hot_encode(train, build_dictionary(train), width=4, row_id="o_orderkey")
+    encoded = one_hot_encode(
+        train, build_dictionary(train), width=4, keep=["label"], written=True
+    )
     model = fit_logistic(encoded, **_CONVERGED)
     scored = add_probability(encoded, model)
     return _slopes(scored, model, ONE_HOT_SETTINGS["regParam"], ONE_HOT_SETTINGS["elasticNetParam"])
 
 
 def logistic_hashed_optimum(spark, folder):
-    train = hash_features(_part(clicks(spark, folder), "train"))
+    train = hash_features(_part(clicks(spark, folder), "train"), keep=["label"], written=True)
     model = fit_logistic_hashed(train, **_CONVERGED)
     scored = add_probability(train, model)
     return _slopes(scored, model, HASHED_SETTINGS["regParam"], HASHED_SETTINGS["elasticNetParam"])
@@ -137,10 +139,11 @@ def click_model_comparison(spark, folder):
     """Baseline against unpenalized models on one category, whose optimum is its mean label."""
     rows = clicks(spark, folder).withColumn("feature", F.slice("feature", 2, 1))
     train = _part(rows, "train")
-    encoded = one_hot_encode(rows, build_dictionary(train), width=1, row_id="o_orderkey")
+    kept = ["split", "label", "feature"]
+    encoded = one_hot_encode(rows, build_dictionary(train), width=1, keep=kept, written=True)
     one_hot = fit_logistic(_part(encoded, "train"), regParam=0.0, **_CONVERGED)
     scored = add_probability(encoded, one_hot, output="one_hot").drop("features")
-    hashed = hash_features(scored)
+    hashed = hash_features(scored, keep=["split", "label", "one_hot"], written=True)
     model = fit_logistic_hashed(_part(hashed, "train"), regParam=0.0, **_CONVERGED)
     scored = add_probability(hashed, model, output="hashed")
     scored = scored.withColumn("baseline", train.agg(F.avg("label")).scalar())

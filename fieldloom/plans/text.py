@@ -11,7 +11,7 @@ from ..operators.parse import (
 )
 from ..operators.split import random_split, with_split
 from ..operators.tokens import tokenize, word_count as count_words
-from ..sources import read_lines
+from ..sources import read_lines, read_table, spread
 from ..storage import new_path
 from .inputs import (
     CLICKS_SQL,
@@ -20,20 +20,20 @@ from .inputs import (
     order_point_lines,
     rounded,
     split_sql,
-    table,
 )
 
 
 def word_count(spark, folder):
-    return count_words(table(spark, folder, "documents"), "text")
+    return count_words(spread(read_table(spark, folder, "documents")), "text")
 
 
 def word_count_top10(spark, folder):
-    return count_words(table(spark, folder, "documents"), "text", k=10)
+    return count_words(spread(read_table(spark, folder, "documents")), "text", k=10)
 
 
 def tokenize_documents(spark, folder):
-    words = tokenize(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    documents = spread(read_table(spark, folder, "documents"))
+    words = tokenize(documents.select("doc_id", "text"), "text")
     return words.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("pieces"),
         F.count(F.when(F.col("word") == "", 1)).alias("empty_pieces"),
@@ -86,7 +86,7 @@ def feature_sum(spark, folder):
 
 
 def hash_split_rows(spark, folder):
-    return with_split(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
+    return with_split(read_table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
 
 
 def hash_split_counts(spark, folder):
@@ -94,7 +94,7 @@ def hash_split_counts(spark, folder):
 
 
 def random_split_invariants(spark, folder):
-    keys = table(spark, folder, "orders").select("o_orderkey")
+    keys = read_table(spark, folder, "orders").select("o_orderkey")
     parts = [
         part.select("o_orderkey", F.lit(i).alias("part"))
         for i, part in enumerate(random_split(keys))

@@ -3,7 +3,9 @@
 import tempfile
 import uuid
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -39,3 +41,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_vectors(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Write ``df`` once; read it with the struct ``column`` as the vector it stores."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    fields = [
+        T.StructField(field.name, VectorUDT()) if field.name == column else field
+        for field in df.schema
+    ]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

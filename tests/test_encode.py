@@ -35,7 +35,7 @@ def vectors(df):
 def brute_force(rows, index):
     size = len(index)
     return {
-        i: SparseVector(size, {index[p]: 1.0 for p in pairs if p in index}) for i, pairs in rows
+        i: SparseVector(size, {index[p]: 1.0 for p in pairs or () if p in index}) for i, pairs in rows
     }
 
 
@@ -94,13 +94,18 @@ UNUSUAL = [
     (2, [(5, "unknown"), (1, "")]),
     (3, []),
     (4, [(2, "salmon"), (1, "black"), (0, "bear"), (0, "mouse")]),
+    (5, None),
+    (6, [(0, None), (1, "tabby")]),
 ]
 
 
+@pytest.mark.parametrize("written", [False, True])
 @pytest.mark.parametrize("limit", [encode.BROADCAST_BYTES, 0])
-def test_one_hot_encode_unusual_rows(spark, animals, limit):
+def test_one_hot_encode_unusual_rows(spark, animals, limit, written):
     df = spark.createDataFrame(UNUSUAL, SCHEMA)
-    encoded = one_hot_encode(df, build_dictionary(animals), row_id="id", broadcast_bytes=limit)
+    encoded = one_hot_encode(
+        df, build_dictionary(animals), row_id="id", broadcast_bytes=limit, written=written
+    )
     expected = brute_force(UNUSUAL, {pair: i for i, pair in enumerate(ANIMALS)})
     assert vectors(encoded) == expected
 
@@ -123,7 +128,7 @@ def test_shuffled_encoding_with_hot_known_and_unknown_pairs(spark, monkeypatch):
     train = [(i, [p for p in pairs if p != (1, "new")]) for i, pairs in rows[:900]]
     dictionary = build_dictionary(spark.createDataFrame(train, SCHEMA))
     df = spark.createDataFrame(rows, SCHEMA).withColumn("label", F.col("id") * 2)
-    hot = encode._hot_pairs(encode.explode_pairs(df.select("feature")), dictionary).collect()
+    hot = encode._hot_pairs(df, dictionary, "feature").collect()
     assert {("hot", True), ("new", False), ("", True)} <= {(r.category, r.idx is not None) for r in hot}
     encoded = one_hot_encode(df, dictionary, row_id="id", broadcast_bytes=0)
     assert encoded.columns == ["id", "feature", "label", "features"]
@@ -168,8 +173,15 @@ def test_hash_features_toy(animals):
 
 def test_hash_features_counts_repeated_pair_once(spark):
     df = spark.createDataFrame([(1, [(0, "mouse"), (0, "mouse"), (1, "black")]), (2, [])], SCHEMA)
-    found = vectors(hash_features(df, buckets=4))
-    assert found == {1: SparseVector(4, {3: 2.0}), 2: SparseVector(4, {})}
+    for written in (False, True):
+        found = vectors(hash_features(df, buckets=4, written=written))
+        assert found == {1: SparseVector(4, {3: 2.0}), 2: SparseVector(4, {})}
+
+
+def test_written_rows_keep_their_columns(animals):
+    found = hash_features(animals, written=True)
+    assert found.columns == ["id", "feature", "features"]
+    assert found.schema["features"].dataType.simpleString() == "vector"
 
 
 def test_hash_features_total_is_number_of_pairs(animals):
