@@ -11,18 +11,22 @@ RAW_BOUND = 20.0
 EPSILON = 1e-16
 
 
+# Up to this length a fixed inner product is written out as one sum, which stays
+# in generated code; a longer one would outgrow what the JVM compiles.
+_UNROLLED = 64
+
+
 def dot(features: Column, weights: Sequence[float] | Column) -> Column:
-    """Inner product of an array column with fixed weights or another array.
-
-    Fixed weights give one sum expression, which stays in generated code.
-    """
-    if isinstance(weights, Column):
-        products = F.zip_with(features, weights, lambda a, b: a * b)
-        return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-    total = F.lit(0.0)
-    for i, weight in enumerate(weights):
-        total = total + F.get(features, F.lit(i)) * F.lit(float(weight))
-    return total
+    """Inner product of an array column with fixed weights or another array."""
+    if not isinstance(weights, Column):
+        if len(weights) <= _UNROLLED:
+            total = F.lit(0.0)
+            for i, weight in enumerate(weights):
+                total = total + F.get(features, F.lit(i)) * F.lit(float(weight))
+            return total
+        weights = F.array(*[F.lit(float(weight)) for weight in weights])
+    products = F.zip_with(features, weights, lambda a, b: a * b)
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
 def clamped_sigmoid(raw: Column) -> Column:

@@ -14,10 +14,11 @@ from ..storage import materialize, materialize_vectors
 # A dictionary is sent to every executor up to this size, estimated from its
 # category texts plus the fixed cost of an entry. Larger ones are joined by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
-_ENTRY_BYTES = 64
+_ENTRY_BYTES = 128
 # Rows with more categories than this are encoded through the shuffled join.
 MAX_CHAINED_JOINS = 64
 _JOINS_PER_STAGE = 8
+_MAX_VECTOR = 2**31 - 1
 # A pair is hot when it holds more than this share of the sampled pairs, so there
 # can be at most 1 / HOT_SHARE hot pairs.
 HOT_SHARE = 0.001
@@ -269,6 +270,8 @@ def one_hot_encode(
     given. ``written`` rows are computed once, into the shared folder, and read
     from there by every later use.
     """
+    if dictionary.size > _MAX_VECTOR:
+        raise ValueError(f"a vector holds at most {_MAX_VECTOR} positions: hash the features")
     kept = df.columns if keep is None else list(keep)
     found = None
     if dictionary.bytes <= broadcast_bytes:

@@ -116,9 +116,10 @@ def apply_model(
 
 @dataclass(frozen=True)
 class GridResult:
-    """All (regParam, validation RMSE) in the order tried, and the best of them."""
+    """All (regParam, validation RMSE) and models in the order tried, and the best."""
 
     trials: list[tuple[float, float]]
+    models: list[LinearRegressionModel]
     best_reg: float
     best_rmse: float
     best_model: LinearRegressionModel
@@ -149,7 +150,7 @@ def grid_search(
         scored = apply_model(scored, model, output=f"p{i}")
     values = scored.agg(*[rmse(F.col(f"p{i}"), F.col("label")) for i in range(len(models))]).first()
     best = min(range(len(models)), key=lambda i: (values[i], i))
-    return GridResult(list(zip(regs, values)), regs[best], values[best], models[best])
+    return GridResult(list(zip(regs, values)), models, regs[best], values[best], models[best])
 
 
 def fit_interactions(

@@ -10,10 +10,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import dot
 from ..functions.vectors import as_vector, dense_array
 
 # Up to this width every pair of columns is its own aggregate of one pass.
 _PAIRWISE_WIDTH = 16
+# Components are few when there are this many times more positions.
+_FEW = 8
 
 
 @dataclass(frozen=True)
@@ -132,13 +135,19 @@ def pca(
     signs = np.where(loadings[largest, np.arange(width)] < 0, -1.0, 1.0)
     total = variance.sum() * (summary["count"] - 1) / summary["count"]
     eigenvalues = np.nan_to_num(fitted.explainedVariance.toArray()) * total
+    components = (loadings * signs)[:, :k]
+    if k * _FEW <= width:
+        # A few projections of wide rows cost less one by one than all at once.
+        values = dense_array(df, features)
+        top = F.array(*[dot(values, column.tolist()) for column in components.T])
+        return PrincipalComponents(components, eigenvalues, df.withColumn(output, top))
     turn = ElementwiseProduct(
         scalingVec=Vectors.dense(signs), inputCol="__all", outputCol="__turned"
     )
     turned = turn.transform(fitted.transform(rows))
     top = F.slice(vector_to_array(F.col("__turned")), 1, k)
     scores = turned.withColumn(output, top).drop("__vector", "__all", "__turned")
-    return PrincipalComponents((loadings * signs)[:, :k], eigenvalues, scores)
+    return PrincipalComponents(components, eigenvalues, scores)
 
 
 def variance_explained(df: DataFrame, features: str = "features", k: int = 1) -> float:

@@ -36,7 +36,7 @@ def _first_feature(df):
 
 def _rmse_by_split(df):
     error = rmse(F.col("prediction"), F.col("label"))
-    return df.groupBy("split").agg(rounded(error, 5).alias("rmse"))
+    return df.groupBy("split").agg(rounded(error, 4).alias("rmse"))
 
 
 def gradient_summands(spark, folder):
@@ -198,7 +198,7 @@ s AS (
 f AS (
   SELECT (s1y*s22 - s2y*s12) / (s11*s22 - s12*s12) AS b1,
          (s2y*s11 - s1y*s12) / (s11*s22 - s12*s12) AS b2, m1, m2, my FROM s)
-  SELECT split, round(sqrt(avg(power(my + b1*(x1 - m1) + b2*(x1*x1 - m2) - y, 2))), 5) AS rmse
+  SELECT split, round(sqrt(avg(power(my + b1*(x1 - m1) + b2*(x1*x1 - m2) - y, 2))), 4) AS rmse
   FROM sized, f GROUP BY split"""
 
 ORACLES = {

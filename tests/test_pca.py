@@ -64,6 +64,14 @@ def test_largest_loading_is_positive(spark):
     assert all(column[np.abs(column).argmax()] > 0 for column in components.T)
 
 
+@pytest.mark.parametrize("d, k", [(20, 2), (80, 3), (20, 20)])
+def test_scores_of_wide_rows(spark, d, k):
+    rows = np.random.default_rng(d).standard_normal((60, d)) + 2.0
+    result = pca(frame(spark, rows), k=k)
+    found = {tuple(row.features): row.scores for row in result.scores.collect()}
+    assert all(np.allclose(found[tuple(row)], row @ result.components) for row in rows.tolist())
+
+
 def test_variance_explained(spark):
     rows = correlated(0.9)
     values = np.linalg.eigvalsh(np.cov(rows.T, bias=True))[::-1]
