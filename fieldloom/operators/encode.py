@@ -37,8 +37,10 @@ _PAIR = ["feature_id", "category"]
 def explode_pairs(df: DataFrame, column: str = "feature") -> DataFrame:
     """One row (feature_id, category) per pair, next to the other columns."""
     others = [name for name in df.columns if name != column]
-    pairs = df.select(*others, F.explode(column).alias("__pair"))
-    return pairs.select(
+    # A plain explode would have the optimizer filter out empty arrays before it,
+    # which builds the array twice where it is not stored but parsed.
+    pairs = df.select(*others, F.explode_outer(column).alias("__pair"))
+    return pairs.filter(F.col("__pair").isNotNull()).select(
         *others,
         F.col("__pair")["_1"].alias("feature_id"),
         F.col("__pair")["_2"].alias("category"),

@@ -64,7 +64,11 @@ class DescentResult:
 
 
 def linreg_gradient_descent(
-    train: DataFrame, num_iters: int, features: str = "features", label: str = "label"
+    train: DataFrame,
+    num_iters: int,
+    features: str = "features",
+    label: str = "label",
+    width: int | None = None,
 ) -> DescentResult:
     """Batch gradient descent without intercept from zero weights, step 1/(n sqrt(i+1)).
 
@@ -75,7 +79,7 @@ def linreg_gradient_descent(
     joined = train.select(
         F.concat(dense_array(train, features), F.array(F.col(label).cast("double"))).alias("z")
     )
-    stats = moments(joined, "z")
+    stats = moments(joined, "z", None if width is None else width + 1)
     mean_x, mean_y = stats.mean[:-1], stats.mean[-1]
     cov_xx, cov_xy = stats.covariance[:-1, :-1], stats.covariance[:-1, -1]
     var_y = stats.covariance[-1, -1]

@@ -37,6 +37,8 @@ def _pairwise_moments(df: DataFrame, features: str, width: int) -> Moments:
         *[F.avg(f"x{i}") for i in range(width)],
         *[F.covar_pop(f"x{i}", f"x{j}") for i, j in pairs],
     ).first()
+    if row[0] == 0:
+        raise ValueError("no rows")
     covariance = np.empty((width, width))
     for (i, j), value in zip(pairs, row[1 + width :]):
         covariance[i, j] = covariance[j, i] = value
@@ -58,16 +60,21 @@ def _matrix_moments(df: DataFrame, features: str) -> Moments:
     return Moments(count, mean, covariance)
 
 
-def _width(df: DataFrame, features: str) -> int:
+def _first_width(df: DataFrame, features: str) -> int:
     row = df.select(F.size(dense_array(df, features))).first()
     if row is None:
         raise ValueError("no rows")
     return row[0]
 
 
-def moments(df: DataFrame, features: str = "features") -> Moments:
-    """Count, means and covariance; only d and d x d values reach the driver."""
-    width = _width(df, features)
+def moments(df: DataFrame, features: str = "features", width: int | None = None) -> Moments:
+    """Count, means and covariance; only d and d x d values reach the driver.
+
+    A known ``width`` saves the look at a first row, which is not cheap behind a
+    shuffle.
+    """
+    if width is None:
+        width = _first_width(df, features)
     if width <= _PAIRWISE_WIDTH:
         return _pairwise_moments(df, features, width)
     return _matrix_moments(df, features)
@@ -94,9 +101,11 @@ def matrix_table(spark: SparkSession, matrix: np.ndarray, value: str) -> DataFra
     return spark.createDataFrame(rows, f"i int, j int, {value} double")
 
 
-def covariance(df: DataFrame, features: str = "features") -> DataFrame:
+def covariance(
+    df: DataFrame, features: str = "features", width: int | None = None
+) -> DataFrame:
     """Covariance of all pairs of positions, divided by n, as rows (i, j, cov)."""
-    return matrix_table(df.sparkSession, moments(df, features).covariance, "cov")
+    return matrix_table(df.sparkSession, moments(df, features, width).covariance, "cov")
 
 
 @dataclass(frozen=True)
@@ -113,34 +122,44 @@ class PrincipalComponents:
         return float(self.eigenvalues[:k].sum() / self.eigenvalues.sum())
 
 
-def pca(
-    df: DataFrame, features: str = "features", k: int = 2, output: str = "scores"
+def _turned(loadings: np.ndarray) -> np.ndarray:
+    """Signs that make the largest entry by magnitude of each column positive."""
+    largest = np.abs(loadings).argmax(axis=0)
+    return np.where(loadings[largest, np.arange(loadings.shape[1])] < 0, -1.0, 1.0)
+
+
+def _project(df: DataFrame, features: str, components: np.ndarray, output: str) -> DataFrame:
+    values = dense_array(df, features)
+    return df.withColumn(output, F.array(*[dot(values, c.tolist()) for c in components.T]))
+
+
+def _narrow_pca(
+    df: DataFrame, features: str, k: int, output: str, width: int
 ) -> PrincipalComponents:
-    """Components of the covariance, and the projections of the rows on them.
+    values, vectors = np.linalg.eigh(_pairwise_moments(df, features, width).covariance)
+    vectors = vectors[:, ::-1]
+    components = (vectors * _turned(vectors))[:, :k]
+    scores = _project(df, features, components, output)
+    return PrincipalComponents(components, np.maximum(values[::-1], 0.0), scores)
 
-    Rows are projected as they are, not centered. Each component is turned so
-    that its largest entry by magnitude is positive. All eigenvalues come from
-    the same fit, so shares for any ``k`` need no further pass.
-    """
+
+def _wide_pca(
+    df: DataFrame, features: str, k: int, output: str, width: int
+) -> PrincipalComponents:
     rows = df.withColumn("__vector", as_vector(df, features))
     metrics = Summarizer.metrics("count", "variance")
     summary = rows.select(metrics.summary(F.col("__vector")).alias("s")).first()["s"]
-    variance = summary["variance"].toArray()
-    width = len(variance)
-    if not 1 <= k <= width:
-        raise ValueError(f"k must lie in 1..{width}")
+    total = summary["variance"].toArray().sum() * (summary["count"] - 1) / summary["count"]
     fitted = PCA(k=width, inputCol="__vector", outputCol="__all").fit(rows)
-    loadings = fitted.pc.toArray()
-    largest = np.abs(loadings).argmax(axis=0)
-    signs = np.where(loadings[largest, np.arange(width)] < 0, -1.0, 1.0)
-    total = variance.sum() * (summary["count"] - 1) / summary["count"]
     eigenvalues = np.nan_to_num(fitted.explainedVariance.toArray()) * total
+    loadings = fitted.pc.toArray()
+    signs = _turned(loadings)
     components = (loadings * signs)[:, :k]
     if k * _FEW <= width:
         # A few projections of wide rows cost less one by one than all at once.
-        values = dense_array(df, features)
-        top = F.array(*[dot(values, column.tolist()) for column in components.T])
-        return PrincipalComponents(components, eigenvalues, df.withColumn(output, top))
+        return PrincipalComponents(
+            components, eigenvalues, _project(df, features, components, output)
+        )
     turn = ElementwiseProduct(
         scalingVec=Vectors.dense(signs), inputCol="__all", outputCol="__turned"
     )
@@ -150,6 +169,28 @@ def pca(
     return PrincipalComponents(components, eigenvalues, scores)
 
 
+def pca(
+    df: DataFrame,
+    features: str = "features",
+    k: int = 2,
+    output: str = "scores",
+    width: int | None = None,
+) -> PrincipalComponents:
+    """Components of the covariance, and the projections of the rows on them.
+
+    Rows are projected as they are, not centered. Each component is turned so
+    that its largest entry by magnitude is positive. All eigenvalues come from
+    the same fit, so shares for any ``k`` need no further pass. Narrow rows take
+    one pass for their d x d covariance; wide ones go through Spark's own PCA.
+    """
+    if width is None:
+        width = _first_width(df, features)
+    if not 1 <= k <= width:
+        raise ValueError(f"k must lie in 1..{width}")
+    fit = _narrow_pca if width <= _PAIRWISE_WIDTH else _wide_pca
+    return fit(df, features, k, output, width)
+
+
 def variance_explained(df: DataFrame, features: str = "features", k: int = 1) -> float:
     """Share of the variance along the top ``k`` components."""
     return pca(df, features, k).variance_explained(k)

@@ -6,7 +6,6 @@ from ..operators import pca as ops
 from ..sources import read_table
 from .inputs import DOCUMENT_SIZES_SQL, document_sizes, rounded
 
-
 def column_means(spark, folder):
     means = ops.column_means(read_table(spark, folder, "embeddings"), "embedding")
     return means.select(F.col("i").cast("bigint").alias("i"), rounded("mean").alias("mean"))
@@ -19,8 +18,8 @@ def centered_rows(spark, folder):
     )
 
 
-def _covariance(df, features):
-    return ops.covariance(df, features).select(
+def _covariance(df, features, width=None):
+    return ops.covariance(df, features, width).select(
         F.col("i").cast("bigint").alias("i"),
         F.col("j").cast("bigint").alias("j"),
         rounded("cov").alias("cov"),
@@ -32,23 +31,23 @@ def covariance(spark, folder):
 
 
 def covariance_2d(spark, folder):
-    return _covariance(document_sizes(spark, folder), "features")
+    return _covariance(document_sizes(spark, folder), "features", 2)
 
 
 def pca_explained(spark, folder):
-    result = ops.pca(document_sizes(spark, folder), k=2)
+    result = ops.pca(document_sizes(spark, folder), k=2, width=2)
     rows = [(k, round(result.variance_explained(k), 6)) for k in (1, 2)]
     return spark.createDataFrame(rows, "k long, share double")
 
 
 def pca_eigenvalues_2d(spark, folder):
-    result = ops.pca(document_sizes(spark, folder), k=2)
+    result = ops.pca(document_sizes(spark, folder), k=2, width=2)
     rows = [(i, round(float(x), 5)) for i, x in enumerate(result.eigenvalues)]
     return spark.createDataFrame(rows, "component long, eigenvalue double")
 
 
 def pca_components_2d(spark, folder):
-    result = ops.pca(document_sizes(spark, folder), k=2)
+    result = ops.pca(document_sizes(spark, folder), k=2, width=2)
     return ops.matrix_table(spark, result.components, "loading").select(
         F.col("j").cast("bigint").alias("component"),
         F.col("i").cast("bigint").alias("i"),
@@ -57,7 +56,7 @@ def pca_components_2d(spark, folder):
 
 
 def pca_scores_2d(spark, folder):
-    scores = ops.pca(document_sizes(spark, folder), k=2).scores
+    scores = ops.pca(document_sizes(spark, folder), k=2, width=2).scores
     return scores.select(
         "doc_id", *[rounded(F.get("scores", F.lit(i)), 5).alias(f"score{i}") for i in range(2)]
     )

@@ -53,13 +53,13 @@ def linear_predictions(spark, folder):
 
 
 def gd_weights(spark, folder):
-    result = lin.linreg_gradient_descent(price_points(spark, folder), _ITERATIONS)
+    result = lin.linreg_gradient_descent(price_points(spark, folder), _ITERATIONS, width=3)
     rows = [(i, round(w, 6) + 0.0) for i, w in enumerate(result.weights)]
     return spark.createDataFrame(rows, "idx long, weight double")
 
 
 def gd_error_curve(spark, folder):
-    result = lin.linreg_gradient_descent(price_points(spark, folder), _ITERATIONS)
+    result = lin.linreg_gradient_descent(price_points(spark, folder), _ITERATIONS, width=3)
     rows = [(i, round(error, 6) + 0.0) for i, error in enumerate(result.errors)]
     return spark.createDataFrame(rows, "iteration long, rmse double")
 
@@ -139,7 +139,7 @@ def model_comparison(spark, folder):
     )
     points = with_split(orders, "o_orderkey")
     train = _part(points, "train")
-    descent = lin.linreg_gradient_descent(train, _ITERATIONS)
+    descent = lin.linreg_gradient_descent(train, _ITERATIONS, width=1)
     scored = add_baseline(points, train, output="baseline")
     scored = scored.withColumn("descent", lin.dot(F.col("features"), descent.weights))
     scored = lin.apply_model(scored, lin.fit_linear(train, regParam=0.0), output="least_squares")
