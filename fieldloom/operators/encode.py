@@ -2,7 +2,6 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,7 +94,6 @@ def build_dictionary(df: DataFrame, column: str = "feature") -> OneHotDictionary
     per partition, are ever brought together, and a feature with most of the
     categories is cut into as many ranges as it needs.
     """
-    spark = df.sparkSession
     ranges = (
         distinct_pairs(df, column)
         .repartitionByRange(*_PAIR)
@@ -110,14 +108,15 @@ def build_dictionary(df: DataFrame, column: str = "feature") -> OneHotDictionary
         F.col("__slot").bitwiseAND((1 << _PLACE_BITS) - 1).alias("__place"),
     )
     sizes = numbered.groupBy("__range").agg(*_measures()).orderBy("__range").collect()
-    before = accumulate((row["size"] for row in sizes), initial=0)
-    offsets = spark.createDataFrame(
-        [(row["__range"], offset) for row, offset in zip(sizes, before)],
-        "__range long, __offset long",
-    )
-    frame = numbered.join(F.broadcast(offsets), "__range").select(
-        *_PAIR, (F.col("__offset") + F.col("__place")).alias("idx")
-    )
+    # Offsets by partition number, as a constant array: empty partitions repeat
+    # the offset after them.
+    offsets = []
+    before = 0
+    for row in sizes:
+        offsets += [before] * (row["__range"] + 1 - len(offsets))
+        before += row["size"]
+    offset = F.get(F.array(*map(F.lit, offsets)).cast("array<bigint>"), F.col("__range").cast("int"))
+    frame = numbered.select(*_PAIR, (offset + F.col("__place")).alias("idx"))
     size = sum(row["size"] for row in sizes)
     return OneHotDictionary(
         frame, size, sum(row["text"] for row in sizes) + size * _ENTRY_BYTES

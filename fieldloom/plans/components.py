@@ -6,6 +6,7 @@ from ..operators import pca as ops
 from ..sources import read_table
 from .inputs import DOCUMENT_SIZES_SQL, document_sizes, rounded
 
+
 def column_means(spark, folder):
     means = ops.column_means(read_table(spark, folder, "embeddings"), "embedding")
     return means.select(F.col("i").cast("bigint").alias("i"), rounded("mean").alias("mean"))

@@ -28,9 +28,11 @@ points AS (
   FROM orders)"""
 
 
-def order_click_lines(spark: SparkSession, folder: str) -> DataFrame:
+def order_click_lines(spark: SparkSession, folder: str, dealt: bool = True) -> DataFrame:
     """Orders as tab-separated lines: a 0/1 label and four categories, one at times empty."""
-    orders = spread(read_table(spark, folder, "orders"))
+    orders = read_table(spark, folder, "orders")
+    if dealt:
+        orders = spread(orders)
     customer = F.col("o_custkey")
     line = F.concat_ws(
         "\t",
@@ -43,9 +45,14 @@ def order_click_lines(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select("o_orderkey", line.alias("value"))
 
 
-def clicks(spark: SparkSession, folder: str) -> DataFrame:
-    """Parsed click lines with their part of the split."""
-    return with_split(parse_categorical(order_click_lines(spark, folder)), "o_orderkey")
+def clicks(spark: SparkSession, folder: str, dealt: bool = True) -> DataFrame:
+    """Parsed click lines with their part of the split.
+
+    Dealing a single small file out over the cores helps one heavy pass, but not
+    fits of many short ones: each adds up one gradient per partition.
+    """
+    lines = order_click_lines(spark, folder, dealt)
+    return with_split(parse_categorical(lines), "o_orderkey")
 
 
 def split_sql(key: str) -> str:
@@ -77,12 +84,14 @@ dictionary AS (
   FROM (SELECT DISTINCT feature_id, category FROM pairs WHERE split = 'train'))"""
 
 
-def document_sizes(spark: SparkSession, folder: str) -> DataFrame:
+def document_sizes(spark: SparkSession, folder: str, dealt: bool = True) -> DataFrame:
     """Documents as ``label`` (thousands of characters) and two features.
 
     The features are pieces between spaces, in hundreds, and lines, in tens.
     """
-    documents = spread(read_table(spark, folder, "documents"))
+    documents = read_table(spark, folder, "documents")
+    if dealt:
+        documents = spread(documents)
     sized = documents.select(
         "doc_id",
         (F.col("n_chars") / 1000).alias("label"),

@@ -41,7 +41,7 @@ def _part(df, name):
 
 def _labelled_documents(spark, folder):
     """Documents that have a quality label, with the label and two features."""
-    sizes = document_sizes(spark, folder).drop("label")
+    sizes = document_sizes(spark, folder, dealt=False).drop("label")
     labels = read_table(spark, folder, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label")
     )
@@ -114,11 +114,11 @@ def _slopes(scored, model, reg, mixing):
         F.greatest(F.abs(slope) - reg * mixing, F.lit(0.0))
     )
     joined = sums.join(coefficient_table(scored, model), "idx").withColumn("rows", rows)
-    return joined.select(F.col("idx").cast("bigint").alias("idx"), rounded(excess, 6).alias("excess"))
+    return joined.select(F.col("idx").cast("bigint").alias("idx"), rounded(excess, 5).alias("excess"))
 
 
 def logistic_one_hot_optimum(spark, folder):
-    rows = clicks(spark, folder)
+    rows = clicks(spark, folder, dealt=False)
     train = _part(rows, "train")
     encoded = one_hot_encode(
         train, build_dictionary(train), width=4, keep=["label"], written=True
