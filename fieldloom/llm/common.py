@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..storage import materialize
+from ..storage import materialize, new_path
 
 # Texts are worked on in slices of about this many bytes, which bounds the memory
 # of a task whatever the size of the Arrow batch. A longer text is a slice of its own.
@@ -63,6 +63,13 @@ def _lengths(values: pa.Array) -> np.ndarray:
     return pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder, densely packed, and read from there."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_running_total(
     df: DataFrame, keys: list[str], weight: str, out: str, name: str
 ) -> tuple[DataFrame, int]:

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, sharding
+from . import decontaminate, huffman, sharding
 from .common import table
 
 
+def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    read = huffman.token_file(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return read.select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     marked = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
@@ -19,6 +29,7 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op9_sharding": op9_sharding,
 }
