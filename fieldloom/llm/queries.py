@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, sharding
+from . import decontaminate, huffman, packing, sharding
 from .common import table
 
 
@@ -28,10 +28,28 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op9_sharding": op9_sharding,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
