@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, text_bytes
+from .common import slices, text_bytes, word_codes
 
 WINDOW = 13
 #: A document is contaminated if at least one in so many of its words is hit.
@@ -60,59 +60,6 @@ def _byte_table() -> np.ndarray:
 
 
 _BYTES = _byte_table()
-_POWER_LIMIT = 1 << 12
-_M1, _M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-
-
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.empty(count, np.uint64)
-    value = 1
-    for i in range(count):
-        out[i] = value
-        value = value * base % 2**64
-    return out
-
-
-_P1, _P2 = _powers(_M1, _POWER_LIMIT), _powers(_M2, _POWER_LIMIT)
-
-
-def word_codes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit codes of all words, and the number of words before each row (n + 1 numbers).
-
-    ``raw`` holds the rows' UTF-8 bytes one behind the other. Equal words have equal
-    codes; codes are never 0.
-    """
-    low = _BYTES[raw]
-    inside = low != 0
-    first = inside.copy()
-    if len(raw):
-        first[1:] &= ~inside[:-1]
-        starts_of_rows = offsets[:-1]
-        starts_of_rows = starts_of_rows[starts_of_rows < len(raw)]
-        first[starts_of_rows] = inside[starts_of_rows]
-    begins = np.flatnonzero(first)
-    counts = np.searchsorted(begins, offsets)
-    if not len(begins):
-        return np.zeros(0, np.uint64), counts
-    where = np.flatnonzero(inside)
-    heads = np.flatnonzero(first[where])
-    lengths = np.diff(np.append(heads, len(where)))
-    place = np.arange(len(where)) - np.repeat(heads, lengths)
-    values = low[where].astype(np.uint64)
-    with np.errstate(over="ignore"):
-        place %= _POWER_LIMIT
-        one = np.add.reduceat(values * _P1[place], heads)
-        two = np.add.reduceat(values * _P2[place], heads)
-        long_ = np.flatnonzero(lengths > _POWER_LIMIT)
-        for i in long_:  # words of thousands of bytes: a digest in place of the sum
-            body = low[where[heads[i] : heads[i] + lengths[i]]].tobytes()
-            one[i] = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little")
-        code = one ^ ((two << np.uint64(29)) | (two >> np.uint64(35)))
-        code += lengths.astype(np.uint64) * np.uint64(_M1)
-    code[code == 0] = 1
-    return code, counts
-
-
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
     """Start positions of all suffixes in the order of their first ``depth`` words.
 
@@ -206,7 +153,7 @@ class TestSet:
 
 def read_tests(ids: list[str], texts: list[str | None], window: int = WINDOW) -> TestSet:
     raw, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    words, counts = word_codes(raw, offsets)
+    words, counts = word_codes(raw, offsets, _BYTES)
     item, starts, lengths, ends = [], [], [], []
     for i in range(len(ids)):
         begin, end = int(counts[i]), int(counts[i + 1])
@@ -249,7 +196,7 @@ def _extend(text, places, tests: TestSet, windows) -> np.ndarray:
 def _shard(batch: pa.RecordBatch, column: str, tests: TestSet, window: int):
     """Per row: number of words, hit positions, items and the longest match."""
     raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(column)))
-    codes, counts = word_codes(raw, offsets)
+    codes, counts = word_codes(raw, offsets, _BYTES)
     rows = len(counts) - 1
     # A 0 behind each document stops every match at its end.
     shift = np.arange(rows)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, packing, sharding
+from . import decontaminate, huffman, packing, quality, sharding
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return marked.drop("text")
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
 }
