@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, packing, quality, sharding
+from . import decontaminate, huffman, minhash, packing, quality, sharding
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
 
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.group_documents(table(spark, folder, "documents"), words=2, percent=80)
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packed.select(
@@ -52,6 +56,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_minhash": op4_minhash,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
