@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, minhash, packing, quality, sharding
+from . import decontaminate, huffman, minhash, packing, quality, secrets, sharding
 from .common import table
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
 def op2_token_file(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     read = huffman.token_file(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -54,6 +58,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash": op4_minhash,
