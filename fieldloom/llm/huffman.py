@@ -21,8 +21,8 @@ from .common import written
 from .tokens import END_ID, binaries, id_type, tokenized
 
 LIMIT = 16
-STEP = 512
-BLOCK_TOKENS = 1 << 17
+STEP = 256
+BLOCK_TOKENS = 1 << 19
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from .common import slices
 
 END_ID = 2
 SLICE_BYTES = 8 << 20
-_CACHED = 150_000
+_CACHED = 300_000
 _BATCH = 4096
 # Everything that any of the libraries takes for white space, and then some.
 _WHITE = (
@@ -31,9 +32,32 @@ _MARK = "\x01"
 _ODD = f"[{_WHITE}] |{_MARK}"
 _CUT = re.compile(f"(?<=[^{_WHITE}])(?= )")
 
+# A word of these letters and the marks behind it are tokens apart, for every tokenizer
+# whose probes below succeed. Letters are those of Latin-1, in their composed form.
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_MARKS = ".,;:!?$%&#*|"
+_PLAIN = f"^ ?[{_LETTERS}]+[{_MARKS}]*$"
+
 _loaded: dict[str, "PieceEncoder"] = {}
 
 
+_ALL_LETTERS = " " + "".join(c for c in map(chr, range(256)) if re.match(f"[{_LETTERS}]", c))
+
+
+def _byte_level() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it
+    is visible, else the next one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, beyond = [], 256
+    for b in range(256):
+        out.append(chr(b if b in visible else beyond))
+        beyond += b not in visible
+    return out
+
+
+_BYTE_LEVEL = _byte_level()
+
+
 def encoder(path: str) -> "PieceEncoder":
     """The encoder of a tokenizer file, loaded once per worker."""
     if path not in _loaded:
@@ -53,37 +77,103 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.spell = self._spelling()
         # Two generations: what was not asked for while one filled up is forgotten.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+    def _spelling(self):
+        """How the model is given a plain word, found out by trial; None if in neither way."""
+        table = {c: "".join(_BYTE_LEVEL[b] for b in chr(c).encode()) for c in range(256)}
+        space = table[32]
+
+        def spelled(words: pa.Array, shown: pa.Array) -> list[str]:
+            out = shown.to_pylist()
+            for i in np.flatnonzero(~pc.string_is_ascii(words).to_numpy(zero_copy_only=False)):
+                out[i] = out[i].translate(upper)
+            return out
+
+        def exact(words: pa.Array) -> list[str]:
+            return spelled(words, pc.replace_substring(words, " ", space))
+
+        def lower(words: pa.Array) -> list[str]:
+            return spelled(words, pc.utf8_lower(pc.utf8_ltrim(words, " ")))
+
+        upper = {c: t for c, t in table.items() if c >= 128}
+        upper[ord(space)] = space
+        probes = [" Thanedble", "Vier", " \xe9t\xc9s", "!!", " stra\xdfe", "a", " I", "$$$", "%"]
+        for spell in (exact, lower):
+            if all(
+                [t.id for t in self.model.tokenize(shown)]
+                == self.tokenizer.encode(p, add_special_tokens=False).ids
+                for p, shown in zip(probes, spell(pa.array(probes, pa.large_string())))
+            ):
+                return spell
+        return None
+
+    def _ids_of(self, pieces: pa.Array, whole: bool) -> list[bytes]:
+        """Ids of distinct pieces; those that are not ``whole`` are plain words or marks."""
+        names = pieces.to_pylist()
         young, old = self.young, self.old
-        out = [young.get(p) for p in pieces]
+        get = young.get
+        out = [get(p) for p in names]
         missing = []
         for i, found in enumerate(out):
             if found is None:
-                known = old.get(pieces[i])
-                if known is None:
+                found = old.get(names[i])
+                if found is None:
                     missing.append(i)
                 else:
-                    out[i] = known
-                    if len(pieces[i]) < 64:
-                        young[pieces[i]] = known
-        for at in range(0, len(missing), _BATCH):
-            part = missing[at : at + _BATCH]
-            encoded = self.tokenizer.encode_batch_fast(
-                [pieces[i] for i in part], add_special_tokens=False
-            )
-            for i, one in zip(part, encoded):
-                ids = np.array(one.ids, np.uint32).tobytes()
-                out[i] = ids
-                if len(pieces[i]) < 64:
-                    young[pieces[i]] = ids
+                    out[i] = young[names[i]] = found
+        if whole:
+            for at in range(0, len(missing), _BATCH):
+                part = missing[at : at + _BATCH]
+                encoded = self.tokenizer.encode_batch_fast(
+                    [names[i] for i in part], add_special_tokens=False
+                )
+                for i, one in zip(part, encoded):
+                    out[i] = array("I", one.ids).tobytes()
+        elif missing:
+            tokenize = self.model.tokenize
+            for i, shown in zip(missing, self.spell(pieces.take(pa.array(missing)))):
+                out[i] = array("I", [t.id for t in tokenize(shown)]).tobytes()
+        for i in missing:
+            if len(names[i]) < 64:
+                young[names[i]] = out[i]
         if len(young) > _CACHED:
             self.young, self.old = {}, young
         return out
 
+    def _bank(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all distinct ``pieces``, and where those of each start and how many they are."""
+        plain = np.zeros(len(pieces), bool)
+        if self.spell is not None:
+            plain = pc.match_substring_regex(pieces, _PLAIN).to_numpy(zero_copy_only=False)
+        words = pieces.filter(pa.array(plain))
+        marks = pc.utf8_ltrim(words, _ALL_LETTERS).dictionary_encode()
+        words = pc.utf8_rtrim(words, _MARKS).dictionary_encode()
+        parts = [
+            *self._ids_of(words.dictionary, False),
+            *self._ids_of(marks.dictionary.filter(pc.greater(pc.binary_length(marks.dictionary), 0)), False),
+            *self._ids_of(pieces.filter(pa.array(~plain)), True),
+        ]
+        # Each piece is a word and marks, of which either may be nothing.
+        sizes = np.array([*map(len, parts), 0], np.int64) // 4
+        flat = np.frombuffer(b"".join(parts), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        nothing = len(parts)
+        pair = np.full((len(pieces), 2), nothing, np.int64)
+        pair[plain, 0] = words.indices.to_numpy()
+        empty = pc.equal(pc.binary_length(marks.dictionary), 0).to_numpy(zero_copy_only=False)
+        number = np.where(empty, nothing, len(words.dictionary) + np.cumsum(~empty) - 1)
+        pair[plain, 1] = number[marks.indices.to_numpy()]
+        others = int((~plain).sum())
+        pair[~plain, 0] = nothing - others + np.arange(others)
+        ids = flat[_ranges(starts[pair.reshape(-1)], sizes[pair.reshape(-1)])]
+        total = sizes[pair].sum(1)
+        return ids, np.cumsum(total) - total, total
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one behind the other, and the n + 1 offsets of the texts; null is empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -102,10 +192,7 @@ class PieceEncoder:
         first = np.zeros(len(texts), np.int64)
         first[order] = np.cumsum(counts[order]) - counts[order]
         codes = words.indices.to_numpy(zero_copy_only=False)[_ranges(first, counts)]
-        found = self._ids_of(words.dictionary.to_pylist())
-        sizes = np.array([len(x) for x in found], np.int64) // 4
-        bank = np.frombuffer(b"".join(found), np.uint32)
-        starts = np.cumsum(sizes) - sizes
+        bank, starts, sizes = self._bank(words.dictionary)
         ids = bank[_ranges(starts[codes], sizes[codes])]
         per_text = np.zeros(len(texts) + 1, np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes[codes])])
