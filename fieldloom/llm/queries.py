@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, minhash, packing, quality, secrets, sharding
+from . import decontaminate, html_text, huffman, minhash, packing, quality, secrets, sharding
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return marked.drop("text")
 
 
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.page_texts(table(spark, folder, "pages"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash": op4_minhash,
+    "op6_html_text": op6_html_text,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
