@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, huffman, minhash, packing, quality, secrets, sharding
+from . import decontaminate, html_text, huffman, minhash, packing, quality, secrets, sharding, vectors
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.page_texts(table(spark, folder, "pages"))
 
 
+def op7_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.group_vectors(table(spark, folder, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash": op4_minhash,
     "op6_html_text": op6_html_text,
+    "op7_vectors": op7_vectors,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
