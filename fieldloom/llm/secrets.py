@@ -410,6 +410,7 @@ def mask(docs: DataFrame, text: str = "text", length: str = "n_chars", put: str
     characters of the texts that change. The columns stay the same.
     """
     found = scan(docs, train(docs, text), text, "__secrets")
+    names = docs.columns
 
     def run(batches):
         for batch in batches:
@@ -429,7 +430,7 @@ def mask(docs: DataFrame, text: str = "text", length: str = "n_chars", put: str
                 if lengths is not None:
                     columns[at] = pa.array(lengths, columns[at].type)
             table = pa.RecordBatch.from_arrays(columns, batch.schema.names)
-            yield table.select(docs.columns)
+            yield table.select(names)
 
     return found.mapInArrow(run, docs.schema)
 
