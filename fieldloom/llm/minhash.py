@@ -30,7 +30,7 @@ BANDS, BAND_ROWS = 54, 6
 BLOCK = 200
 #: Ids sent to every executor at most, at eight bytes each. More are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def _word_bytes() -> np.ndarray:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, huffman, minhash, packing, quality, secrets, sharding, vectors
+from . import decontaminate, html_text, huffman, minhash, packing, quality, secrets, sharding, substrings, vectors
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.group_documents(table(spark, folder, "documents"), words=2, percent=80)
 
 
+def op5_repeated_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.report(table(spark, folder, "documents"))
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packed.select(
@@ -70,6 +74,7 @@ QUERIES = {
     "op2_token_file": op2_token_file,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash": op4_minhash,
+    "op5_repeated_substrings": op5_repeated_substrings,
     "op6_html_text": op6_html_text,
     "op7_vectors": op7_vectors,
     "op8_quality": op8_quality,
