@@ -72,6 +72,13 @@ def _least(raw: np.ndarray) -> np.ndarray:
     return h
 
 
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        z = a * np.uint64(_M) ^ b
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        return z ^ (z >> np.uint64(27))
+
+
 def anchors(raw: np.ndarray, offsets: np.ndarray):
     """Place and hash of all anchors, and the least and greatest distance of the strings'
     beginnings before each. Strings lie inside one text."""
@@ -103,7 +110,9 @@ def anchors(raw: np.ndarray, offsets: np.ndarray):
     where = place[heads] if len(heads) else place
     if not len(heads):
         return where, code, where, where
-    return where, code[heads], where - begin[lasts], where - begin[heads]
+    # Hashes of anchors are least ones, and so small; mixed once more they spread evenly.
+    code = _mixed(code[heads], np.uint64(LENGTH)) >> np.uint64(_PLACE_BITS)
+    return where, code, where - begin[lasts], where - begin[heads]
 
 
 class Chunk:
@@ -204,20 +213,13 @@ def _shared(rows: pa.Table) -> pa.Table:
     )
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        z = a * np.uint64(_M) ^ b
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        return z ^ (z >> np.uint64(27))
-
-
 def settle(common, left, masks, docs):
     """Which strings at sorted suffixes a smaller document has, and who keeps each.
 
     ``common``: bytes that each suffix has in common with the one before it. ``left``: the
     LEFT bytes before each. Bit j of a mask stands for the string that begins j bytes
     before the suffix. Returns two masks per suffix: strings that also begin in a smaller
-    document among these, and strings of which this suffix is the one of the smallest.
+    document among these, and strings that begin in no smaller one.
     """
     gone = np.zeros(len(docs), np.uint32)
     first = np.zeros(len(docs), np.uint32)
@@ -237,7 +239,7 @@ def settle(common, left, masks, docs):
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         bit = np.uint32(1 << j)
         gone[here[order[doc > least]]] |= bit
-        first[here[order[new]]] |= bit
+        first[here[order[doc == least]]] |= bit
     return gone, first
 
 
