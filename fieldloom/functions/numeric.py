@@ -16,17 +16,40 @@ EPSILON = 1e-16
 _UNROLLED = 64
 
 
+def _or_error(value: Column, width: Column) -> Column:
+    """``value``, or an error where it is NULL."""
+    text = F.concat(F.lit("not an array of "), width.cast("string"), F.lit(" numbers"))
+    return F.coalesce(value, F.raise_error(text).cast("double"))
+
+
 def dot(features: Column, weights: Sequence[float] | Column) -> Column:
-    """Inner product of an array column with fixed weights or another array."""
+    """Inner product of an array column with fixed weights or another array.
+
+    A row whose array is NULL, of another length or has a NULL entry fails the job,
+    whatever the length.
+    """
     if not isinstance(weights, Column):
+        width = F.lit(len(weights))
         if len(weights) <= _UNROLLED:
             total = F.lit(0.0)
             for i, weight in enumerate(weights):
                 total = total + F.get(features, F.lit(i)) * F.lit(float(weight))
-            return total
+            return _or_error(F.when(F.size(features) == width, total), width)
         weights = F.array(*[F.lit(float(weight)) for weight in weights])
+    # The shorter array is filled up with NULL, and one NULL makes the sum NULL.
     products = F.zip_with(features, weights, lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    total = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    return _or_error(total, F.size(weights))
+
+
+def checked(features: Column, width: int) -> Column:
+    """An array of doubles as it is; a row that has not ``width`` numbers fails the job."""
+    total = F.lit(0.0)
+    for i in range(width):
+        total = total + F.get(features, F.lit(i))
+    good = (F.size(features) == width) & total.isNotNull()
+    text = F.lit(f"not an array of {width} numbers")
+    return F.when(good, features).otherwise(F.raise_error(text).cast("array<double>"))
 
 
 def clamped_sigmoid(raw: Column) -> Column:

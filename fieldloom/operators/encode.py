@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ _ENTRY_BYTES = 128
 MAX_CHAINED_JOINS = 64
 _JOINS_PER_STAGE = 8
 _MAX_VECTOR = 2**31 - 1
-# A pair is hot when it holds more than this share of the sampled pairs, so there
-# can be at most 1 / HOT_SHARE hot pairs.
-HOT_SHARE = 0.001
+# A pair is hot when it holds more of the sampled pairs than this share of what a
+# partition of the shuffled join gets on average, so there are at most a few hot pairs
+# per partition.
+HOT_SHARE = 0.5
 HOT_SAMPLE = 0.01
 _SAMPLE_SEED = 17
 
@@ -108,15 +110,15 @@ def build_dictionary(df: DataFrame, column: str = "feature") -> OneHotDictionary
         F.col("__slot").bitwiseAND((1 << _PLACE_BITS) - 1).alias("__place"),
     )
     sizes = numbered.groupBy("__range").agg(*_measures()).orderBy("__range").collect()
-    # Offsets by partition number, as a constant array: empty partitions repeat
-    # the offset after them.
-    offsets = []
-    before = 0
-    for row in sizes:
-        offsets += [before] * (row["__range"] + 1 - len(offsets))
-        before += row["size"]
-    offset = F.get(F.array(*map(F.lit, offsets)).cast("array<bigint>"), F.col("__range").cast("int"))
-    frame = numbered.select(*_PAIR, (offset + F.col("__place")).alias("idx"))
+    # One row per partition: how many pairs lie in the partitions before it.
+    ends = accumulate(row["size"] for row in sizes)
+    offsets = df.sparkSession.createDataFrame(
+        [(row["__range"], end - row["size"]) for row, end in zip(sizes, ends)],
+        "__range long, __before long",
+    )
+    frame = numbered.join(F.broadcast(offsets), "__range").select(
+        *_PAIR, (F.col("__before") + F.col("__place")).alias("idx")
+    )
     size = sum(row["size"] for row in sizes)
     return OneHotDictionary(
         frame, size, sum(row["text"] for row in sizes) + size * _ENTRY_BYTES
@@ -191,16 +193,18 @@ def _encode_in_row(
     return df.select(*kept, F.sort_array("__found").alias("__indices"))
 
 
-def _hot_pairs(df: DataFrame, dictionary: OneHotDictionary, column: str) -> DataFrame:
-    """Frequent pairs with their index, or no index if unknown: at most 1 / HOT_SHARE rows.
+def _hot_pairs(exploded: DataFrame, dictionary: OneHotDictionary) -> DataFrame:
+    """Frequent pairs with their index, or no index if unknown: at most a few per partition.
 
     The sample only decides which pairs take which way; both ways are exact.
     """
-    sample = df.select(column).sample(HOT_SAMPLE, _SAMPLE_SEED)
-    counts = explode_pairs(sample, column).groupBy(*_PAIR).agg(F.count(F.lit(1)).alias("__n"))
-    counts = materialize(counts, "pair-sample")
-    limit = counts.agg(F.sum("__n") * HOT_SHARE).scalar()
-    hot = counts.filter(F.col("__n") > limit).select(*_PAIR).dropna()
+    spark = exploded.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = HOT_SHARE / max(1, partitions)
+    sample = exploded.select(*_PAIR).dropna().sample(HOT_SAMPLE, _SAMPLE_SEED)
+    counts = materialize(sample.groupBy(*_PAIR).agg(F.count(F.lit(1)).alias("__n")), "pair-sample")
+    limit = counts.agg(F.sum("__n") * share).scalar()
+    hot = counts.filter(F.col("__n") > limit).select(*_PAIR)
     known = dictionary.frame.join(F.broadcast(hot), _PAIR)
     return materialize(hot.join(F.broadcast(known), _PAIR, "left"), "hot-pairs")
 
@@ -210,9 +214,9 @@ def _encode_by_shuffle(
 ) -> DataFrame:
     """Join exploded pairs with the dictionary, then regroup them by row.
 
-    Frequent pairs, known or not, are found in a sample and looked up by
-    broadcast, and missing ones need no look-up, so no join key of the shuffle
-    holds a large share of the rows.
+    Pairs are exploded and written once. Frequent ones, known or not, are found in a
+    sample and looked up by broadcast, and missing ones need no look-up, so no join key
+    of the shuffle holds a large share of the rows.
     """
     # The constant keeps the struct valid when there is nothing else to carry.
     payload = F.struct(F.lit(0).alias("__"), *[F.col(name) for name in kept if name != row_id])
@@ -227,16 +231,18 @@ def _encode_by_shuffle(
         F.col("__pair")["_1"].alias("feature_id"),
         F.col("__pair")["_2"].alias("category"),
     )
+    exploded = materialize(exploded, "pairs")
     missing = F.col("feature_id").isNull() | F.col("category").isNull()
-    hot = _hot_pairs(df, dictionary, column).withColumn("__hot", F.lit(True))
-    by_broadcast = exploded.join(F.broadcast(hot), _PAIR, "left").filter(
-        F.col("__hot") | missing
-    )
-    rest = exploded.filter(~missing).join(F.broadcast(hot), _PAIR, "left_anti")
-    by_shuffle = rest.join(dictionary.frame, _PAIR, "left")
+    hot = _hot_pairs(exploded, dictionary).withColumn("__hot", F.lit(True))
+    marked = exploded.join(F.broadcast(hot), _PAIR, "left")
+    settled = F.col("__hot").isNotNull() | missing
     names = [row_id, "__row", "idx"]
+    rest = marked.filter(~settled).drop("idx", "__hot")
+    # Dictionaries come here that are too large to be sent to every executor.
+    by_shuffle = rest.join(dictionary.frame.hint("merge"), _PAIR, "left")
     grouped = (
-        by_broadcast.select(*names)
+        marked.filter(settled)
+        .select(*names)
         .unionByName(by_shuffle.select(*names))
         .groupBy(row_id)
         .agg(
@@ -265,8 +271,9 @@ def one_hot_encode(
 
     Pairs that are not in the dictionary are dropped; the vector is as long as
     the dictionary. A dictionary within ``broadcast_bytes`` is looked up in place.
-    A larger one, or a row of very many pairs, needs a unique ``row_id`` column to
-    put rows together again after the shuffle. ``width``, the most pairs in any
+    A larger one, or a row of very many pairs, is joined by shuffle, and rows are put
+    together again by the unique column ``row_id``; without one, they are numbered and
+    written first. ``width``, the most pairs in any
     row, is measured if not given. ``keep`` names the columns to keep, all if not
     given. ``written`` rows are computed once, into the shared folder, and read
     from there by every later use.
@@ -282,7 +289,9 @@ def one_hot_encode(
             found = _encode_in_row(df, dictionary, column, kept, width)
     if found is None:
         if row_id is None:
-            raise ValueError("too large to encode by broadcast: name a unique row_id column")
+            # Numbers are safe to use once they are written.
+            row_id = "__row_id"
+            df = materialize(df.withColumn(row_id, F.monotonically_increasing_id()), "rows")
         found = _encode_by_shuffle(df, dictionary, column, kept, row_id)
     indices = F.col("__indices")
     return _with_vector(found, kept, output, dictionary.size, indices, _ones(indices), written)

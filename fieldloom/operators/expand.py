@@ -4,6 +4,7 @@ from pyspark.ml.feature import PolynomialExpansion
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import checked
 from ..functions.vectors import as_vector, dense_array
 
 
@@ -11,13 +12,15 @@ def two_way_products(features: Column, width: int | None = None) -> Column:
     """The features followed by all ordered products of two of them.
 
     Both x*y and y*x appear. A known ``width`` gives plain products in generated
-    code in place of nested array functions.
+    code in place of nested array functions; rows of another width, or with a NULL
+    entry, then fail the job.
     """
     if width is None:
         products = F.flatten(
             F.transform(features, lambda x: F.transform(features, lambda y: x * y))
         )
     else:
+        features = checked(features, width)
         items = [F.get(features, F.lit(i)) for i in range(width)]
         products = F.array(*[x * y for x in items for y in items])
     return F.concat(features, products)

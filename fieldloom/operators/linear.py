@@ -8,7 +8,9 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PolynomialExpansion
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,15 +76,17 @@ def linreg_gradient_descent(
 
     The gradient and the error of any weights follow from the second moments of
     features and label. One aggregate over the data yields those, and the
-    iterations then work on d x d numbers: one pass for any number of steps.
+    iterations then work on d x d numbers: one pass for any number of steps. Rows of
+    different widths, or with a NULL, are a ValueError.
     """
+    # The label stands first, where the width of a row cannot move it.
     joined = train.select(
-        F.concat(dense_array(train, features), F.array(F.col(label).cast("double"))).alias("z")
+        F.concat(F.array(F.col(label).cast("double")), dense_array(train, features)).alias("z")
     )
     stats = moments(joined, "z", None if width is None else width + 1)
-    mean_x, mean_y = stats.mean[:-1], stats.mean[-1]
-    cov_xx, cov_xy = stats.covariance[:-1, :-1], stats.covariance[:-1, -1]
-    var_y = stats.covariance[-1, -1]
+    mean_x, mean_y = stats.mean[1:], stats.mean[0]
+    cov_xx, cov_xy = stats.covariance[1:, 1:], stats.covariance[1:, 0]
+    var_y = stats.covariance[0, 0]
     square = cov_xx + np.outer(mean_x, mean_x)
     product = cov_xy + mean_x * mean_y
     weights = np.zeros(len(mean_x))
@@ -96,6 +100,14 @@ def linreg_gradient_descent(
     return DescentResult(weights.tolist(), errors)
 
 
+def vector_sum(df: DataFrame, features: str = "summand") -> DataFrame:
+    """Rows (i, total): the sums of all positions of a vector or array column."""
+    total = Summarizer.sum(as_vector(df, features))
+    return df.select(vector_to_array(total).alias("total")).select(
+        F.posexplode("total").alias("i", "total")
+    )
+
+
 def _labelled(df: DataFrame, features: str, label: str) -> DataFrame:
     return df.select(as_vector(df, features).alias("features"), F.col(label).alias("label"))
 

@@ -3,8 +3,7 @@
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, ElementwiseProduct
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import StandardScaler, VectorSlicer
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +14,8 @@ from ..functions.vectors import as_vector, dense_array
 
 # Up to this width every pair of columns is its own aggregate of one pass.
 _PAIRWISE_WIDTH = 16
-# Components are few when there are this many times more positions.
-_FEW = 8
+# Up to so many numbers, components are written out as sums in generated code.
+_WRITTEN_OUT = 1024
 
 
 @dataclass(frozen=True)
@@ -28,35 +27,64 @@ class Moments:
     covariance: np.ndarray
 
 
+def _uneven(width: int) -> ValueError:
+    return ValueError(f"every row needs {width} numbers, none of them NULL")
+
+
 def _pairwise_moments(df: DataFrame, features: str, width: int) -> Moments:
     values = dense_array(df, features)
-    rows = df.select(*[F.get(values, F.lit(i)).alias(f"x{i}") for i in range(width)])
+    rows = df.select(
+        F.size(values).alias("width"), *[F.get(values, F.lit(i)).alias(f"x{i}") for i in range(width)]
+    )
     pairs = [(i, j) for i in range(width) for j in range(i, width)]
     row = rows.agg(
         F.count(F.lit(1)),
+        F.min("width"),
+        F.max("width"),
+        F.array(*[F.count(f"x{i}") for i in range(width)]),
         *[F.avg(f"x{i}") for i in range(width)],
         *[F.covar_pop(f"x{i}", f"x{j}") for i, j in pairs],
     ).first()
     if row[0] == 0:
         raise ValueError("no rows")
+    if not row[1] == row[2] == width or min(row[3]) < row[0]:
+        raise _uneven(width)
     covariance = np.empty((width, width))
-    for (i, j), value in zip(pairs, row[1 + width :]):
+    for (i, j), value in zip(pairs, row[4 + width :]):
         covariance[i, j] = covariance[j, i] = value
-    return Moments(row[0], np.array(row[1 : 1 + width]), covariance)
+    return Moments(row[0], np.array(row[4 : 4 + width]), covariance)
 
 
-def _matrix_moments(df: DataFrame, features: str) -> Moments:
+def _matrix_moments(df: DataFrame, features: str, width: int) -> Moments:
+    """As above for many columns: a pass that checks the rows, then Spark's matrix passes.
+
+    Columns are centered and scaled to unit deviation first, so that small ones lose no
+    digits; constant ones stay out of the matrix.
+    """
+    values = dense_array(df, features)
+    count, least, most, nulls = df.agg(
+        F.count(F.lit(1)),
+        F.min(F.size(values)),
+        F.max(F.size(values)),
+        F.sum(F.coalesce(F.size(values) - F.size(F.array_compact(values)), F.lit(1))),
+    ).first()
+    if count == 0:
+        raise ValueError("no rows")
+    if not least == most == width or nulls:
+        raise _uneven(width)
     rows = df.select(as_vector(df, features).alias("v"))
-    metrics = Summarizer.metrics("count", "mean", "variance")
-    summary = rows.select(metrics.summary(F.col("v")).alias("s")).first()["s"]
-    count, mean, variance = summary["count"], summary["mean"].toArray(), summary["variance"].toArray()
-    if count < 2:
-        return Moments(count, mean, np.zeros((len(mean), len(mean))))
-    deviation = np.sqrt(variance * (count - 1) / count)
-    correlation = Correlation.corr(rows, "v").first()[0].toArray()
-    # A constant column has no correlation, but covariance 0.
-    covariance = np.nan_to_num(correlation) * np.outer(deviation, deviation)
-    np.fill_diagonal(covariance, deviation**2)
+    scaler = StandardScaler(inputCol="v", outputCol="scaled", withMean=True).fit(rows)
+    mean = scaler.mean.toArray()
+    deviation = scaler.std.toArray() * np.sqrt((count - 1) / count)
+    covariance = np.zeros((width, width))
+    varying = np.flatnonzero(deviation != 0)
+    if len(varying):
+        slicer = VectorSlicer(inputCol="scaled", outputCol="used", indices=varying.tolist())
+        used = slicer.transform(scaler.transform(rows))
+        correlation = Correlation.corr(used, "used").first()[0].toArray()
+        np.fill_diagonal(correlation, 1.0)
+        scale = deviation[varying]
+        covariance[np.ix_(varying, varying)] = correlation * np.outer(scale, scale)
     return Moments(count, mean, covariance)
 
 
@@ -64,20 +92,22 @@ def _first_width(df: DataFrame, features: str) -> int:
     row = df.select(F.size(dense_array(df, features))).first()
     if row is None:
         raise ValueError("no rows")
-    return row[0]
+    return row[0] or 0
 
 
 def moments(df: DataFrame, features: str = "features", width: int | None = None) -> Moments:
     """Count, means and covariance; only d and d x d values reach the driver.
 
     A known ``width`` saves the look at a first row, which is not cheap behind a
-    shuffle.
+    shuffle. Rows of another width, or with a NULL, are a ValueError.
     """
     if width is None:
         width = _first_width(df, features)
+    if width < 1:
+        raise _uneven(max(width, 1))
     if width <= _PAIRWISE_WIDTH:
         return _pairwise_moments(df, features, width)
-    return _matrix_moments(df, features)
+    return _matrix_moments(df, features, width)
 
 
 def column_means(df: DataFrame, features: str = "features") -> DataFrame:
@@ -130,43 +160,12 @@ def _turned(loadings: np.ndarray) -> np.ndarray:
 
 def _project(df: DataFrame, features: str, components: np.ndarray, output: str) -> DataFrame:
     values = dense_array(df, features)
-    return df.withColumn(output, F.array(*[dot(values, c.tolist()) for c in components.T]))
-
-
-def _narrow_pca(
-    df: DataFrame, features: str, k: int, output: str, width: int
-) -> PrincipalComponents:
-    values, vectors = np.linalg.eigh(_pairwise_moments(df, features, width).covariance)
-    vectors = vectors[:, ::-1]
-    components = (vectors * _turned(vectors))[:, :k]
-    scores = _project(df, features, components, output)
-    return PrincipalComponents(components, np.maximum(values[::-1], 0.0), scores)
-
-
-def _wide_pca(
-    df: DataFrame, features: str, k: int, output: str, width: int
-) -> PrincipalComponents:
-    rows = df.withColumn("__vector", as_vector(df, features))
-    metrics = Summarizer.metrics("count", "variance")
-    summary = rows.select(metrics.summary(F.col("__vector")).alias("s")).first()["s"]
-    total = summary["variance"].toArray().sum() * (summary["count"] - 1) / summary["count"]
-    fitted = PCA(k=width, inputCol="__vector", outputCol="__all").fit(rows)
-    eigenvalues = np.nan_to_num(fitted.explainedVariance.toArray()) * total
-    loadings = fitted.pc.toArray()
-    signs = _turned(loadings)
-    components = (loadings * signs)[:, :k]
-    if k * _FEW <= width:
-        # A few projections of wide rows cost less one by one than all at once.
-        return PrincipalComponents(
-            components, eigenvalues, _project(df, features, components, output)
-        )
-    turn = ElementwiseProduct(
-        scalingVec=Vectors.dense(signs), inputCol="__all", outputCol="__turned"
-    )
-    turned = turn.transform(fitted.transform(rows))
-    top = F.slice(vector_to_array(F.col("__turned")), 1, k)
-    scores = turned.withColumn(output, top).drop("__vector", "__all", "__turned")
-    return PrincipalComponents(components, eigenvalues, scores)
+    if components.size <= _WRITTEN_OUT:
+        scores = F.array(*[dot(values, c.tolist()) for c in components.T])
+    else:
+        matrix = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in components.T])
+        scores = F.transform(matrix, lambda c: dot(values, c))
+    return df.withColumn(output, scores)
 
 
 def pca(
@@ -180,15 +179,18 @@ def pca(
 
     Rows are projected as they are, not centered. Each component is turned so
     that its largest entry by magnitude is positive. All eigenvalues come from
-    the same fit, so shares for any ``k`` need no further pass. Narrow rows take
-    one pass for their d x d covariance; wide ones go through Spark's own PCA.
+    the same fit, so shares for any ``k`` need no further pass. Rows of another width,
+    or with a NULL, are a ValueError.
     """
     if width is None:
         width = _first_width(df, features)
     if not 1 <= k <= width:
         raise ValueError(f"k must lie in 1..{width}")
-    fit = _narrow_pca if width <= _PAIRWISE_WIDTH else _wide_pca
-    return fit(df, features, k, output, width)
+    values, vectors = np.linalg.eigh(moments(df, features, width).covariance)
+    vectors = vectors[:, ::-1]
+    components = (vectors * _turned(vectors))[:, :k]
+    scores = _project(df, features, components, output)
+    return PrincipalComponents(components, np.maximum(values[::-1], 0.0), scores)
 
 
 def variance_explained(df: DataFrame, features: str = "features", k: int = 1) -> float:

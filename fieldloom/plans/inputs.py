@@ -84,21 +84,23 @@ dictionary AS (
   FROM (SELECT DISTINCT feature_id, category FROM pairs WHERE split = 'train'))"""
 
 
+def _pieces(text: str, mark: str):
+    """Number of pieces between the marks of one character, from the marks' number alone."""
+    return F.length(text) - F.length(F.replace(F.col(text), F.lit(mark), F.lit(""))) + 1
+
+
 def document_sizes(spark: SparkSession, folder: str, dealt: bool = True) -> DataFrame:
     """Documents as ``label`` (thousands of characters) and two features.
 
     The features are pieces between spaces, in hundreds, and lines, in tens.
     """
-    documents = read_table(spark, folder, "documents")
-    if dealt:
-        documents = spread(documents)
-    sized = documents.select(
+    sized = read_table(spark, folder, "documents").select(
         "doc_id",
         (F.col("n_chars") / 1000).alias("label"),
-        F.array(
-            F.size(F.split("text", " ")) / 100, F.size(F.split("text", "\n")) / 10
-        ).alias("features"),
+        F.array(_pieces("text", " ") / 100, _pieces("text", "\n") / 10).alias("features"),
     )
+    if dealt:
+        sized = spread(sized)
     return with_split(sized, "doc_id")
 
 

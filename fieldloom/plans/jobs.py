@@ -1,9 +1,10 @@
-"""Whole jobs on text files: word counts, regression, click prediction.
+"""Whole jobs on text files: word counts, regression, click prediction, components.
 
 Run one with ``python -m fieldloom.plans.jobs JOB FILE``.
 """
 
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +23,11 @@ from ..operators.linear import (
 )
 from ..operators.logistic import add_probability, fit_logistic, fit_logistic_hashed
 from ..operators.parse import parse_categorical, parse_numeric_points, shift_label
+from ..operators.pca import pca
 from ..operators.split import with_split
 from ..operators.tokens import word_count
 from ..sources import read_lines
-from ..storage import materialize
+from ..storage import materialize, released
 
 _ITERATIONS = 50
 
@@ -34,14 +36,19 @@ def _train(df: DataFrame) -> DataFrame:
     return df.filter(F.col("split") == "train")
 
 
-def _numbered(df: DataFrame, name: str) -> DataFrame:
-    """Written rows with a number each, and their part of the split.
+def _numbered(lines: DataFrame, parse: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Parsed and written lines with a number each, and their part of the split.
 
-    Lines carry no key. Their own text is none either, as equal lines would all
-    fall into one part; the numbers are fixed once they are written.
+    Lines carry no key, and their place depends on how files are cut. The part follows
+    from the line itself and a number among its equals, so the same lines always give
+    the same parts, and equal lines still spread over all of them.
     """
-    rows = materialize(df.withColumn("row", F.monotonically_increasing_id()), name)
-    return with_split(rows, "row")
+    counted = lines.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
+    keyed = counted.select(
+        "value", F.col("value").alias("__line"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")
+    )
+    parsed = with_split(parse(keyed), ["__line", "__copy"]).drop("__line", "__copy")
+    return materialize(parsed.withColumn("row", F.monotonically_increasing_id()), name)
 
 
 def words(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
@@ -56,7 +63,8 @@ def regression(spark: SparkSession, path: str) -> DataFrame:
     grid, all two-way interactions, and a pipeline of polynomial expansion and
     regression.
     """
-    points = _numbered(shift_label(parse_numeric_points(read_lines(spark, path))), "points")
+    points = _numbered(read_lines(spark, path), parse_numeric_points, "points")
+    points = shift_label(points)
     train = _train(points)
     width = len(points.select("features").first()["features"])
 
@@ -81,10 +89,10 @@ def regression(spark: SparkSession, path: str) -> DataFrame:
 def clicks(spark: SparkSession, path: str) -> DataFrame:
     """Log loss by model and split for tab-separated lines of a 0/1 label and categories.
 
-    The models are the class fraction of the training rows, and logistic models
-    on one-hot and on hashed features.
+    The models are the class fraction (of the training rows; for test rows their own),
+    and logistic models on one-hot and on hashed features.
     """
-    rows = _numbered(parse_categorical(read_lines(spark, path, "text"), "text"), "clicks")
+    rows = _numbered(read_lines(spark, path), parse_categorical, "clicks")
     train = _train(rows)
 
     kept = ["row", "split", "label", "feature"]
@@ -96,17 +104,38 @@ def clicks(spark: SparkSession, path: str) -> DataFrame:
     hashed = hash_features(scored, keep=["split", "label", "one_hot"], written=True)
     hashed_model = fit_logistic_hashed(_train(hashed))
     scored = add_probability(hashed, hashed_model, output="hashed").drop("features")
+    # Test rows are held against their own class fraction, the others against that of
+    # the training rows.
+    own = rows.filter(F.col("split") == "test").selectExpr("mean(label)").scalar()
     scored = add_baseline(scored, train, output="baseline")
+    scored = scored.withColumn("baseline", F.when(F.col("split") == "test", own).otherwise(F.col("baseline")))
     models = ["baseline", "one_hot", "hashed"]
     return compare_models(scored, {name: name for name in models}, "log_loss")
 
 
-JOBS = {"words": words, "regression": regression, "clicks": clicks}
+def components(spark: SparkSession, path: str, k: int = 2) -> DataFrame:
+    """Rows (component, eigenvalue, share, loadings) for lines ``x0,x1,...``.
+
+    The share is that of the variance along the components up to this one.
+    """
+    numbers = F.transform(F.split("value", ","), lambda x: x.cast("double"))
+    points = materialize(read_lines(spark, path).select(numbers.alias("features")), "points")
+    found = pca(points, k=min(k, len(points.first()["features"])))
+    rows = [
+        (i, float(value), found.variance_explained(i + 1), found.components[:, i].tolist())
+        for i, value in enumerate(found.eigenvalues[: found.components.shape[1]])
+    ]
+    shape = "component int, eigenvalue double, share double, loadings array<double>"
+    return spark.createDataFrame(rows, shape)
+
+
+JOBS = {"words": words, "regression": regression, "clicks": clicks, "components": components}
 
 
 if __name__ == "__main__":
     if len(sys.argv) != 3 or sys.argv[1] not in JOBS:
         sys.exit(f"usage: jobs {{{','.join(JOBS)}}} FILE")
     session = SparkSession.builder.appName(sys.argv[1]).getOrCreate()
-    JOBS[sys.argv[1]](session, sys.argv[2]).show(1000, truncate=False)
+    with released(session):
+        JOBS[sys.argv[1]](session, sys.argv[2]).show(1000, truncate=False)
     session.stop()

@@ -47,6 +47,16 @@ def gradient_summands(spark, folder):
     )
 
 
+def gradient_sum(spark, folder):
+    points = parse_numeric_points(order_point_lines(spark, folder))
+    total = lin.vector_sum(lin.gradient_summand(points, _WEIGHTS))
+    # Labels are years: sums grow with the rows, means do not.
+    rows = points.agg(F.count(F.lit(1))).scalar()
+    return total.select(
+        F.col("i").cast("bigint").alias("i"), rounded(F.col("total") / rows).alias("mean_gradient")
+    )
+
+
 def linear_predictions(spark, folder):
     points = parse_numeric_points(order_point_lines(spark, folder))
     return lin.linear_prediction(points, _WEIGHTS)
@@ -65,7 +75,7 @@ def gd_error_curve(spark, folder):
 
 
 def linreg_ols(spark, folder):
-    points = price_points(spark, folder).withColumn("features", F.slice("features", 1, 2))
+    points = price_points(spark, folder)
     table_of = lin.coefficient_table(points, lin.fit_linear(points, regParam=0.0))
     return table_of.select(
         F.col("idx").cast("bigint").alias("idx"), rounded("coefficient").alias("coefficient")
@@ -150,6 +160,7 @@ def model_comparison(spark, folder):
 
 QUERIES = {
     "gradient_summands": gradient_summands,
+    "gradient_sum": gradient_sum,
     "linear_predictions": linear_predictions,
     "gd_weights": gd_weights,
     "gd_error_curve": gd_error_curve,
@@ -206,6 +217,10 @@ ORACLES = {
   SELECT o_orderkey, ({_DOT} - label) * x0 AS g0, ({_DOT} - label) * x1 AS g1,
          ({_DOT} - label) * x2 AS g2
   FROM points""",
+    "gradient_sum": f"""WITH {ORDER_POINTS_SQL}
+  SELECT 0::BIGINT AS i, round(avg(({_DOT} - label) * x0), 6) + 0.0 AS mean_gradient FROM points
+  UNION ALL SELECT 1, round(avg(({_DOT} - label) * x1), 6) + 0.0 FROM points
+  UNION ALL SELECT 2, round(avg(({_DOT} - label) * x2), 6) + 0.0 FROM points""",
     "linear_predictions": f"""WITH {ORDER_POINTS_SQL}
   SELECT {_DOT} AS prediction, label FROM points""",
     "gd_weights": f"""{_DESCENT_SQL}
@@ -215,17 +230,23 @@ ORACLES = {
     "gd_error_curve": f"""{_DESCENT_SQL}
   SELECT i::BIGINT AS iteration, round(sqrt(avg(power(w1*x1 + w2*x2 + w3*x3 - y, 2))), 6) AS rmse
   FROM w, prices WHERE i < {_ITERATIONS} GROUP BY i""",
+    # Three normal equations, solved by Cramer's rule.
     "linreg_ols": f"""WITH {PRICE_POINTS_SQL},
 s AS (
-  SELECT covar_pop(x1, x1) AS s11, covar_pop(x1, x2) AS s12, covar_pop(x2, x2) AS s22,
-         covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my
+  SELECT covar_pop(x1, x1) AS a, covar_pop(x1, x2) AS b, covar_pop(x1, x3) AS c,
+         covar_pop(x2, x2) AS d, covar_pop(x2, x3) AS e, covar_pop(x3, x3) AS f,
+         covar_pop(x1, y) AS p, covar_pop(x2, y) AS q, covar_pop(x3, y) AS r,
+         avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my
   FROM prices),
-f AS (
-  SELECT (s1y*s22 - s2y*s12) / (s11*s22 - s12*s12) AS b1,
-         (s2y*s11 - s1y*s12) / (s11*s22 - s12*s12) AS b2, m1, m2, my FROM s)
-  SELECT -1::BIGINT AS idx, round(my - b1*m1 - b2*m2, 6) + 0.0 AS coefficient FROM f
-  UNION ALL SELECT 0, round(b1, 6) + 0.0 FROM f
-  UNION ALL SELECT 1, round(b2, 6) + 0.0 FROM f""",
+w AS (
+  SELECT (p*(d*f - e*e) - b*(q*f - e*r) + c*(q*e - d*r)) / det AS b1,
+         (a*(q*f - e*r) - p*(b*f - e*c) + c*(b*r - q*c)) / det AS b2,
+         (a*(d*r - q*e) - b*(b*r - q*c) + p*(b*e - d*c)) / det AS b3, m1, m2, m3, my
+  FROM (SELECT *, a*(d*f - e*e) - b*(b*f - e*c) + c*(b*e - d*c) AS det FROM s))
+  SELECT -1::BIGINT AS idx, round(my - b1*m1 - b2*m2 - b3*m3, 6) + 0.0 AS coefficient FROM w
+  UNION ALL SELECT 0, round(b1, 6) + 0.0 FROM w
+  UNION ALL SELECT 1, round(b2, 6) + 0.0 FROM w
+  UNION ALL SELECT 2, round(b3, 6) + 0.0 FROM w""",
     "linreg_elastic": f"""WITH {DOCUMENT_SIZES_SQL},
 s AS (SELECT {_MOMENTS}, 0.1::DOUBLE AS reg FROM sized),
 f AS (SELECT {_ELASTIC_W} AS w, mx, my FROM s)

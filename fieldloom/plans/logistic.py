@@ -77,6 +77,14 @@ def constant_log_loss(spark, folder):
     return evaluate_results(rows, baseline=0.5).select(rounded("log_loss").alias("log_loss"))
 
 
+def model_log_loss(spark, folder):
+    """A fitted model without penalty or features that vary has the class fraction everywhere."""
+    rows = _labelled_documents(spark, folder)
+    constant = rows.withColumn("features", F.array(F.lit(1.0), F.lit(2.0)))
+    model = fit_logistic(constant, regParam=0.0, **_CONVERGED)
+    return evaluate_results(constant, model=model).select(rounded("log_loss", 5).alias("log_loss"))
+
+
 def fixed_model_probability(spark, folder):
     rows = _labelled_documents(spark, folder)
     raw = dot(F.col("features"), _WEIGHTS) + _INTERCEPT
@@ -121,7 +129,7 @@ def logistic_one_hot_optimum(spark, folder):
     rows = clicks(spark, folder, dealt=False)
     train = _part(rows, "train")
     encoded = one_hot_encode(
-        train, build_dictionary(train), width=4, keep=["label"], written=True
+        train, build_dictionary(train), row_id="o_orderkey", width=4, keep=["label"], written=True
     )
     model = fit_logistic(encoded, **_CONVERGED)
     scored = add_probability(encoded, model)
@@ -156,6 +164,7 @@ QUERIES = {
     "class_fraction": class_fraction,
     "baseline_log_loss": baseline_log_loss,
     "constant_log_loss": constant_log_loss,
+    "model_log_loss": model_log_loss,
     "fixed_model_probability": fixed_model_probability,
     "logistic_mean_identity": logistic_mean_identity,
     "logistic_one_hot_optimum": logistic_one_hot_optimum,
@@ -189,6 +198,10 @@ scored AS (
   SELECT split, round(avg({loss_sql("p", "label")}), 6) AS log_loss FROM scored GROUP BY split""",
     "constant_log_loss": """
   SELECT round(avg(-ln(0.5::DOUBLE)), 6) AS log_loss FROM labels JOIN documents USING (doc_id)""",
+    "model_log_loss": f"""
+  SELECT round(avg({loss_sql("p", "quality")}), 5) AS log_loss
+  FROM (SELECT quality, (SELECT avg(quality) FROM labels JOIN documents USING (doc_id)) AS p
+        FROM labels JOIN documents USING (doc_id))""",
     "fixed_model_probability": f"""WITH {DOCUMENT_SIZES_SQL},
 scored AS (
   SELECT doc_id, quality, 1 / (1 + exp(-greatest(-20, least(20, {_RAW})))) AS p

@@ -11,7 +11,7 @@ from ..operators.parse import (
 )
 from ..operators.split import random_split, with_split
 from ..operators.tokens import tokenize, word_count as count_words
-from ..sources import read_lines, read_table, spread
+from ..sources import read_lines, read_table
 from ..storage import new_path
 from .inputs import (
     CLICKS_SQL,
@@ -24,15 +24,15 @@ from .inputs import (
 
 
 def word_count(spark, folder):
-    return count_words(spread(read_table(spark, folder, "documents")), "text")
+    return count_words(read_table(spark, folder, "documents"), "text")
 
 
 def word_count_top10(spark, folder):
-    return count_words(spread(read_table(spark, folder, "documents")), "text", k=10)
+    return count_words(read_table(spark, folder, "documents"), "text", k=10)
 
 
 def tokenize_documents(spark, folder):
-    documents = spread(read_table(spark, folder, "documents"))
+    documents = read_table(spark, folder, "documents")
     words = tokenize(documents.select("doc_id", "text"), "text")
     return words.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("pieces"),

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +20,41 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="fieldloom-")
     spark.conf.set(_SETTING, folder)
     return folder
 
 
+_written: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other table uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _written:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Delete, at the end of the block, every table that was written inside it.
+
+    Results that are still needed then have to be computed or written elsewhere first.
+    """
+    paths: list[str] = []
+    _written.append(paths)
+    try:
+        yield
+    finally:
+        _written.remove(paths)
+        jvm = spark._jvm
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -19,6 +19,7 @@ from fieldloom.operators.encode import (
 )
 
 SCHEMA = "id long, feature array<struct<_1: short, _2: string>>"
+# The toy rows and numbers of the usual examples.
 ANIMALS = [
     (0, "bear"), (0, "cat"), (0, "mouse"), (1, "black"), (1, "tabby"), (2, "mouse"), (2, "salmon"),
 ]
@@ -128,7 +129,7 @@ def test_shuffled_encoding_with_hot_known_and_unknown_pairs(spark, monkeypatch):
     train = [(i, [p for p in pairs if p != (1, "new")]) for i, pairs in rows[:900]]
     dictionary = build_dictionary(spark.createDataFrame(train, SCHEMA))
     df = spark.createDataFrame(rows, SCHEMA).withColumn("label", F.col("id") * 2)
-    hot = encode._hot_pairs(df, dictionary, "feature").collect()
+    hot = encode._hot_pairs(encode.explode_pairs(df.select("feature")), dictionary).collect()
     assert {("hot", True), ("new", False), ("", True)} <= {(r.category, r.idx is not None) for r in hot}
     encoded = one_hot_encode(df, dictionary, row_id="id", broadcast_bytes=0)
     assert encoded.columns == ["id", "feature", "label", "features"]
@@ -138,9 +139,17 @@ def test_shuffled_encoding_with_hot_known_and_unknown_pairs(spark, monkeypatch):
     assert all(row.label == 2 * i and len(row.feature) == 3 for i, row in found.items())
 
 
-def test_large_dictionary_needs_row_id(animals):
-    with pytest.raises(ValueError, match="row_id"):
-        one_hot_encode(animals, build_dictionary(animals), broadcast_bytes=0)
+def test_large_dictionary_without_row_id(animals):
+    dictionary = build_dictionary(animals)
+    small = one_hot_encode(animals, dictionary, keep=["id"])
+    large = one_hot_encode(animals, dictionary, keep=["id"], broadcast_bytes=0)
+    assert large.columns == small.columns
+    assert sorted(map(tuple, large.collect())) == sorted(map(tuple, small.collect()))
+
+
+def test_shuffled_encoding_joins_by_shuffle(animals, capsys):
+    one_hot_encode(animals, build_dictionary(animals), row_id="id", broadcast_bytes=0).explain()
+    assert "SortMergeJoin" in capsys.readouterr().out
 
 
 def test_too_small_width_fails_instead_of_dropping(animals):

@@ -1,7 +1,12 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 
+from fieldloom.operators.parse import parse_numeric_points
 from fieldloom.plans import jobs
+from fieldloom.sources import read_lines
+from fieldloom.storage import new_path, released
 
 
 def table(df):
@@ -30,6 +35,35 @@ def test_regression(spark, tmp_path):
     assert found["grid", "validation"] <= found["elastic_net", "validation"]
 
 
+def test_split_does_not_depend_on_how_files_are_cut(spark, tmp_path):
+    lines = [f"{i % 700}.0,{i % 30}.5,2.0" for i in range(3000)]
+    (tmp_path / "lines").write_text("\n".join(lines))
+    parts = []
+    for size in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = jobs._numbered(read_lines(spark, str(tmp_path / "lines")), parse_numeric_points, "points")
+        parts.append(sorted((r.label, tuple(r.features), r.split) for r in rows.collect()))
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts[0] == parts[1] and len(parts[0]) == 3000
+
+
+def test_components(spark, tmp_path):
+    rows = np.random.default_rng(2).standard_normal((50, 3)) * [1.0, 5.0, 2.0]
+    (tmp_path / "points").write_text("\n".join(",".join(map(repr, map(float, row))) for row in rows))
+    found = jobs.components(spark, str(tmp_path / "points")).collect()
+    values = np.linalg.eigvalsh(np.cov(rows.T, bias=True))[::-1]
+    assert np.allclose([r.eigenvalue for r in found], values[:2])
+    assert found[1].share == pytest.approx(values[:2].sum() / values.sum())
+
+
+def test_released_tables_are_deleted(spark):
+    with released(spark):
+        path = new_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert Path(path).exists()
+    assert not Path(path).exists()
+
+
 def test_clicks(spark, tmp_path):
     draw = np.random.default_rng(6)
     lines = []

@@ -21,6 +21,7 @@ from fieldloom.operators.linear import (
     grid_search,
     linear_prediction,
     linreg_gradient_descent,
+    vector_sum,
 )
 from fieldloom.operators.logistic import add_probability, fit_logistic, fit_logistic_hashed
 
@@ -40,6 +41,35 @@ def test_gradient_summand(spark):
     assert gradient_summand(df, [1, 1, 1]).first().summand == [18.0, 6.0, 24.0]
 
 
+@pytest.mark.parametrize("d", [2, 17, 64, 65])
+@pytest.mark.parametrize("wrong", [1, -1, None])
+def test_dot_of_uneven_rows_fails(spark, d, wrong):
+    row = [1.0] * (d - 1) + [None] if wrong is None else [1.0] * (d + wrong)
+    df = spark.createDataFrame([(1.0, row)], POINTS)
+    with pytest.raises(Exception, match="numbers"):
+        linear_prediction(df, [1.0] * d).collect()
+
+
+def test_descent_on_uneven_rows_fails(spark):
+    df = spark.createDataFrame([(1.0, [1.0, 2.0]), (2.0, [1.0, 2.0, 3.0])], POINTS)
+    with pytest.raises(ValueError):
+        linreg_gradient_descent(df, 3)
+    with pytest.raises(ValueError):
+        linreg_gradient_descent(df.limit(1), 3, width=1)
+
+
+def test_interactions_of_another_width_fail(spark):
+    df = spark.createDataFrame([(1.0, [1.0, 2.0])], POINTS)
+    with pytest.raises(Exception, match="numbers"):
+        two_way_interactions(df, width=1).collect()
+
+
+def test_vector_sum(spark):
+    df = spark.createDataFrame([(2.0, [3.0, 1.0]), (1.0, [1.0, 1.0])], POINTS)
+    summands = gradient_summand(df, [1.0, 0.0])
+    assert [tuple(row) for row in vector_sum(summands).collect()] == [(0, 3.0), (1, 1.0)]
+
+
 def test_linear_prediction(spark):
     df = spark.createDataFrame([(2.0, [1.0, 0.5]), (1.5, [0.5, 0.5])], POINTS)
     found = [tuple(row) for row in linear_prediction(df, [1.0, 1.5]).collect()]

@@ -80,6 +80,35 @@ def test_variance_explained(spark):
     assert variance_explained(df, k=2) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("d", [2, 16, 17, 64, 65])
+@pytest.mark.parametrize("fault", ["long", "short", "null entry", "null row", "width"])
+def test_uneven_rows_are_an_error(spark, d, fault):
+    rows = [[float(i + j) for j in range(d)] for i in range(4)]
+    width = d
+    if fault == "long":
+        rows.append([1.0] * (d + 1))
+    elif fault == "short":
+        rows.append([1.0] * (d - 1))
+    elif fault == "null entry":
+        rows.append([1.0] * (d - 1) + [None])
+    elif fault == "null row":
+        rows.append(None)
+    else:
+        width = d + 1
+    df = spark.createDataFrame([(row,) for row in rows], "features array<double>")
+    with pytest.raises(ValueError, match="numbers"):
+        moments(df, width=width)
+
+
+@pytest.mark.parametrize("d", [16, 17])
+def test_small_columns_keep_their_covariance(spark, d):
+    draw = np.random.default_rng(d)
+    rows = 1e-7 * (draw.standard_normal((300, 1)) + 0.1 * draw.standard_normal((300, d)))
+    expected = np.cov(rows.T, bias=True)
+    found = moments(frame(spark, rows)).covariance
+    assert np.allclose(found, expected, rtol=1e-6, atol=0)
+
+
 def test_k_out_of_range(spark):
     with pytest.raises(ValueError):
         pca(frame(spark, ROWS), k=5)
