@@ -138,22 +138,25 @@ def write_tokens(
     spark = docs.sparkSession
     kind = id_type(path, end)
     plain = docs.select(F.col(key).alias("__key"), "text")
-    tokens = written(tokenized(plain, path, end=end), "tokens")
+    tokens = written(tokenized(plain, path, end=end, counted=True), "tokens")
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids = _flat(batch.column(batch.schema.get_field_index("ids")), kind)[0]
-            part = np.bincount(ids, minlength=len(total))
-            part[: len(total)] += total
-            total = part
+            for data in batch.column(0):
+                raw = data.as_py()
+                n = len(raw) // 12
+                ids = np.frombuffer(raw, np.uint32, n)
+                total = np.pad(total, (0, max(0, int(ids.max(initial=0)) + 1 - len(total))))
+                total[ids] += np.frombuffer(raw, np.int64, n, offset=4 * n)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int64)), pa.array(total[used])], names=["id", "n"]
         )
 
     counted = (
-        tokens.select("ids")
+        tokens.select("counts")
+        .filter("counts is not null")
         .mapInArrow(count, "id long, n long")
         .groupBy("id")
         .agg(F.sum("n").alias("n"))
@@ -168,7 +171,7 @@ def write_tokens(
     ).coalesce(1).write.parquet(f"{folder}/codebook")
     book = spark.sparkContext.broadcast(lengths)
     key_field = T.StructField("__key", plain.schema["__key"].dataType)
-    coded = tokens.mapInArrow(
+    coded = tokens.drop("counts").mapInArrow(
         _Encode(book, kind),
         T.StructType(
             [

@@ -25,7 +25,8 @@ from ..storage import materialize
 from .common import slices, text_bytes, word_codes
 from .components import components
 
-BANDS, BAND_ROWS = 54, 6
+#: Chance at most that no band of two sets at the threshold agrees, and coordinates at most.
+MISS, MOST_BINS = 1e-7, 360
 # Classes in one block of the last comparison.
 BLOCK = 200
 #: Ids sent to every executor at most, at eight bytes each. More are joined by shuffle.
@@ -33,6 +34,17 @@ BROADCAST_IDS = 2_000_000
 SLICE_BYTES = 2 << 20
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows of each: the longest bands that miss a pair at the threshold hardly ever."""
+    best = (MOST_BINS, 1)
+    for rows in range(1, 17):
+        agree = (percent / 100) ** rows
+        bands = int(np.ceil(np.log(MISS) / np.log1p(-agree))) if agree < 1 else 1
+        if bands * rows <= MOST_BINS:
+            best = (bands, rows)
+    return best
+
+
 def _word_bytes() -> np.ndarray:
     """Byte to lower-cased word byte; 0 for white space. Byte 0 itself is a word byte."""
     out = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint16)
@@ -134,8 +146,9 @@ def _list_array(values: np.ndarray, width: int) -> pa.Array:
 
 
 class _Signatures:
-    def __init__(self, words, text):
+    def __init__(self, words, text, percent):
         self.words, self.text = words, text
+        self.bands, self.rows = banding(percent)
 
     def __call__(self, batches):
         for batch in slices(batches, self.text, SLICE_BYTES):
@@ -145,7 +158,8 @@ class _Signatures:
             # Two sums of hashes name the set.
             one = _sums(_mix(hashes, 11), offsets)
             two = _sums(_mix(hashes, 23), offsets)
-            keys = band_keys(sketches(hashes, offsets, BANDS * BAND_ROWS), BANDS, BAND_ROWS)
+            sketch = sketches(hashes, offsets, self.bands * self.rows)
+            keys = band_keys(sketch, self.bands, self.rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     column("__id"),
@@ -153,7 +167,7 @@ class _Signatures:
                     pa.array(sizes.astype(np.int64)),
                     pa.array(one.view(np.int64)),
                     pa.array(two.view(np.int64)),
-                    _list_array(keys, BANDS),
+                    _list_array(keys, self.bands),
                 ],
                 names=["id", "text_hash", "n", "d1", "d2", "bands"],
             )
@@ -288,7 +302,7 @@ def near_duplicates(
         F.xxhash64(text).alias("__text_hash"),
         F.col(text).alias("__text"),
     )
-    signed = materialize(base.mapInArrow(_Signatures(words, "__text"), _SIGNATURE), "signatures")
+    signed = materialize(base.mapInArrow(_Signatures(words, "__text", percent), _SIGNATURE), "signatures")
     # Documents of equal sets are one class, named by its smallest id; a class without
     # any id takes no part in links with others.
     classes = materialize(

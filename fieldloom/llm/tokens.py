@@ -1,7 +1,7 @@
 """Token ids of whole texts by a tokenizer file, at the cost of the distinct words.
 
-Texts are cut before every space that follows no white space, where no token of the
-supported tokenizers runs across. Each distinct piece of a slice of texts is then
+Texts are cut before every space, and around every newline, that follows no white space,
+where no token of the supported tokenizers runs across. Each distinct piece of a slice of texts is then
 tokenized once, and frequent pieces once per worker.
 """
 
@@ -29,7 +29,7 @@ _WHITE = (
     "\t-\r\x1c-\x20\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff"
 )
 _MARK = "\x01"
-_ODD = f"[{_WHITE}] |{_MARK}"
+_ODD = f"[{_WHITE}][ \n]|\n[{_WHITE}]|{_MARK}"
 _CUT = re.compile(f"(?<=[^{_WHITE}])(?= )")
 
 # A word of these letters and the marks behind it are tokens apart, for every tokenizer
@@ -180,6 +180,7 @@ class PieceEncoder:
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         plain = texts.filter(pa.array(~odd))
         marked = pc.replace_substring(plain, " ", _MARK + " ")
+        marked = pc.replace_substring(marked, "\n", f"{_MARK}\n{_MARK}")
         lists = pc.split_pattern(marked, _MARK)
         counts = np.zeros(len(texts), np.int64)
         counts[~odd] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
@@ -229,16 +230,21 @@ def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, ends, data])
 
 
-def tokenized(docs: DataFrame, path: str, text: str = "text", end: int = END_ID) -> DataFrame:
+def tokenized(
+    docs: DataFrame, path: str, text: str = "text", end: int = END_ID, counted: bool = False
+) -> DataFrame:
     """``docs`` with ``text`` replaced by n_tokens and ids (little-endian, two or four bytes).
 
-    A null or empty text has the end id alone.
+    A null or empty text has the end id alone. If ``counted``, the column ``counts`` of
+    some rows has the ids of several rows with their numbers, each occurrence in one of
+    them: four-byte ids, then as many eight-byte numbers.
     """
     kind = np.uint16 if narrow(path, end) else np.uint32
-    kept = [f for f in docs.schema.fields if f.name not in (text, "n_tokens", "ids")]
-    schema = T.StructType(
-        [*kept, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
-    )
+    kept = [f for f in docs.schema.fields if f.name not in (text, "n_tokens", "ids", "counts")]
+    new = {"n_tokens": T.LongType(), "ids": T.BinaryType()}
+    if counted:
+        new["counts"] = T.BinaryType()
+    schema = T.StructType([*kept, *(T.StructField(name, t) for name, t in new.items())])
 
     def run(batches):
         tool = encoder(path)
@@ -246,10 +252,13 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", end: int = END_ID)
             ids, offsets = tool.encode(batch.column(batch.schema.get_field_index(text)))
             ids, offsets = with_end(ids, offsets, end)
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(np.diff(offsets)), binaries(ids.astype(kind), offsets)],
-                names=schema.names,
-            )
+            columns += [pa.array(np.diff(offsets)), binaries(ids.astype(kind), offsets)]
+            if counted:
+                number = np.bincount(ids)
+                used = np.flatnonzero(number)
+                data = used.astype(np.uint32).tobytes() + number[used].astype(np.int64).tobytes()
+                columns.append(pa.array([data] + [None] * (batch.num_rows - 1), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     names = [f.name for f in kept]
     return docs.select(*names, F.col(text)).mapInArrow(run, schema)
