@@ -143,7 +143,6 @@ class PageLines(HTMLParser):
         """Close all elements from ``depth`` on."""
         if self.skipped_at and self.skipped_at > depth:
             self.skipped_at = 0
-            self.parts, self.tags = [], 0
         elif not self.skipped_at and any(t in _BLOCKS for t in self.stack[depth:]):
             self._flush()
         del self.stack[depth:]

@@ -75,6 +75,8 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int):
     texts = len(sizes)
     runs = np.where(sizes >= words, sizes - words + 1, np.minimum(sizes, 1))
     total = int(runs.sum())
+    if not total:
+        return np.zeros(0, np.uint64), np.zeros(texts + 1, np.int64)
     of = np.repeat(np.arange(texts), runs)
     at = np.arange(total) - np.repeat(np.cumsum(runs) - runs, runs) + counts[:-1][of]
     length = np.minimum(words, sizes)[of]
@@ -82,7 +84,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int):
         hashes = np.zeros(total, np.uint64)
         for k in range(words):
             here = length > k
-            part = np.where(here, codes[np.minimum(at + k, max(0, len(codes) - 1))] if total else 0, 0)
+            part = np.where(here, codes[np.minimum(at + k, len(codes) - 1)], np.uint64(0))
             hashes = np.where(here, _mix(hashes * np.uint64(0x9E3779B97F4A7C15) + part, k + 1), hashes)
     order = np.argsort(hashes, kind="stable")
     # Texts of a slice are few, so that the second, stable sort is a counting sort.

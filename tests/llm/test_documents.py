@@ -1,6 +1,5 @@
 """Secret scan, decontamination, near duplicates, repeated substrings, pages, quality."""
 
-import hashlib
 import random
 
 import brute
@@ -261,4 +260,4 @@ def test_attention_weighs_passages():
     raw = np.frombuffer(b"word " * 100, np.uint8)
     features, before = quality.passages(raw, np.array([0, len(raw), len(raw)]))
     assert features.shape == (4, quality.FEATURES) and list(before) == [0, 3, 4]
-    assert hashlib.sha256(features[3, :-1].tobytes()).hexdigest() and not features[3, :-1].any()
+    assert not features[3, :-2].any() and features[3, -1] == 1
