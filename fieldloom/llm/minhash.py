@@ -8,9 +8,9 @@ Jaccard similarity of the sets, and concentrate like independent ones. Bands of
 coordinates make candidates, and whole sets decide on them.
 
 Documents with equal sets are one class from the start. In every bucket of a band, all
-classes are first compared with one of them, twice; the classes that no comparison has
-yet brought together with the rest of their bucket are then compared in blocks, all with
-all. So no link between different texts depends on a choice of centres.
+classes are first compared with one of them, in several rounds; the classes that no
+comparison has yet brought together with the rest of their bucket are then compared with
+all of it, in blocks. So no link between different texts depends on a choice of centres.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from .components import components
 
 #: Chance at most that no band of two sets at the threshold agrees, and coordinates at most.
 MISS, MOST_BINS = 1e-7, 360
+#: Rounds in which every bucket is compared with one of its classes.
+ROUNDS = 3
 # Classes in one block of the last comparison.
 BLOCK = 200
 #: Ids sent to every executor at most, at eight bytes each. More are joined by shuffle.
@@ -241,46 +243,39 @@ def _common(left: np.ndarray, right: np.ndarray) -> int:
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def _block_links(percent: int):
-    """Links between different components among the members of two blocks of a bucket."""
-
-    def run(batches):
-        rows = pa.Table.from_batches(batches).sort_by([("component", "ascending"), ("id", "ascending")])
-        ids = rows["id"].to_numpy()
-        component = rows["component"].to_numpy()
-        block = rows["block"].to_numpy()
-        first, second = rows["i"][0].as_py(), rows["j"][0].as_py()
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["items"].combine_chunks()]
-        sizes = np.array([len(s) for s in sets], np.int64)
-        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.cumsum(sizes) - sizes
-        mark = np.zeros(int(codes.max(initial=-1)) + 1, np.int64)
-        joined: dict[int, int] = {}
-
-        def root(c):
-            while joined.get(c, c) != c:
-                c = joined[c]
-            return c
-
-        found = []
-        for i in np.flatnonzero(block == first):
-            own = codes[starts[i] : starts[i] + sizes[i]]
-            mark[own] = 1
-            common = np.add.reduceat(mark[codes], starts)
-            mark[own] = 0
-            linked = 100 * common >= percent * (sizes[i] + sizes - common)
-            linked &= (block == second) & (component != component[i])
-            for j in np.flatnonzero(linked):
-                a, b = root(int(component[i])), root(int(component[j]))
-                if a != b:
-                    joined[max(a, b)] = min(a, b)
-                    found.append((int(ids[i]), int(ids[j])))
-        yield pa.RecordBatch.from_pydict(
-            {"a": [x for x, _ in found], "b": [y for _, y in found]},
-            schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]),
-        )
-
-    return run
+def _one_table(rows: pa.Table, percent: int) -> pa.Table:
+    """Links between different components, from those that ask to those of their block."""
+    rows = rows.sort_by([("component", "ascending"), ("id", "ascending"), ("asks", "ascending")])
+    ids, component = rows["id"].to_numpy(), rows["component"].to_numpy()
+    asks = rows["asks"].to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["items"].combine_chunks()]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    mark = np.zeros(int(codes.max(initial=-1)) + 1, np.int64)
+    joined: dict[int, int] = {}
+
+    def root(c):
+        while joined.get(c, c) != c:
+            c = joined[c]
+        return c
+
+    found = []
+    for i in np.flatnonzero(asks):
+        own = codes[starts[i] : starts[i] + sizes[i]]
+        mark[own] = 1
+        common = np.add.reduceat(mark[codes], starts)
+        mark[own] = 0
+        linked = 100 * common >= percent * (sizes[i] + sizes - common)
+        for j in np.flatnonzero(linked & ~asks & (component != component[i])):
+            a, b = root(int(component[i])), root(int(component[j]))
+            if a != b:
+                joined[max(a, b)] = min(a, b)
+                found.append((int(ids[i]), int(ids[j])))
+    return pa.table(
+        {"a": [x for x, _ in found], "b": [y for _, y in found]},
+        schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]),
+    )
 
 
 def near_duplicates(
@@ -315,39 +310,40 @@ def near_duplicates(
     )
     alive = classes.filter("rep is not null")
     rows = alive.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("m"))
-    crowded = materialize(
-        rows.join(shared.filter("m > 1"), "bucket").select("bucket", "rep", "n", "center"), "buckets"
-    )
-    # Names of classes that share an id with another class (rows of one id with
-    # different texts) stand for the same node.
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    crowded = materialize(rows.join(shared, "bucket"), "buckets")
+    # A class that meets many others is likely to resemble them: it makes a good centre.
+    met = crowded.groupBy("rep").agg(F.sum("m").alias("met"))
+    crowded = materialize(crowded.join(met, "rep").select("bucket", "rep", "met"), "buckets")
     fetch = _Fetch(base, words)
     links, parts = None, None
-    for turn in range(2):
+    for _ in range(ROUNDS):
+        best = F.max(F.struct(F.col("met"), (-F.col("rep")).alias("back")))
+        centers = crowded.groupBy("bucket").agg((-best["back"]).alias("center"))
+        crowded = materialize(crowded.join(centers, "bucket"), "buckets")
         pairs = crowded.filter("rep <> center").select("center", "rep").distinct()
         new = _verified(fetch, pairs, percent)
         links = new if links is None else links.unionByName(new)
         parts = components(links)
         # What was compared with all others of its bucket is done with; so is a bucket
         # whose other members have all come together.
-        rest = crowded.filter("rep <> center").drop("center", "component", "m")
+        rest = crowded.filter("rep <> center").select("bucket", "rep", "met")
         rest = (
             rest.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
             .withColumn("component", F.coalesce("component", "rep"))
         )
         open_ = (
             rest.groupBy("bucket")
-            .agg(
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-                F.min("rep").alias("center"),
-                F.count(F.lit(1)).alias("m"),
-            )
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
             .filter("low <> high")
+            .select("bucket")
         )
-        crowded = materialize(rest.join(open_.drop("low", "high"), "bucket"), "buckets")
-    if not crowded.isEmpty():
-        links = links.unionByName(_compare_blocks(fetch, crowded, percent))
+        crowded = materialize(rest.join(open_, "bucket"), "buckets")
+        if crowded.isEmpty():
+            break
+        left, crowded = crowded, crowded.drop("component")
+    else:
+        links = links.unionByName(_compare_blocks(fetch, left, percent))
         parts = components(links)
     found = classes.select("d1", "d2", F.col("n").alias("size"), "rep").join(
         parts.withColumnRenamed("node", "rep"), "rep", "left"
@@ -396,31 +392,44 @@ def _verified(fetch: _Fetch, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _compare_blocks(fetch: _Fetch, crowded: DataFrame, percent: int) -> DataFrame:
-    """Links between components of each bucket, from all pairs of its blocks of classes."""
+    """Links between components of each bucket, all its members compared in blocks.
+
+    Members outside the bucket's largest component are compared with all members; those
+    inside it need no comparison with each other.
+    """
     ids = materialize(crowded.select(F.col("rep").alias("id")).distinct(), "compared")
     sets = materialize(fetch(ids), "sets")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    placed = crowded.select(
-        "bucket", F.col("rep").alias("id"), "component",
-        F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), blocks.alias("blocks"),
+    groups = crowded.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
+    sizes = groups.groupBy("bucket").agg(
+        F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("m")
     )
-    # Block k meets every block, itself included, in the pairs (i, j) with i <= j.
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "id", "component", "block",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    count = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    placed = crowded.select("bucket", F.col("rep").alias("id"), "component").join(
+        sizes.select(
+            "bucket",
+            F.col("most.component").alias("largest"),
+            count(F.col("m")).alias("all"),
+            count(F.col("m") - F.col("most.size")).alias("asking"),
+        ),
+        "bucket",
+    )
+    own = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    names = ["bucket", "i", "j", "id", "component", "asks"]
+    held = placed.select("*", own("all").alias("i"), every("asking").alias("j"), F.lit(False).alias("asks"))
+    asking = placed.filter("component <> largest").select(
+        "*", own("asking").alias("j"), every("all").alias("i"), F.lit(True).alias("asks")
     )
     return materialize(
-        dealt.join(sets, "id")
+        held.select(*names)
+        .unionByName(asking.select(*names))
+        .join(sets, "id")
         .groupBy("bucket", "i", "j")
         .applyInArrow(lambda rows: _one_table(rows, percent), "a long, b long"),
         "similar",
     )
 
 
-def _one_table(rows: pa.Table, percent: int) -> pa.Table:
-    return pa.Table.from_batches(list(_block_links(percent)(rows.to_batches())))
-
-
 def group_documents(docs: DataFrame, words: int, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
     found = near_duplicates(docs, words, percent)

@@ -66,8 +66,8 @@ def test_blocks_find_what_centres_miss():
     sets = [np.sort(np.random.default_rng(i // 2).integers(0, 2**63, 50).astype(np.uint64)) for i in range(8)]
     rows = pa.table(
         {
-            "id": list(range(8)), "component": list(range(8)), "block": [0] * 4 + [1] * 4,
-            "i": [0] * 8, "j": [0] * 8, "items": pa.array([s.tobytes() for s in sets], pa.binary()),
+            "id": [*range(8), *range(4)], "component": [*range(8), *range(4)], "asks": [False] * 8 + [True] * 4,
+            "items": pa.array([s.tobytes() for s in [*sets, *sets[:4]]], pa.binary()),
         }
     )
     assert minhash._one_table(rows, 80).to_pylist() == [{"a": 0, "b": 1}, {"a": 2, "b": 3}]
