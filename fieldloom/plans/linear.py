@@ -83,23 +83,24 @@ def linreg_ols(spark, folder):
 
 
 def linreg_elastic(spark, folder):
-    points = _first_feature(document_sizes(spark, folder))
-    table_of = lin.coefficient_table(points, lin.fit_linear(points))
+    points = document_sizes(spark, folder)
+    table_of = lin.coefficient_table(points, lin.fit_linear(points, **_EXACT))
     return table_of.select(
-        F.col("idx").cast("bigint").alias("idx"), rounded("coefficient").alias("coefficient")
+        F.col("idx").cast("bigint").alias("idx"), rounded("coefficient", 4).alias("coefficient")
     )
 
 
 def linreg_predictions(spark, folder):
-    points = _first_feature(document_sizes(spark, folder))
-    scored = lin.apply_model(points, lin.fit_linear(_part(points, "train")))
-    return scored.select("doc_id", rounded("prediction").alias("prediction"))
+    points = document_sizes(spark, folder)
+    # Without penalty the fit is exact, so that no prediction sits on a rounding border.
+    scored = lin.apply_model(points, lin.fit_linear(_part(points, "train"), regParam=0.0))
+    return scored.select("doc_id", rounded("prediction", 5).alias("prediction"))
 
 
 def linreg_grid(spark, folder):
-    points = _first_feature(document_sizes(spark, folder))
-    result = lin.grid_search(_part(points, "train"), _part(points, "validation"))
-    rows = [(reg, round(error, 6), reg == result.best_reg) for reg, error in result.trials]
+    points = document_sizes(spark, folder)
+    result = lin.grid_search(_part(points, "train"), _part(points, "validation"), **_EXACT)
+    rows = [(reg, round(error, 4), reg == result.best_reg) for reg, error in result.trials]
     return spark.createDataFrame(rows, "reg_param double, rmse double, chosen boolean")
 
 
@@ -192,13 +193,26 @@ w AS (
          w3 - (a13*w1 + a23*w2 + a33*w3 - b3) / (n * sqrt(i + 1))
   FROM w, m WHERE i < {_ITERATIONS})"""
 
-# One-feature elastic net in closed form, from the moments of the training rows.
-_ELASTIC_W = (
-    "greatest(r - 0.2 * reg / sy, 0) / (1 + 0.8 * reg / sy) * sy / sx"
-)
+def _elastic_sql(rows: str, regs: str = "0.1") -> str:
+    """Elastic nets on two features, from their moments, by coordinate descent."""
+    soft = lambda z: f"sign({z}) * greatest(abs({z}) - 0.2 * reg / sy, 0) / (1 + 0.8 * reg / sy)"
+    return f"""WITH RECURSIVE {DOCUMENT_SIZES_SQL},
+m AS (
+  SELECT avg(x1) AS mx1, avg(x2) AS mx2, avg(y) AS my, stddev_pop(x1) AS s1,
+         stddev_pop(x2) AS s2, stddev_pop(y) AS sy, corr(x1, y) AS r1, corr(x2, y) AS r2,
+         corr(x1, x2) AS r12
+  FROM sized WHERE {rows}),
+g AS (SELECT unnest([{regs}]::DOUBLE[]) AS reg),
+d AS (
+  SELECT reg, 0 AS k, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2 FROM g
+  UNION ALL
+  SELECT reg, k + 1, a, {soft("(r2 - r12 * a)")}
+  FROM (SELECT d.reg, k, sy, r2, r12, {soft("(r1 - r12 * w2)")} AS a FROM d, m WHERE k < 500)),
+f AS (
+  SELECT reg, w1 * sy / s1 AS b1, w2 * sy / s2 AS b2,
+         my - w1 * sy / s1 * mx1 - w2 * sy / s2 * mx2 AS b0
+  FROM d, m WHERE k = 500)"""
 
-_MOMENTS = """avg(x1) AS mx, avg(y) AS my, stddev_pop(x1) AS sx, stddev_pop(y) AS sy,
-         corr(x1, y) AS r"""
 
 _SQUARE_SQL = f"""WITH {DOCUMENT_SIZES_SQL},
 s AS (
@@ -247,23 +261,17 @@ w AS (
   UNION ALL SELECT 0, round(b1, 6) + 0.0 FROM w
   UNION ALL SELECT 1, round(b2, 6) + 0.0 FROM w
   UNION ALL SELECT 2, round(b3, 6) + 0.0 FROM w""",
-    "linreg_elastic": f"""WITH {DOCUMENT_SIZES_SQL},
-s AS (SELECT {_MOMENTS}, 0.1::DOUBLE AS reg FROM sized),
-f AS (SELECT {_ELASTIC_W} AS w, mx, my FROM s)
-  SELECT -1::BIGINT AS idx, round(my - w*mx, 6) + 0.0 AS coefficient FROM f
-  UNION ALL SELECT 0, round(w, 6) + 0.0 FROM f""",
-    "linreg_predictions": f"""WITH {DOCUMENT_SIZES_SQL},
-s AS (SELECT {_MOMENTS}, 0.1::DOUBLE AS reg FROM sized WHERE split = 'train'),
-f AS (SELECT {_ELASTIC_W} AS w, mx, my FROM s)
-  SELECT doc_id, round(my + w*(x1 - mx), 6) + 0.0 AS prediction FROM sized, f""",
-    "linreg_grid": f"""WITH {DOCUMENT_SIZES_SQL},
-s AS (SELECT {_MOMENTS} FROM sized WHERE split = 'train'),
-g AS (SELECT unnest([0.1, 1e-10, 1e-5, 1e-2, 1.0]::DOUBLE[]) AS reg),
-f AS (SELECT reg, {_ELASTIC_W} AS w, mx, my FROM s, g),
+    "linreg_elastic": f"""{_elastic_sql("true")}
+  SELECT -1::BIGINT AS idx, round(b0, 4) + 0.0 AS coefficient FROM f
+  UNION ALL SELECT 0, round(b1, 4) + 0.0 FROM f
+  UNION ALL SELECT 1, round(b2, 4) + 0.0 FROM f""",
+    "linreg_predictions": f"""{_elastic_sql("split = 'train'", "0.0")}
+  SELECT doc_id, round(b0 + b1*x1 + b2*x2, 5) + 0.0 AS prediction FROM sized, f""",
+    "linreg_grid": f"""{_elastic_sql("split = 'train'", "0.1, 1e-10, 1e-5, 1e-2, 1.0")},
 e AS (
-  SELECT reg, sqrt(avg(power(my + w*(x1 - mx) - y, 2))) AS rmse
+  SELECT reg, sqrt(avg(power(b0 + b1*x1 + b2*x2 - y, 2))) AS rmse
   FROM f, sized WHERE split = 'validation' GROUP BY reg)
-  SELECT reg AS reg_param, round(rmse, 6) AS rmse, rmse = (SELECT min(rmse) FROM e) AS chosen
+  SELECT reg AS reg_param, round(rmse, 4) AS rmse, rmse = (SELECT min(rmse) FROM e) AS chosen
   FROM e""",
     "interactions": f"""WITH {DOCUMENT_SIZES_SQL}
   SELECT doc_id, generate_subscripts(v, 1)::BIGINT - 1 AS i, round(unnest(v), 6) AS x
