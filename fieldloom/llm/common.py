@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -100,7 +101,11 @@ def word_codes(
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in runs of about ``size`` bytes of ``column``."""
+    """The rows of ``batches`` in runs of about ``size`` bytes of ``column``.
+
+    At the end of the task, memory that is free again goes back to the machine: workers
+    live on, and the next stage needs it elsewhere.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -112,6 +117,10 @@ def slices(
             stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def _lengths(values: pa.Array) -> np.ndarray:

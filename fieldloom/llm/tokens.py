@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from .common import slices
 
 END_ID = 2
-SLICE_BYTES = 8 << 20
-_CACHED = 300_000
+SLICE_BYTES = 4 << 20
+_CACHED = 250_000
 _BATCH = 4096
 # Everything that any of the libraries takes for white space, and then some.
 _WHITE = (
