@@ -19,7 +19,6 @@ from .common import only, text_or_empty, with_running_total
 
 ROUNDS = 6
 SEED = 20_240_611
-_MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def _mix(values: np.ndarray, key: int) -> np.ndarray:
