@@ -28,7 +28,7 @@ from .components import components
 #: Chance at most that no band of two sets at the threshold agrees, and coordinates at most.
 MISS, MOST_BINS = 1e-7, 360
 #: Rounds in which every bucket is compared with one of its classes.
-ROUNDS = 3
+ROUNDS = 2
 # Classes in one block of the last comparison.
 BLOCK = 200
 #: Ids sent to every executor at most, at eight bytes each. More are joined by shuffle.
@@ -316,15 +316,13 @@ def near_duplicates(
     met = crowded.groupBy("rep").agg(F.sum("m").alias("met"))
     crowded = materialize(crowded.join(met, "rep").select("bucket", "rep", "met"), "buckets")
     fetch = _Fetch(base, words)
-    links, parts = None, None
+    parts = None
     for _ in range(ROUNDS):
         best = F.max(F.struct(F.col("met"), (-F.col("rep")).alias("back")))
         centers = crowded.groupBy("bucket").agg((-best["back"]).alias("center"))
         crowded = materialize(crowded.join(centers, "bucket"), "buckets")
         pairs = crowded.filter("rep <> center").select("center", "rep").distinct()
-        new = _verified(fetch, pairs, percent)
-        links = new if links is None else links.unionByName(new)
-        parts = components(links)
+        parts = _grown(parts, _verified(fetch, pairs, percent))
         # What was compared with all others of its bucket is done with; so is a bucket
         # whose other members have all come together.
         rest = crowded.filter("rep <> center").select("bucket", "rep", "met")
@@ -343,8 +341,7 @@ def near_duplicates(
             break
         left, crowded = crowded, crowded.drop("component")
     else:
-        links = links.unionByName(_compare_blocks(fetch, left, percent))
-        parts = components(links)
+        parts = _grown(parts, _compare_blocks(fetch, left, percent))
     found = classes.select("d1", "d2", F.col("n").alias("size"), "rep").join(
         parts.withColumnRenamed("node", "rep"), "rep", "left"
     ).select("d1", "d2", "size", F.coalesce("component", "rep").alias("component"))
@@ -356,6 +353,13 @@ def near_duplicates(
     )
 
 
+def _grown(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of new links together with what earlier ones have connected."""
+    if parts is not None:
+        links = links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return components(links)
+
+
 class _Fetch:
     """Whole sets of the classes that are to be compared, made from the texts again."""
 
