@@ -10,6 +10,7 @@ cosine, and the recall is audited against brute force.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,9 +35,15 @@ DEGREE, POOL, ALPHA = 24, 64, 1.2
 #: Vectors that each search expands at least, and how far below the wanted cosine it
 #: still goes on.
 BEAM, SLACK = 24, 0.05
-#: Queries of the audit against all vectors, and the recall that it has to show; short
-#: of it, all is done again with twice the overlap and beam.
-AUDIT_ROWS, AUDIT_RECALL = 200, 0.95
+#: The audit's queries against all vectors: the ids divisible by AUDIT_EVERY, of at most
+#: AUDIT_ALL vectors all.
+AUDIT_EVERY, AUDIT_ALL = 20, 20_000
+#: The recall that the audit has to show; short of it, all is done again with twice the
+#: overlap, beam, degree and pool, AUDIT_ROUNDS times altogether. Below LEAST_RECALL after
+#: that is an error.
+AUDIT_RECALL, LEAST_RECALL, AUDIT_ROUNDS = 0.95, 0.9, 5
+#: Bytes of queries that go through all vectors at a time, and rows compared at a time.
+AUDIT_BYTES, _AUDIT_BLOCK = 32 << 20, 2048
 _QUERIES = 256
 
 
@@ -107,18 +114,18 @@ def robust_prune(similar: np.ndarray, near: np.ndarray, degree: int, alpha: floa
     return out
 
 
-def build_graph(vectors: np.ndarray) -> np.ndarray:
+def build_graph(vectors: np.ndarray, degree: int = DEGREE, pool: int = POOL) -> np.ndarray:
     """Neighbour lists of a shard: pruned near ones, and the links back to them."""
     count = len(vectors)
     similar = (vectors @ vectors.T).astype(np.float32)
-    pool = min(POOL, count)
+    pool = min(pool, count)
     near = np.argpartition(-similar, pool - 1, axis=1)[:, :pool] if count > pool else np.tile(
         np.arange(count), (count, 1)
     )
     # Some far vectors among the candidates keep the graph in one piece.
     draw = np.random.default_rng(count)
     near = np.concatenate([near, draw.integers(0, count, (count, 8))], axis=1)
-    return robust_prune(similar, near, DEGREE, ALPHA)
+    return robust_prune(similar, near, degree, ALPHA)
 
 
 def range_search(vectors, graph, queries: np.ndarray, beam: int, radius: float):
@@ -256,15 +263,18 @@ def _tasks(dealt: DataFrame) -> DataFrame:
     )
 
 
-def _build(table: pa.Table) -> pa.Table:
-    vectors = _unit(_matrix(table["vector"].combine_chunks()))
-    reps = table["rep"].to_numpy()
-    graph = build_graph(vectors)
-    lists = [reps[row[row >= 0]].tolist() for row in graph]
-    return pa.table(
-        {"rep": reps, "near": pa.array(lists, pa.list_(pa.int64()))},
-        schema=pa.schema([("rep", pa.int64()), ("near", pa.list_(pa.int64()))]),
-    )
+def _build(degree: int, pool: int):
+    def run(table: pa.Table) -> pa.Table:
+        vectors = _unit(_matrix(table["vector"].combine_chunks()))
+        reps = table["rep"].to_numpy()
+        graph = build_graph(vectors, degree, pool)
+        lists = [reps[row[row >= 0]].tolist() for row in graph]
+        return pa.table(
+            {"rep": reps, "near": pa.array(lists, pa.list_(pa.int64()))},
+            schema=pa.schema([("rep", pa.int64()), ("near", pa.list_(pa.int64()))]),
+        )
+
+    return run
 
 
 def _search(beam: int, cosine: float):
@@ -297,6 +307,7 @@ def _search(beam: int, cosine: float):
         low, high = low[linked], high[linked]
         count = np.bincount(low, weights=size[high], minlength=len(reps))
         count += np.bincount(high, weights=size[low], minlength=len(reps))
+        links = np.bincount(low, minlength=len(reps)) + np.bincount(high, minlength=len(reps))
         some = np.flatnonzero(count)
         a, b = _forest(low, high, len(reps))
         return pa.table(
@@ -304,6 +315,7 @@ def _search(beam: int, cosine: float):
                 "a": np.concatenate([reps[some], reps[a]]),
                 "b": pa.array([None] * len(some) + reps[b].tolist(), pa.int64()),
                 "n": np.concatenate([count[some].astype(np.int64), np.zeros(len(a), np.int64)]),
+                "k": np.concatenate([links[some], np.zeros(len(a), np.int64)]),
             }
         )
 
@@ -347,10 +359,33 @@ def _forest(low: np.ndarray, high: np.ndarray, count: int):
 
 
 def _audited(classes: DataFrame, cosine: float) -> DataFrame:
-    """rep and the number of vectors linked with it, by brute force, for a sample of queries."""
-    sample = classes.orderBy(F.xxhash64(F.col("rep") + 1), "rep").limit(AUDIT_ROWS).collect()
+    """rep and the number of classes linked with it, by brute force, for the audit's queries
+    that have any.
+
+    The queries go through all vectors in blocks of ``AUDIT_BYTES``, so that neither the
+    driver nor a task holds more of them at a time.
+    """
+    queries = classes.select("rep", "label", "dims", "vector")
+    if classes.count() > AUDIT_ALL:
+        queries = queries.filter(F.col("rep") % AUDIT_EVERY == 0)
+    parts, block, held = [], [], 0
+    for row in queries.toLocalIterator():
+        block.append(row)
+        held += len(row["vector"])
+        if held >= AUDIT_BYTES:
+            parts.append(_true_links(classes, block, cosine))
+            block, held = [], 0
+    parts.append(_true_links(classes, block, cosine))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("rep").agg(F.sum("true").alias("true"))
+
+
+def _true_links(classes: DataFrame, block: list, cosine: float) -> DataFrame:
+    """rep and true, the links that each query of ``block`` has in a part of the vectors."""
     queries: dict = {}
-    for row in sample:
+    for row in block:
         queries.setdefault((row["label"], row["dims"]), []).append(row)
     packed = {
         key: (np.array([r["rep"] for r in rows]), _unit(np.stack([np.frombuffer(r["vector"]) for r in rows])))
@@ -361,19 +396,49 @@ def _audited(classes: DataFrame, cosine: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             column = lambda name: batch.column(batch.schema.get_field_index(name))
-            labels, dims = column("label").to_numpy(), column("dims").to_numpy()
-            reps, size = column("rep").to_numpy(), column("size").to_numpy()
+            labels, dims, reps = (column(name).to_numpy() for name in ("label", "dims", "rep"))
             for key, (ids, wanted) in sent.value.items():
                 rows = np.flatnonzero((labels == key[0]) & (dims == key[1]))
-                if not len(rows):
-                    continue
-                near = _unit(_matrix(column("vector").take(pa.array(rows)))) @ wanted.T >= cosine
-                near &= reps[rows][:, None] != ids[None, :]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array((near * size[rows][:, None]).sum(0))], names=["rep", "true"]
-                )
-
-    return classes.mapInArrow(run, "rep long, true long").groupBy("rep").agg(F.sum("true").alias("true"))
+                true = np.zeros(len(ids), np.int64)
+                for i in range(0, len(rows), _AUDIT_BLOCK):
+                    some = rows[i : i + _AUDIT_BLOCK]
+                    vectors = _unit(_matrix(column("vector").take(pa.array(some))))
+                    rough = vectors.astype(np.float32)
+                    for j in range(0, len(ids), _AUDIT_BLOCK):
+                        asked = wanted[j : j + _AUDIT_BLOCK]
+                        v, q = np.nonzero(rough @ asked.astype(np.float32).T >= cosine - 1e-4)
+                        other = reps[some[v]] != ids[j + q]
+                        v, q = v[other], q[other]
+                        for k in range(0, len(v), 4096):
+                            x, y = v[k : k + 4096], q[k : k + 4096]
+                            linked = np.einsum("nd,nd->n", vectors[x], asked[y]) >= cosine
+                            np.add.at(true, j + y[linked], 1)
+                hit = np.flatnonzero(true)
+                if len(hit):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[hit]), pa.array(true[hit])], names=["rep", "true"]
+                    )
+
+    found = materialize(classes.mapInArrow(run, "rep long, true long"), "audit")
+    sent.unpersist()
+    return found
+
+
+def measured_recall(truth: DataFrame, counts: DataFrame) -> dict[str, float] | None:
+    """Recall of the audit per link, per query and per group, None if no query has a link.
+
+    Per query every one counts the same, however many links it has; per group a query
+    counts by the share that it is of itself and those it is linked with, so that a large
+    group weighs no more than a pair.
+    """
+    share = F.least(F.coalesce("links", F.lit(0)) / F.col("true"), F.lit(1.0))
+    weight = 1 / (F.col("true") + 1)
+    row = truth.join(counts.select("rep", "links"), "rep", "left").agg(
+        (F.sum(share * F.col("true")) / F.sum("true")).alias("link"),
+        F.avg(share).alias("query"),
+        (F.sum(share * weight) / F.sum(weight)).alias("group"),
+    ).first()
+    return None if row["link"] is None else row.asDict()
 
 
 def near_duplicates(
@@ -404,20 +469,25 @@ def near_duplicates(
     )
     centers = _fit_centers(classes)
     truth = materialize(_audited(classes, cosine), "audit")
-    overlap, beam = OVERLAP, BEAM
-    while True:
-        found = _linked(classes, centers, overlap, beam, cosine)
-        counts = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-        audit = truth.join(counts, "rep", "left").agg(
-            F.sum("true").alias("true"), F.sum(F.coalesce("n", F.lit(0))).alias("found")
-        ).first()
-        if not audit["true"] or audit["found"] >= AUDIT_RECALL * audit["true"] or beam > 8 * BEAM:
+    for step in range(AUDIT_ROUNDS):
+        found = _linked(classes, centers, 2**step, cosine)
+        counts = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(
+            F.sum("n").alias("n"), F.sum("k").alias("links")
+        )
+        recall = measured_recall(truth, counts)
+        if recall is None or min(recall.values()) >= AUDIT_RECALL:
             break
-        overlap, beam = 2 * overlap, 2 * beam
+    if recall is None:
+        if classes.count() > AUDIT_ALL:
+            warnings.warn("recall not measured: no vector of the audit has a near copy")
+    elif min(recall.values()) < LEAST_RECALL:
+        raise RuntimeError(f"recall stays below {LEAST_RECALL}: {recall}")
+    elif min(recall.values()) < AUDIT_RECALL:
+        warnings.warn(f"recall stays below {AUDIT_RECALL}: {recall}")
     parts = components(found.filter("b is not null"))
     summary = (
         classes.select("label", "dims", "vector", "rep", "size")
-        .join(counts, "rep", "left")
+        .join(counts.drop("links"), "rep", "left")
         .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
             "label", "dims", "vector",
@@ -447,17 +517,18 @@ def _alone(rows: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     )
 
 
-def _linked(classes: DataFrame, centers: Centers, overlap: int, beam: int, cosine: float) -> DataFrame:
-    dealt = materialize(_deal(classes, centers, overlap), "dealt")
+def _linked(classes: DataFrame, centers: Centers, times: int, cosine: float) -> DataFrame:
+    """Links and their numbers, by ``times`` the usual overlap, beam, degree and pool."""
+    dealt = materialize(_deal(classes, centers, times * OVERLAP), "dealt")
     tasks = materialize(_tasks(dealt), "shards")
     lists = tasks.select(*_TASK, "rep", "vector").groupBy(*_TASK).applyInArrow(
-        _build, "rep long, near array<long>"
+        _build(times * DEGREE, times * POOL), "rep long, near array<long>"
     )
     graph = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     found = (
         tasks.join(materialize(graph, "graph"), "rep")
         .groupBy(*_TASK)
-        .applyInArrow(_search(beam, cosine), "a long, b long, n long")
+        .applyInArrow(_search(times * BEAM, cosine), "a long, b long, n long, k long")
     )
     return materialize(found, "found")
 

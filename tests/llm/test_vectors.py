@@ -2,6 +2,8 @@
 
 import brute
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from fieldloom.llm import vectors
 
@@ -73,3 +75,54 @@ def test_search_finds_what_is_in_range():
     true = {(a, b) for a, b in zip(*np.nonzero(x @ x.T >= 0.98)) if a != b}
     got = {(a, b) for a, b in zip(q, v) if a != b}
     assert len(got & true) >= 0.95 * len(true)
+
+
+def losing(lost):
+    """``_linked`` without the numbers of links of the ``lost`` ids."""
+    whole = vectors._linked
+
+    def run(*given):
+        return whole(*given).filter(~F.col("a").isin([int(i) for i in lost]))
+
+    return run
+
+
+def test_audit_sees_lost_pairs_beside_a_hot_vector(spark, monkeypatch):
+    rows = rows_of()
+    pairs = [i for i in range(1, 200) if i != 5 and i != 9 and i % 4 != 0]
+    lost = pairs[: 2 * len(pairs) // 3]
+    lost += [700 + i for i in lost]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(vectors, "_linked", losing(lost))
+    monkeypatch.setattr(vectors, "AUDIT_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="recall"):
+        vectors.group_vectors(df)
+
+
+def test_audit_measures_where_few_vectors_have_near_copies(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    x = draw.standard_normal((3000, 24))
+    x[2990:] = x[:10] + 0.01 * draw.standard_normal((10, 24))
+    rows = [(i, list(map(float, v)), 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(vectors, "_linked", losing(range(10)))
+    monkeypatch.setattr(vectors, "AUDIT_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="recall"):
+        vectors.group_vectors(df)
+
+
+def test_audit_asks_every_twentieth_of_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "AUDIT_ALL", 100)
+    monkeypatch.setattr(vectors, "AUDIT_BYTES", 4000)
+    rows = [(i, [float(i // 2), 1.0, float((i // 2) ** 2 % 7)], 0) for i in range(0, 4000, 2)]
+    rows += [(i + 1, [v[0], v[1] + 1e-4, v[2]], 0) for i, v, _ in rows]
+    df = spark.createDataFrame(rows, "id long, vector array<double>, label long")
+    packed = df.selectExpr("id", "label", "size(vector) dims", "vector").mapInArrow(
+        vectors._packed, "id long, label long, dims int, vector binary"
+    )
+    classes = packed.withColumnRenamed("id", "rep").withColumn("size", F.lit(1))
+    truth = {r.rep: r.true for r in vectors._audited(classes, 0.98).collect()}
+    assert set(truth) == set(range(0, 4000, 20))
+    x = vectors._unit(np.array([v for _, v, _ in rows]))
+    near = (x @ x.T >= 0.98).sum(1) - 1
+    assert truth == {i: near[k] for k, (i, *_) in enumerate(rows) if i % 20 == 0}
