@@ -4,12 +4,13 @@ The parser of the standard library streams events; every block of text becomes a
 with the number of its characters and tags. Lines of what is never content (scripts,
 menus, forms, adverts, ...) are left out by their elements. The ratio of text to tags
 along the page is smoothed by a Gaussian, and lines above a threshold form clusters. The
-container that holds most of their text is the content region, whose lines are all kept,
-however short.
+innermost container that holds all clusters, or all articles together, is the content
+region, whose lines are all kept, however short.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from html.parser import HTMLParser
 
@@ -24,8 +25,6 @@ from .common import slices
 #: Width of the Gaussian, in lines, and the share of the ratios' deviation that content
 #: has to reach.
 SIGMA, SHARE = 1.5, 0.5
-#: A container of at least this share of the clusters' text is the content region.
-REGION = 0.6
 
 # Elements by their role in a page.
 _VOID = frozenset(
@@ -41,7 +40,7 @@ _BLOCKS = frozenset(
     "main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr "
     "ul".split()
 )
-_CONTAINERS = frozenset("html body main article section div table td blockquote center".split())
+_CONTAINERS = frozenset("html body main article section div table td center".split())
 _ARTICLES = frozenset(["article", "main"])
 # Words in a class, an id or a role that name what is no main text.
 _WORDS = frozenset(
@@ -86,6 +85,7 @@ class PageLines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.titles: list[bool] = []  # of the lines
         self.stack: list[str] = []
         self.skipped_at = 0  # depth of the outermost skipped element, 0 for none
         self.path: list[int] = []
@@ -111,7 +111,7 @@ class PageLines(HTMLParser):
         if self.skipped_at:
             return
         if tag in _BLOCKS:
-            self._flush()
+            self._flush(self.stack[:-1])
         self.tags += 1
         if _boilerplate(tag, attributes, self.open_articles > 0):
             self.skipped_at = len(self.stack)
@@ -155,9 +155,11 @@ class PageLines(HTMLParser):
         if not self.skipped_at:
             self.parts.append(data)
 
-    def _flush(self):
+    def _flush(self, around: list[str] | None = None):
+        """End a line; ``around``: the elements it lies in, if not those now open."""
         text = " ".join("".join(self.parts).split())
         if text:
+            self.titles.append("h1" in (self.stack if around is None else around))
             self.lines.append((text, max(1, self.tags), tuple(self.path)))
             self.tags = 0
         self.parts = []
@@ -190,20 +192,16 @@ def main_text(html: str | None) -> str:
     size = np.array([len(text) for text, _, _ in lines], float)
     ratio = smoothed(size / np.array([tags for _, tags, _ in lines], float))
     content = ratio >= SHARE * ratio.std()
-    weight: dict[int, float] = {}
-    for i, (_, _, path) in enumerate(lines):
-        if content[i]:
-            for container in path:
-                weight[container] = weight.get(container, 0.0) + size[i]
-    total = size[content].sum()
-    articles = [c for c in weight if c in parser.articles]
-    if articles:
-        # The article of the most content text; of nested ones the outermost.
-        region = min(articles, key=lambda c: (-weight[c], c))
+    paths = [path for _, _, path in lines]
+    # A title belongs to the text, however short.
+    clusters = [path for path, c, title in zip(paths, content, parser.titles) if c or title]
+    if any(parser.articles.intersection(path) for path, c in zip(paths, content) if c):
+        # All articles together; those of comments are no lines at all.
+        kept = [text for text, _, path in lines if parser.articles.intersection(path)]
     else:
-        # The innermost container that still holds most of it.
-        region = max((c for c in weight if weight[c] >= REGION * total), default=0)
-    kept = [text for text, _, path in lines if not region or region in path]
+        # The innermost container of all clusters: where their paths part.
+        region = os.path.commonprefix(clusters)
+        kept = [text for text, _, path in lines if path[: len(region)] == region]
     return "\n".join(kept)
 
 
