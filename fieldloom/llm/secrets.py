@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, and a character convolutional network over candidates.
 
-The patterns give the base findings. Every other long token with digits, anywhere in a
-text, is a candidate; a small network in numpy reads it with its surroundings and adds
-those whose calibrated probability passes a threshold that keeps a stated recall.
+The patterns give the base findings. Every other token of six characters and more,
+anywhere in a text, is a candidate; a small network in numpy reads it with its
+surroundings and adds those whose calibrated probability passes a threshold that keeps a stated recall.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "learned")
 
-#: Candidates: runs of token characters of at least this length and so many digits.
-TOKEN, DIGITS = 16, 2
+#: Candidates: runs of token characters, dots inside included, of at least this length.
+TOKEN = 6
 #: The network reads so many characters before a token, of it, and behind it.
 BEFORE, INSIDE, BEHIND = 20, 40, 8
 WIDTH = BEFORE + INSIDE + BEHIND
@@ -41,6 +41,8 @@ SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 1500, 1 << 18
 RECALL = 0.95
 EMBED, SPAN, FILTERS = 8, 5, 24
 EPOCHS, BATCH, RATE = 8, 64, 0.01
+#: Own plain tokens of the texts that the network learns to reject, at most.
+PLAIN = 6000
 
 _ALPHABET = 98  # printable ASCII, other, none
 _CODE = np.full(256, 96, np.uint8)
@@ -50,8 +52,12 @@ _HEX = np.zeros(256, bool)
 _HEX[[*range(0x30, 0x3A), *range(0x61, 0x67)]] = True
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[0x30:0x3A] = True
+_DOT = ord(".")
+# Words and numbers, joined or not, words with a short number behind: what is no secret
+# unless it stands behind a name.
+_PART = r"(?:[A-Za-z]?[a-z]*[0-9]{0,3}|[A-Z]+|[0-9]+)"
+_PLAIN = re.compile(rf"{_PART}(?:[-+=/_.]+{_PART})*", re.ASCII)
+_NAMED = re.compile(r"(key|auth|bearer|credential|pass|pwd|secret|token)|-k\s", re.IGNORECASE)
 
 
 def _runs(mask: np.ndarray, offsets: np.ndarray, least: int):
@@ -84,8 +90,18 @@ class Found:
     offsets: np.ndarray
 
 
-def find(column: pa.Array) -> Found:
-    """Base findings and further candidates of all texts; null is empty."""
+def _tokens(raw: np.ndarray) -> np.ndarray:
+    """Where token characters are; a dot is one between two others."""
+    inside = _TOKEN[raw]
+    if len(raw) > 2:
+        dot = (raw[1:-1] == _DOT) & inside[:-2] & inside[2:]
+        inside[1:-1] |= dot
+    return inside
+
+
+def find(column: pa.Array, free_only: bool = True) -> Found:
+    """Base findings and candidates of all texts, by default those outside the base
+    findings; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
     raw, offsets = text_bytes(column)
     lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
@@ -110,39 +126,38 @@ def find(column: pa.Array) -> Found:
         for m in ACCESS.finditer(column[t].as_py()):
             if m.end() - m.start() >= LEAST["access"]:
                 base[t].append((m.start(), m.end(), "access"))
-    begin, end = _runs(_TOKEN[raw], offsets, TOKEN)
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
-    chosen = digits[end] - digits[begin] >= DIGITS
-    begin, end = begin[chosen], end[chosen]
+    begin, end = _runs(_tokens(raw), offsets, TOKEN)
     text = np.searchsorted(offsets, begin, "right") - 1
     start = point(begin, text)
-    length = end - begin
-    free = np.array(
-        [
-            all(e <= s or s + n <= b for b, e, _ in base[t])
-            for t, s, n in zip(text, start, length)
-        ],
-        bool,
-    )
-    if len(begin):
-        begin, end, text, start = begin[free], end[free], text[free], start[free]
-    return Found(base, begin, end, text, start, raw, offsets)
+    free = np.ones(len(begin), bool)
+    if free_only and len(begin):
+        some = np.array([bool(spans) for spans in base], bool)
+        for i in np.flatnonzero(some[text]):
+            at, to = start[i], start[i] + end[i] - begin[i]
+            free[i] = all(e <= at or to <= b for b, e, _ in base[text[i]])
+    return Found(base, begin[free], end[free], text[free], start[free], raw, offsets)
 
 
 def windows(raw, offsets, text, begin, end) -> np.ndarray:
     """Character codes of each token with its surroundings inside its text; of a token
     longer than the window its first and last characters."""
-    out = np.full((len(begin), WIDTH), _NONE, np.uint8)
-    for i, (t, a, b) in enumerate(zip(text, begin, end)):
-        left = raw[max(offsets[t], a - BEFORE) : a]
-        right = raw[b : min(offsets[t + 1], b + BEHIND)]
-        token = raw[a:b]
-        if len(token) > INSIDE:
-            token = np.concatenate([token[: INSIDE // 2], token[-(INSIDE // 2) :]])
-        out[i, BEFORE - len(left) : BEFORE] = _CODE[left]
-        out[i, BEFORE : BEFORE + len(token)] = _CODE[token]
-        out[i, BEFORE + INSIDE : BEFORE + INSIDE + len(right)] = _CODE[right]
-    return out
+    text, begin, end = (np.asarray(x, np.int64)[:, None] for x in (text, begin, end))
+    offsets = np.asarray(offsets)
+    if not len(begin):
+        return np.full((0, WIDTH), _NONE, np.uint8)
+    left = begin - BEFORE + np.arange(BEFORE)
+    inside = begin + np.arange(INSIDE)
+    cut = (end - begin > INSIDE) & (np.arange(INSIDE) >= INSIDE // 2)
+    inside = np.where(cut, end - INSIDE + np.arange(INSIDE), inside)
+    right = end + np.arange(BEHIND)
+    at = np.concatenate([left, inside, right], axis=1)
+    held = np.concatenate([left >= offsets[text], inside < end, right < offsets[text + 1]], axis=1)
+    return np.where(held, _CODE[raw[np.clip(at, 0, len(raw) - 1)]], np.uint8(_NONE))
+
+
+def missed(x: np.ndarray) -> np.ndarray:
+    """Which windows stand for findings that are no candidates."""
+    return (x == _NONE).all(1)
 
 
 class CharNet:
@@ -175,13 +190,35 @@ class CharNet:
         return cols, e, h, tops, z, z @ p["out"] + p["out_bias"]
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        parts = [self._forward(x[i : i + 512])[-1] for i in range(0, len(x), 512)]
+        tables = self._tables()
+        parts = [self._logits(x[i : i + 512], tables) for i in range(0, len(x), 512)]
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
+    def _tables(self) -> list[np.ndarray]:
+        """What two characters side by side (the last: one) add at each place of the span."""
+        one = [self.p["embed"] @ self.p["conv"][k * EMBED : (k + 1) * EMBED] for k in range(SPAN)]
+        two = [(one[k][:, None] + one[k + 1][None]).reshape(-1, FILTERS) for k in range(0, SPAN - 1, 2)]
+        return [*two, one[-1] + self.p["conv_bias"]]
+
+    def _logits(self, x: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+        """As the last of ``_forward``, by tables in place of products."""
+        p = self.p
+        pad = np.pad(x, ((0, 0), (SPAN // 2, SPAN // 2)), constant_values=_NONE).astype(np.intp)
+        h = np.take(tables[-1], pad[:, SPAN - 1 :], axis=0)
+        both = pad[:, :-1] * _ALPHABET + pad[:, 1:]
+        for k, table in enumerate(tables[:-1]):
+            h += np.take(table, both[:, 2 * k : 2 * k + WIDTH], axis=0)
+        np.maximum(h, 0, out=h)
+        best = np.concatenate([h[:, a:b].max(1) for a, b in self.PARTS], 1)
+        mean = np.concatenate([h[:, a:b].mean(1) for a, b in self.PARTS], 1)
+        return np.concatenate([best, mean], 1) @ p["out"] + p["out_bias"]
+
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(x) + self.shift, -40, 40)))
 
     def fit(self, x: np.ndarray, y: np.ndarray, seed: int = 9) -> "CharNet":
+        seen = ~missed(x)
+        x, y = x[seen], y[seen]
         draw = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(w) for k, w in self.p.items()}
@@ -225,7 +262,11 @@ class CharNet:
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> "CharNet":
         """Fit slope and shift of the logits on held-out findings (Platt), and take the
-        highest threshold that keeps ``recall`` of them."""
+        highest threshold that keeps ``recall`` of them; those that are no candidates are
+        lost at any threshold."""
+        seen = ~missed(x)
+        lost = int((y[~seen] == 1).sum())
+        x, y = x[seen], y[seen]
         logit = self.logits(x).astype(float)
         a, b = 1.0, 0.0
         for _ in range(50):  # Newton's method, slightly damped by a prior on both
@@ -240,7 +281,8 @@ class CharNet:
             a, b = a - change[0], b - change[1]
         self.slope, self.shift = float(a), float(b)
         known = np.sort(self.probability(x[y == 1]))
-        self.threshold = float(known[int((1 - recall) * len(known))]) if len(known) else 1.0
+        over = max(0, int((1 - recall) * (len(known) + lost)) - lost)
+        self.threshold = float(known[over]) if len(known) else 1.0
         return self
 
 
@@ -249,12 +291,13 @@ _MIXED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 
 def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and labels (1: secret) made from texts.
+    """Windows and labels (1: secret) made from texts, as ``find`` gives the candidates.
 
-    Secrets are the base findings of the texts, each also with the surroundings of some
+    A secret that is no candidate has an empty window. Secrets are the base findings of the texts, each also with the surroundings of some
     other place, so that the token itself has to be learned, and random keys of usual
     shapes there. What is no secret: the texts' own other candidates that are plain
-    numbers or words, and numbers, dates, paths, versions and joined words.
+    numbers or words, words behind the names, and numbers, dates, paths, versions and
+    joined words.
     """
     draw = np.random.default_rng(seed)
     found = find(pa.array(texts, pa.large_string()))
@@ -267,7 +310,7 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
         left = " ".join([word(), word()]) + (name or " ")
         examples.append((left, token, " " + word(), label))
 
-    names = (" key = ", ' auth: "', " Bearer ", " credential=", " pass: ", " ", " key:", " -k ")
+    names = (" key = ", ' auth: "', " Bearer ", " credential=", " pass: ", " pwd=", " key:", " -k ", " ")
     for t, spans in enumerate(found.base):
         text = texts[t] or ""
         for a, b, kind in spans:
@@ -288,13 +331,30 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
             "sk_" + pick(_MIXED, n),
         )[int(draw.integers(6))]
         around(token, 1, names[int(draw.integers(len(names)))])
-    for t, a, b in zip(found.text, found.begin, found.end):
+    for _ in range(1000):
+        # Short ones and such of letters alone, behind a name; dotted ones anywhere.
+        n = int(draw.integers(6, 16))
+        token = (
+            pick(_MIXED, n),
+            pick(_MIXED[:52], int(draw.integers(8, 40))),
+            ".".join(pick(_MIXED, int(draw.integers(4, 12))) for _ in range(3)),
+        )[int(draw.integers(3))]
+        around(token, 1, names[int(draw.integers(len(names) - ("." not in token)))])
+    own = draw.permutation(len(found.begin))
+    plain = 0
+    for k in own:
+        if plain == PLAIN:
+            break
+        t, a, b = int(found.text[k]), int(found.begin[k]), int(found.end[k])
         token = found.raw[a:b].tobytes().decode()
-        if token.strip("0123456789-/+=_") == "" or token.isalpha():
-            o = found.offsets
-            left = found.raw[max(o[t], a - BEFORE) : a].tobytes().decode(errors="replace")
-            right = found.raw[b : min(o[t + 1], b + BEHIND)].tobytes().decode(errors="replace")
+        o = found.offsets
+        if _PLAIN.fullmatch(token) and not _NAMED.search(found.raw[max(o[t], a - BEFORE) : b].tobytes().decode("latin-1")):
+            left = found.raw[max(o[t], a - BEFORE) : a].tobytes().decode(errors="ignore")
+            right = found.raw[b : min(o[t + 1], b + BEHIND)].tobytes().decode(errors="ignore")
             examples.append((left, token, right, 0))
+            plain += 1
+    for _ in range(300):
+        around(word(), 0, names[int(draw.integers(len(names)))])
     for _ in range(1000):
         number = str(int(draw.integers(0, 10**18))).zfill(16)
         token = (
@@ -308,14 +368,21 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
             "=" * int(draw.integers(8, 20)) + number[:2] + "-" * 8,
         )[int(draw.integers(8))]
         around(token, 0)
+    # As the scan sees them: the candidate that has most of the token.
+    found = find(pa.array([a + b + c for a, b, c, _ in examples], pa.large_string()), free_only=False)
+    at = found.offsets[:-1] + [len(left.encode()) for left, *_ in examples]
+    to = at + [len(token.encode()) for _, token, *_ in examples]
+    both = np.minimum(found.end, to[found.text]) - np.maximum(found.begin, at[found.text])
+    most = np.full(len(examples), -1, np.int64)
+    for k in np.argsort(both, kind="stable"):
+        if both[k] > 0:
+            most[found.text[k]] = k
+    labels = np.array([label for *_, label in examples], np.float32)
     x = np.full((len(examples), WIDTH), _NONE, np.uint8)
-    for i, (left, token, right, _) in enumerate(examples):
-        code = [np.frombuffer(s.encode(), np.uint8) for s in (left, token, right)]
-        raw = np.concatenate(code)
-        a, b = len(code[0]), len(code[0]) + len(code[1])
-        edge = np.array([0, len(raw)])
-        x[i] = windows(raw, edge, [0], [a], [b])[0]
-    return x, np.array([label for *_, label in examples], np.float32)
+    some = most[most >= 0]
+    x[most >= 0] = windows(found.raw, found.offsets, found.text[some], found.begin[some], found.end[some])
+    kept = (labels == 1) | (most >= 0)
+    return x[kept], labels[kept]
 
 
 def train(docs: DataFrame, text: str = "text") -> CharNet:
