@@ -42,20 +42,37 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-_POWER_LIMIT = 1 << 12
-_M1, _M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-
-
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.empty(count, np.uint64)
-    value = 1
-    for i in range(count):
-        out[i] = value
-        value = value * base % 2**64
-    return out
+class Words:
+    """The words of rows of UTF-8 bytes that lie one behind the other.
 
+    ``letters`` maps every byte to the byte it counts as, 0 between words. ``starts`` and
+    ``lengths`` are in bytes; ``counts`` is the number of words before each row (n + 1).
+    """
 
-_P1, _P2 = _powers(_M1, _POWER_LIMIT), _powers(_M2, _POWER_LIMIT)
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, letters: np.ndarray):
+        low = letters[raw]
+        inside = low != 0
+        first = inside.copy()
+        if len(raw):
+            first[1:] &= ~inside[:-1]
+            rows = offsets[:-1]
+            rows = rows[rows < len(raw)]
+            first[rows] = inside[rows]
+        self.starts = np.flatnonzero(first)
+        self.counts = np.searchsorted(self.starts, offsets)
+        self.bytes = low[inside]
+        heads = np.flatnonzero(first[inside])
+        self.ends = np.append(heads, len(self.bytes)).astype(np.int64)
+        self.lengths = np.diff(self.ends)
+
+    def distinct(self) -> tuple[np.ndarray, pa.Array]:
+        """The number of every word in the list of distinct words, and that list."""
+        if not len(self.lengths):
+            return np.zeros(0, np.int64), pa.array([], pa.large_binary())
+        values = pa.Array.from_buffers(
+            pa.large_binary(), len(self.lengths), [None, pa.py_buffer(self.ends), pa.py_buffer(self.bytes)]
+        ).dictionary_encode()
+        return values.indices.to_numpy().astype(np.int64), values.dictionary
 
 
 def word_codes(
@@ -63,39 +80,18 @@ def word_codes(
 ) -> tuple[np.ndarray, np.ndarray]:
     """64-bit codes of all words, and the number of words before each row (n + 1 numbers).
 
-    ``raw`` holds the rows' UTF-8 bytes one behind the other; ``letters`` maps every byte
-    to the byte it counts as, 0 between words. Equal words have equal codes; codes are
-    never 0.
+    See ``Words`` for the arguments. A code is a BLAKE2 digest of the word's bytes, so
+    no words can be made to share one; codes are never 0. Each distinct word is
+    digested once.
     """
-    low = letters[raw]
-    inside = low != 0
-    first = inside.copy()
-    if len(raw):
-        first[1:] &= ~inside[:-1]
-        starts_of_rows = offsets[:-1]
-        starts_of_rows = starts_of_rows[starts_of_rows < len(raw)]
-        first[starts_of_rows] = inside[starts_of_rows]
-    begins = np.flatnonzero(first)
-    counts = np.searchsorted(begins, offsets)
-    if not len(begins):
-        return np.zeros(0, np.uint64), counts
-    where = np.flatnonzero(inside)
-    heads = np.flatnonzero(first[where])
-    lengths = np.diff(np.append(heads, len(where)))
-    place = np.arange(len(where)) - np.repeat(heads, lengths)
-    values = low[where].astype(np.uint64)
-    with np.errstate(over="ignore"):
-        place %= _POWER_LIMIT
-        one = np.add.reduceat(values * _P1[place], heads)
-        two = np.add.reduceat(values * _P2[place], heads)
-        long_ = np.flatnonzero(lengths > _POWER_LIMIT)
-        for i in long_:  # words of thousands of bytes: a digest in place of the sum
-            body = low[where[heads[i] : heads[i] + lengths[i]]].tobytes()
-            one[i] = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little")
-        code = one ^ ((two << np.uint64(29)) | (two >> np.uint64(35)))
-        code += lengths.astype(np.uint64) * np.uint64(_M1)
-    code[code == 0] = 1
-    return code, counts
+    words = Words(raw, offsets, letters)
+    number, distinct = words.distinct()
+    digest = hashlib.blake2b
+    codes = np.frombuffer(
+        b"".join([digest(w, digest_size=8).digest() for w in distinct.to_pylist()]), np.uint64
+    ).copy()
+    codes[codes == 0] = 1
+    return codes[number], words.counts
 
 
 def slices(
