@@ -54,6 +54,13 @@ def vector_entries(vector: Column) -> Column:
     return F.arrays_zip(stored["indices"].alias("indices"), stored["values"].alias("values"))
 
 
+def stored_entries(vector: Column) -> Column:
+    """As above, of sparse vectors as well as of dense ones, which store every position."""
+    stored = F.unwrap_udt(vector)
+    indices = F.coalesce(stored["indices"], F.sequence(F.lit(0), F.size(stored["values"]) - 1))
+    return F.arrays_zip(indices.alias("indices"), stored["values"].alias("values"))
+
+
 def vector_sparsity(vector: Column) -> Column:
     """Share of positions that a sparse vector stores."""
     stored = F.unwrap_udt(vector)

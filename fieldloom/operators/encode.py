@@ -256,6 +256,28 @@ def _encode_by_shuffle(
     return grouped.select(*columns, "__indices")
 
 
+def _one_hot_indices(
+    df: DataFrame,
+    dictionary: OneHotDictionary,
+    column: str,
+    row_id: str | None,
+    width: int | None,
+    broadcast_bytes: int,
+    kept: list[str],
+) -> DataFrame:
+    """``kept`` and the ascending indices of each row's pairs, as ``__indices``."""
+    if dictionary.bytes <= broadcast_bytes:
+        if width is None:
+            width = _widest(df, column)
+        if width <= MAX_CHAINED_JOINS:
+            return _encode_in_row(df, dictionary, column, kept, width)
+    if row_id is None:
+        # Numbers are safe to use once they are written.
+        row_id = "__row_id"
+        df = materialize(df.withColumn(row_id, F.monotonically_increasing_id()), "rows")
+    return _encode_by_shuffle(df, dictionary, column, kept, row_id)
+
+
 def one_hot_encode(
     df: DataFrame,
     dictionary: OneHotDictionary,
@@ -276,27 +298,30 @@ def one_hot_encode(
     written first. ``width``, the most pairs in any
     row, is measured if not given. ``keep`` names the columns to keep, all if not
     given. ``written`` rows are computed once, into the shared folder, and read
-    from there by every later use.
+    from there by every later use, with the stored fields as the vectors that they are;
+    otherwise every use encodes anew and builds the vectors by way of JSON.
     """
     if dictionary.size > _MAX_VECTOR:
         raise ValueError(f"a vector holds at most {_MAX_VECTOR} positions: hash the features")
     kept = df.columns if keep is None else list(keep)
-    found = None
-    if dictionary.bytes <= broadcast_bytes:
-        if width is None:
-            width = _widest(df, column)
-        if width <= MAX_CHAINED_JOINS:
-            found = _encode_in_row(df, dictionary, column, kept, width)
-    if found is None:
-        if row_id is None:
-            # Numbers are safe to use once they are written.
-            row_id = "__row_id"
-            df = materialize(df.withColumn(row_id, F.monotonically_increasing_id()), "rows")
-        found = _encode_by_shuffle(df, dictionary, column, kept, row_id)
+    found = _one_hot_indices(df, dictionary, column, row_id, width, broadcast_bytes, kept)
     indices = F.col("__indices")
     return _with_vector(found, kept, output, dictionary.size, indices, _ones(indices), written)
 
 
+def _hashed_indices(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """``df`` with the buckets of each row's pairs, ``__hits``, and the ascending distinct
+    ones, ``__indices``."""
+    check_buckets(buckets)
+    keys = F.transform(
+        _unique_pairs(column),
+        lambda pair: F.md5(F.concat(pair["_2"], F.lit(":"), pair["_1"].cast("string"))),
+    )
+    hits = F.transform(keys, lambda digest: digest_bucket(digest, buckets).cast("int"))
+    df = df.withColumn("__hits", F.coalesce(hits, F.array().cast("array<int>")))
+    return df.withColumn("__indices", F.sort_array(F.array_distinct("__hits")))
+
+
 def hash_features(
     df: DataFrame,
     column: str = "feature",
@@ -312,15 +337,8 @@ def hash_features(
     the row, without a shuffle. ``keep`` and ``written`` are as for
     ``one_hot_encode``.
     """
-    check_buckets(buckets)
     kept = df.columns if keep is None else list(keep)
-    keys = F.transform(
-        _unique_pairs(column),
-        lambda pair: F.md5(F.concat(pair["_2"], F.lit(":"), pair["_1"].cast("string"))),
-    )
-    hits = F.transform(keys, lambda digest: digest_bucket(digest, buckets).cast("int"))
-    df = df.withColumn("__hits", F.coalesce(hits, F.array().cast("array<int>")))
-    df = df.withColumn("__indices", F.sort_array(F.array_distinct("__hits")))
+    df = _hashed_indices(df, column, buckets)
     indices = F.col("__indices")
     # Most rows have no two pairs in one bucket, hence nothing to count.
     counts = F.when(F.size("__hits") == F.size(indices), _ones(indices)).otherwise(
@@ -338,3 +356,24 @@ def add_sparsity(df: DataFrame, vector: str = "features", output: str = "sparsit
 def mean_sparsity(df: DataFrame, vector: str = "features") -> DataFrame:
     """One row with the average ``sparsity`` of a column of sparse vectors."""
     return df.agg(F.avg(vector_sparsity(F.col(vector))).alias("sparsity"))
+
+
+def encoding_sparsity(
+    df: DataFrame,
+    dictionary: OneHotDictionary,
+    column: str = "feature",
+    buckets: int = HASH_BUCKETS,
+    row_id: str | None = None,
+    width: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Rows (encoding, sparsity): the average share of positions that are not zero in the
+    one-hot and in the hashed vectors of ``df``, counted without building the vectors."""
+    kept = [column] if row_id is None else [row_id, column]
+    found = _one_hot_indices(df, dictionary, column, row_id, width, broadcast_bytes, kept)
+    marked = _hashed_indices(found.withColumnRenamed("__indices", "__one_hot"), column, buckets)
+    wide = marked.agg(
+        F.avg(F.size("__one_hot") / F.lit(float(dictionary.size))).alias("one_hot"),
+        F.avg(F.size("__indices") / F.lit(float(buckets))).alias("hashed"),
+    )
+    return wide.unpivot([], ["one_hot", "hashed"], "encoding", "sparsity")

@@ -12,15 +12,13 @@ def two_way_products(features: Column, width: int | None = None) -> Column:
     """The features followed by all ordered products of two of them.
 
     Both x*y and y*x appear. A known ``width`` gives plain products in generated
-    code in place of nested array functions; rows of another width, or with a NULL
-    entry, then fail the job.
+    code in place of nested array functions, and takes rows to have that width.
     """
     if width is None:
         products = F.flatten(
             F.transform(features, lambda x: F.transform(features, lambda y: x * y))
         )
     else:
-        features = checked(features, width)
         items = [F.get(features, F.lit(i)) for i in range(width)]
         products = F.array(*[x * y for x in items for y in items])
     return F.concat(features, products)
@@ -32,9 +30,18 @@ def two_way_interactions(
     output: str | None = None,
     width: int | None = None,
 ) -> DataFrame:
-    """Replace (or add as ``output``) an array column by its two-way interactions."""
-    return df.withColumn(
-        output or features, two_way_products(dense_array(df, features), width)
+    """Replace (or add as ``output``) an array column by its two-way interactions.
+
+    With a known ``width``, rows of another width, or with a NULL entry, fail the job.
+    """
+    if width is None:
+        return df.withColumn(output or features, two_way_products(dense_array(df, features)))
+    # The array has a column of its own, so that it is worked out and checked once a row,
+    # not in every product.
+    return (
+        df.withColumn("__once", checked(dense_array(df, features), width))
+        .withColumn(output or features, two_way_products(F.col("__once"), width))
+        .drop("__once")
     )
 
 

@@ -1,12 +1,14 @@
 """Logistic models."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clamped_sigmoid
-from ..functions.vectors import as_vector
+from ..functions.vectors import as_vector, stored_entries
 
 # The settings used on one-hot and on hashed features.
 ONE_HOT_SETTINGS = {"elasticNetParam": 0.0, "regParam": 0.01, "maxIter": 20}
@@ -39,3 +41,51 @@ def add_probability(
     scored = scorer.transform(df.withColumn("__vector", as_vector(df, features)))
     raw = F.get(vector_to_array(F.col("__raw")), F.lit(1))
     return scored.withColumn(output, clamped_sigmoid(raw)).drop("__vector", "__raw")
+
+
+def optimality(
+    df: DataFrame, model: LogisticRegressionModel, features: str = "features", label: str = "label"
+) -> DataFrame:
+    """How far each coefficient is from meeting the conditions of the optimum on ``df``.
+
+    Rows (idx, n_rows, excess) for every index of the model, the intercept at -1: in how
+    many rows the index is stored, and the size of the slope of the penalized mean log loss
+    there, divided by the share of these rows. So a coefficient counts by the rows that it
+    works on, however many others there are, and an altered rare one shows. At coefficient
+    0 the L1 part allows any slope up to its weight. An index without rows has the slope of
+    the penalty alone. Sums are combined before the one shuffle; the model's penalties are
+    read off the model, which has to be fitted without standardization.
+    """
+    reg, mixing = model.getRegParam(), model.getElasticNetParam()
+    scored = add_probability(df, model, features, "__p")
+    residual = F.col("__p") - F.col(label)
+    entries = F.concat(
+        F.array(F.struct(F.lit(-1).alias("indices"), F.lit(1.0).alias("values"))),
+        stored_entries(as_vector(scored, features)),
+    )
+    sums = (
+        scored.select(residual.alias("residual"), F.explode_outer(entries).alias("entry"))
+        .groupBy(F.col("entry")["indices"].alias("idx"))
+        .agg(
+            F.sum(F.col("residual") * F.col("entry")["values"]).alias("total"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
+    )
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    coefficients = np.concatenate([[model.intercept], model.coefficients.toArray()])
+    table = df.sparkSession.createDataFrame(
+        pa.table({"idx": pa.array(np.arange(-1, len(coefficients) - 1), pa.int32()), "weight": coefficients})
+    )
+    # Every index has to be there, with rows or without.
+    joined = sums.join(table, "idx", "full_outer").withColumn("rows", rows)
+    n_rows = F.coalesce("n_rows", F.lit(0))
+    slope = F.coalesce("total", F.lit(0.0)) / F.col("rows")
+    weight = F.when(F.col("idx") >= 0, F.col("weight")).otherwise(0.0)
+    free = F.col("idx") < 0
+    smooth = slope + reg * (1 - mixing) * weight + reg * mixing * F.signum(weight)
+    allowed = F.when(free, F.lit(0.0)).otherwise(F.lit(reg * mixing))
+    excess = F.when(weight != 0, F.abs(smooth)).otherwise(F.greatest(F.abs(slope) - allowed, F.lit(0.0)))
+    share = F.when(n_rows > 0, n_rows / F.col("rows")).otherwise(1.0)
+    return joined.select(
+        F.col("idx").cast("bigint").alias("idx"), n_rows.alias("n_rows"), (excess / share).alias("excess")
+    )

@@ -1,14 +1,17 @@
 """Means, covariance and principal components."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import StandardScaler, VectorSlicer
-from pyspark.ml.stat import Correlation, Summarizer
+import pyarrow as pa
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..blocks import merged, rows_of
 from ..functions.numeric import dot
 from ..functions.vectors import as_vector, dense_array
 
@@ -55,37 +58,77 @@ def _pairwise_moments(df: DataFrame, features: str, width: int) -> Moments:
     return Moments(row[0], np.array(row[4 : 4 + width]), covariance)
 
 
-def _matrix_moments(df: DataFrame, features: str, width: int) -> Moments:
-    """As above for many columns: a pass that checks the rows, then Spark's matrix passes.
+_PARTIAL = "n long, uneven boolean, mean binary, spread binary"
+# Partial results that one task adds up.
+_FAN_IN = 8
+
 
-    Columns are centered and scaled to unit deviation first, so that small ones lose no
-    digits; constant ones stay out of the matrix.
+def _tree(partial: DataFrame, merge: Callable) -> DataFrame:
+    """One row out of the rows of all tasks, a few of which are merged at a time.
+
+    ``merge`` takes an iterator of batches to one of one batch.
     """
-    values = dense_array(df, features)
-    count, least, most, nulls = df.agg(
-        F.count(F.lit(1)),
-        F.min(F.size(values)),
-        F.max(F.size(values)),
-        F.sum(F.coalesce(F.size(values) - F.size(F.array_compact(values)), F.lit(1))),
-    ).first()
-    if count == 0:
+    parts = partial.rdd.getNumPartitions()
+    while parts > 1:
+        parts = -(-parts // _FAN_IN)
+        partial = partial.repartition(parts).mapInArrow(merge, partial.schema)
+    return partial
+
+
+def _one_pass(df: DataFrame, features: str, width: int, squares: bool) -> tuple:
+    """(n, uneven, mean, spread) of all rows, each of which is read once."""
+    shape = (width,) if squares else (width, width)
+    nothing = (0, False, np.zeros(width), np.zeros(shape))
+
+    def packed(state):
+        n, uneven, mean, spread = state
+        return pa.RecordBatch.from_pydict(
+            {"n": [int(n)], "uneven": [bool(uneven)], "mean": [mean.tobytes()], "spread": [spread.tobytes()]}
+        )
+
+    def measure(batches):
+        state = nothing
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = rows_of(batch.column(0), width)
+            if rows is None:
+                state = (state[0] + batch.num_rows, True, *state[2:])
+                continue
+            mean = rows.mean(0)
+            centered = rows - mean
+            # What rounding left of the mean is taken out as well.
+            rest = centered.mean(0)
+            centered -= rest
+            spread = (centered * centered).sum(0) if squares else centered.T @ centered
+            state = merged(state, (len(rows), False, mean + rest, spread))
+        yield packed(state)
+
+    def merge(batches):
+        state = nothing
+        for batch in batches:
+            for row in batch.to_pylist():
+                mean, spread = np.frombuffer(row["mean"]), np.frombuffer(row["spread"]).reshape(shape)
+                state = merged(state, (row["n"], row["uneven"], mean, spread))
+        yield packed(state)
+
+    partial = df.select(dense_array(df, features).alias("v")).mapInArrow(measure, _PARTIAL)
+    row = _tree(partial, merge).first()
+    if row is None or row["n"] == 0:
         raise ValueError("no rows")
-    if not least == most == width or nulls:
+    if row["uneven"]:
         raise _uneven(width)
-    rows = df.select(as_vector(df, features).alias("v"))
-    scaler = StandardScaler(inputCol="v", outputCol="scaled", withMean=True).fit(rows)
-    mean = scaler.mean.toArray()
-    deviation = scaler.std.toArray() * np.sqrt((count - 1) / count)
-    covariance = np.zeros((width, width))
-    varying = np.flatnonzero(deviation != 0)
-    if len(varying):
-        slicer = VectorSlicer(inputCol="scaled", outputCol="used", indices=varying.tolist())
-        used = slicer.transform(scaler.transform(rows))
-        correlation = Correlation.corr(used, "used").first()[0].toArray()
-        np.fill_diagonal(correlation, 1.0)
-        scale = deviation[varying]
-        covariance[np.ix_(varying, varying)] = correlation * np.outer(scale, scale)
-    return Moments(count, mean, covariance)
+    return row["n"], np.frombuffer(row["mean"]), np.frombuffer(row["spread"]).reshape(shape)
+
+
+def _matrix_moments(df: DataFrame, features: str, width: int) -> Moments:
+    """As above for many columns, in one pass that checks the rows, too.
+
+    Each task adds up outer products of blocks of centered rows; partial results are
+    merged pairwise in a tree, so no task holds more than a few matrices.
+    """
+    count, mean, spread = _one_pass(df, features, width, squares=False)
+    return Moments(count, mean, spread / count)
 
 
 def _first_width(df: DataFrame, features: str) -> int:
@@ -196,3 +239,119 @@ def pca(
 def variance_explained(df: DataFrame, features: str = "features", k: int = 1) -> float:
     """Share of the variance along the top ``k`` components."""
     return pca(df, features, k).variance_explained(k)
+
+
+@dataclass(frozen=True)
+class LeadingComponents:
+    """Top components as columns, their eigenvalues, the total variance, and the scores."""
+
+    components: np.ndarray
+    eigenvalues: np.ndarray
+    total: float
+    scores: DataFrame
+
+    def variance_explained(self, k: int | None = None) -> float:
+        """Share of the variance along the first ``k`` components."""
+        return float(self.eigenvalues[:k].sum() / self.total)
+
+
+def _times_covariance(
+    df: DataFrame, features: str, mean: np.ndarray, count: int, block: np.ndarray
+) -> np.ndarray:
+    """The covariance times the columns of ``block``, in one pass and without the covariance."""
+    shared = df.sparkSession.sparkContext.broadcast((mean, block))
+
+    def measure(batches):
+        center, columns = shared.value
+        total = np.zeros(columns.shape)
+        for batch in batches:
+            if batch.num_rows:
+                rows = rows_of(batch.column(0), len(center)) - center
+                total += rows.T @ (rows @ columns)
+        yield pa.RecordBatch.from_pydict({"total": [total.tobytes()]})
+
+    def merge(batches):
+        total = np.zeros(shared.value[1].shape)
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                total += np.frombuffer(part).reshape(total.shape)
+        yield pa.RecordBatch.from_pydict({"total": [total.tobytes()]})
+
+    partial = df.select(dense_array(df, features).alias("v")).mapInArrow(measure, "total binary")
+    row = _tree(partial, merge).first()
+    shared.unpersist()
+    return np.frombuffer(row["total"]).reshape(block.shape) / count
+
+
+def _added(basis: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of what ``block`` adds to the span of ``basis``."""
+    for _ in range(2):  # once more, for what rounding left of the first time
+        block = block - basis @ (basis.T @ block)
+        left, sizes, _ = np.linalg.svd(block, full_matrices=False)
+        block = left[:, sizes > 1e-12 * max(sizes.max(initial=0.0), 1e-300)]
+    return block
+
+
+def leading_components(
+    df: DataFrame, features: str = "features", k: int = 2, output: str = "scores",
+    width: int | None = None, block: int | None = None, tolerance: float = 1e-9,
+    passes: int = 30, seed: int = 42,
+) -> LeadingComponents:
+    """The top ``k`` components of very wide rows, without the covariance matrix.
+
+    Block Lanczos: each pass over the rows multiplies the covariance by a block of columns;
+    the blocks' span holds ever better components, found there as in a small matrix. It
+    ends when none of the ``k`` is off by more than ``tolerance`` times the top eigenvalue
+    (or the span is everything); short of that after ``passes``, it is an error. The driver
+    holds width x (block x passes) numbers at most. Scores and signs are as for ``pca``.
+    """
+    if width is None:
+        width = _first_width(df, features)
+    if not 1 <= k <= width:
+        raise ValueError(f"k must lie in 1..{width}")
+    count, mean, spread = _one_pass(df, features, width, squares=True)
+    size = min(width, block or max(32, 2 * k))
+    start = np.random.default_rng(seed).standard_normal((width, size))
+    basis = np.zeros((width, 0))
+    image = np.zeros((width, 0))
+    fresh = _added(basis, start)
+    for _ in range(passes):
+        new = _times_covariance(df, features, mean, count, fresh)
+        basis, image = np.hstack([basis, fresh]), np.hstack([image, new])
+        small = basis.T @ image
+        values, vectors = np.linalg.eigh((small + small.T) / 2)
+        values, vectors = values[::-1], vectors[:, ::-1]
+        top = vectors[:, :k]
+        off = np.linalg.norm(image @ top - basis @ top * values[:k], axis=0)
+        whole = basis.shape[1] == width
+        done = basis.shape[1] >= k and off.max() <= tolerance * max(values[0], 1e-300)
+        fresh = _added(basis, new)
+        if done or whole or (not fresh.shape[1] and basis.shape[1] >= k):
+            break
+        if not fresh.shape[1]:  # rows of lower rank than k: any other directions will do
+            fresh = _added(basis, np.random.default_rng(seed + 1).standard_normal((width, size)))
+        fresh = fresh[:, : width - basis.shape[1]]
+    else:
+        raise ValueError(f"components still off by {off.max()} after {passes} passes")
+    components = basis @ top
+    components = components * _turned(components)
+    scores = _project_wide(df, features, components, output)
+    return LeadingComponents(components, np.maximum(values[:k], 0.0), float(spread.sum() / count), scores)
+
+
+def _project_wide(df: DataFrame, features: str, components: np.ndarray, output: str) -> DataFrame:
+    shared = df.sparkSession.sparkContext.broadcast(components)
+    kept = [f for f in df.schema.fields if f.name != output]
+    schema = T.StructType([*kept, T.StructField(output, T.ArrayType(T.DoubleType()))])
+
+    def project(batches):
+        columns = shared.value
+        for batch in batches:
+            rows = batch.column(batch.num_columns - 1)
+            scores = rows_of(rows, len(columns)) @ columns if batch.num_rows else np.zeros((0, columns.shape[1]))
+            ends = np.arange(len(rows) + 1, dtype=np.int32) * columns.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], schema.names)
+
+    columns = [F.col(f.name) for f in kept]
+    return df.select(*columns, dense_array(df, features).alias("__rows")).mapInArrow(project, schema)

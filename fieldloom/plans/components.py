@@ -69,6 +69,13 @@ def pca_eigen_moments(spark, folder):
     return spark.createDataFrame(rows, "total double, total_squares double")
 
 
+def pca_leading(spark, folder):
+    vectors = read_table(spark, folder, "embeddings")
+    found = ops.leading_components(vectors, "embedding", k=1)
+    rows = [(round(float(found.eigenvalues[0]), 6), round(found.total, 6), round(found.variance_explained(), 6))]
+    return spark.createDataFrame(rows, "eigenvalue double, total double, share double")
+
+
 QUERIES = {
     "column_means": column_means,
     "centered_rows": centered_rows,
@@ -79,6 +86,7 @@ QUERIES = {
     "pca_components_2d": pca_components_2d,
     "pca_scores_2d": pca_scores_2d,
     "pca_eigen_moments": pca_eigen_moments,
+    "pca_leading": pca_leading,
 }
 
 _LONG_SQL = """
@@ -139,4 +147,16 @@ ORACLES = {
     "pca_eigen_moments": f"""WITH {_LONG_SQL}
   SELECT round(sum(cov) FILTER (WHERE i = j), 6) AS total, round(sum(cov * cov), 6) AS total_squares
   FROM cov""",
+    # Squared again and again, and held at trace 1, the matrix becomes the projection on
+    # its top component.
+    "pca_leading": f"""WITH RECURSIVE {_LONG_SQL},
+powers AS (
+  SELECT 0 AS k, i, j, cov / (SELECT sum(cov) FROM cov WHERE i = j) AS c FROM cov
+  UNION ALL
+  SELECT k, i, j, c / sum(CASE WHEN i = j THEN c END) OVER ()
+  FROM (SELECT a.k + 1 AS k, a.i AS i, b.j AS j, sum(a.c * b.c) AS c
+        FROM powers a JOIN powers b ON a.j = b.i WHERE a.k < 24 GROUP BY a.k, a.i, b.j)),
+top AS (SELECT sum(cov * c) AS l FROM cov JOIN powers USING (i, j) WHERE k = 24),
+t AS (SELECT sum(cov) AS total FROM cov WHERE i = j)
+  SELECT round(l, 6) AS eigenvalue, round(total, 6) AS total, round(l / total, 6) AS share FROM top, t""",
 }

@@ -6,6 +6,7 @@ from ..functions.vectors import vector_entries
 from ..operators import encode
 from ..operators.split import with_split
 from ..sources import read_table
+from ..storage import materialize
 from .inputs import CLICKS_SQL, DICTIONARY_SQL, clicks, rounded
 
 _BUCKETS = 32768
@@ -40,7 +41,7 @@ def _encoded(spark, folder, **options):
     rows = clicks(spark, folder)
     dictionary = encode.build_dictionary(_train(rows))
     return encode.one_hot_encode(
-        rows, dictionary, row_id="o_orderkey", **{"keep": _KEPT, **options}
+        rows, dictionary, row_id="o_orderkey", **{"keep": _KEPT, "written": True, **options}
     )
 
 
@@ -74,7 +75,7 @@ def ohe_unseen(spark, folder):
 
 
 def hash_features(spark, folder):
-    return _entries(encode.hash_features(clicks(spark, folder), keep=_KEPT), "bucket", "hits")
+    return _entries(encode.hash_features(clicks(spark, folder), keep=_KEPT, written=True), "bucket", "hits")
 
 
 def hash_features_fold(spark, folder):
@@ -87,18 +88,26 @@ def hash_features_fold(spark, folder):
         customers.select(F.col("c_custkey").alias("o_orderkey"), F.array(*pairs).alias("feature")),
         "o_orderkey",
     )
-    hashed = _entries(encode.hash_features(rows, buckets=_FOLD_BUCKETS), "bucket", "hits")
+    hashed = _entries(encode.hash_features(rows, buckets=_FOLD_BUCKETS, written=True), "bucket", "hits")
     return hashed.select(F.col("o_orderkey").alias("c_custkey"), "bucket", "hits")
 
 
 def sparsity(spark, folder):
-    one_hot = encode.mean_sparsity(_train(_encoded(spark, folder, width=4)))
-    hashed = encode.mean_sparsity(_train(encode.hash_features(clicks(spark, folder), keep=_KEPT)))
-    return one_hot.select(
-        F.lit("one_hot").alias("encoding"), rounded("sparsity", 9).alias("sparsity")
-    ).unionByName(
-        hashed.select(F.lit("hashed").alias("encoding"), rounded("sparsity", 9).alias("sparsity"))
+    train = materialize(_train(clicks(spark, folder)).select("o_orderkey", "feature"), "clicks")
+    found = encode.encoding_sparsity(train, encode.build_dictionary(train), row_id="o_orderkey", width=4)
+    return found.select("encoding", rounded("sparsity", 9).alias("sparsity"))
+
+
+def vector_sparsity(spark, folder):
+    """The same shares, read off the vectors."""
+    rows = _train(clicks(spark, folder))
+    one_hot = encode.one_hot_encode(rows, encode.build_dictionary(rows), row_id="o_orderkey", width=4, keep=_KEPT)
+    found = {"one_hot": one_hot, "hashed": encode.hash_features(rows, keep=_KEPT)}
+    one, other = (
+        encode.mean_sparsity(df).select(F.lit(name).alias("encoding"), rounded("sparsity", 9).alias("sparsity"))
+        for name, df in found.items()
     )
+    return one.unionByName(other)
 
 
 QUERIES = {
@@ -111,6 +120,7 @@ QUERIES = {
     "hash_features": hash_features,
     "hash_features_fold": hash_features_fold,
     "sparsity": sparsity,
+    "vector_sparsity": vector_sparsity,
 }
 
 
@@ -135,6 +145,16 @@ hits AS (
          count(*)::DOUBLE AS hits
   FROM pairs GROUP BY ALL)"""
 
+_SPARSITY_SQL = f"""WITH {DICTIONARY_SQL}, {_HITS_SQL}
+  SELECT 'one_hot' AS encoding, round(avg(n / size), 9) AS sparsity
+  FROM (SELECT o_orderkey, count(idx)::DOUBLE AS n, (SELECT count(*) FROM dictionary) AS size
+        FROM pairs LEFT JOIN dictionary USING (feature_id, category)
+        WHERE split = 'train' GROUP BY o_orderkey)
+  UNION ALL
+  SELECT 'hashed', round(avg(n / {_BUCKETS}), 9)
+  FROM (SELECT o_orderkey, count(*)::DOUBLE AS n FROM hits WHERE split = 'train'
+        GROUP BY o_orderkey)"""
+
 ORACLES = {
     "category_counts": f"""WITH {CLICKS_SQL}
   SELECT feature_id::BIGINT AS feature_id, count(DISTINCT category) AS "count"
@@ -159,13 +179,6 @@ ORACLES = {
               UNION ALL SELECT c_custkey, 1, c_nationkey::VARCHAR FROM customer
               UNION ALL SELECT c_custkey, 2, c_mktsegment FROM customer))
   GROUP BY ALL""",
-    "sparsity": f"""WITH {DICTIONARY_SQL}, {_HITS_SQL}
-  SELECT 'one_hot' AS encoding, round(avg(n / size), 9) AS sparsity
-  FROM (SELECT o_orderkey, count(idx)::DOUBLE AS n, (SELECT count(*) FROM dictionary) AS size
-        FROM pairs LEFT JOIN dictionary USING (feature_id, category)
-        WHERE split = 'train' GROUP BY o_orderkey)
-  UNION ALL
-  SELECT 'hashed', round(avg(n / {_BUCKETS}), 9)
-  FROM (SELECT o_orderkey, count(*)::DOUBLE AS n FROM hits WHERE split = 'train'
-        GROUP BY o_orderkey)""",
+    "sparsity": _SPARSITY_SQL,
+    "vector_sparsity": _SPARSITY_SQL,
 }

@@ -7,6 +7,7 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dot
@@ -30,6 +31,8 @@ from ..sources import read_lines
 from ..storage import materialize, released
 
 _ITERATIONS = 50
+# Copies of a line that are numbered in one row.
+_RUN = 4096
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -42,10 +45,31 @@ def _numbered(lines: DataFrame, parse: Callable[[DataFrame], DataFrame], name: s
     Lines carry no key, and their place depends on how files are cut. The part follows
     from the line itself and a number among its equals, so the same lines always give
     the same parts, and equal lines still spread over all of them.
+
+    Copies are counted for each part of the input; the counts of the parts before give the
+    first number. Copies of a line that has many are numbered in runs, dealt out to all
+    tasks, so no row or task holds all of them.
     """
-    counted = lines.groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
-    keyed = counted.select(
-        "value", F.col("value").alias("__line"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")
+    spark = lines.sparkSession
+    counted = lines.groupBy("value", F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted, f"{name}-copies")
+    same = W.partitionBy("value")
+    before = F.sum("n").over(same.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    counted = counted.select(
+        "value", "n", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(same).alias("copies")
+    )
+    runs = counted.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(_RUN)))).select(
+        "value",
+        "copies",
+        (F.col("before") + F.col("at") + 1).alias("first"),
+        (F.col("before") + F.least(F.col("at") + _RUN, F.col("n"))).alias("last"),
+    )
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.filter(F.col("copies") > _RUN).repartition(tasks, "value", "first")
+    keyed = runs.filter(F.col("copies") <= _RUN).unionByName(dealt).select(
+        "value",
+        F.col("value").alias("__line"),
+        F.explode(F.sequence("first", "last")).alias("__copy"),
     )
     parsed = with_split(parse(keyed), ["__line", "__copy"]).drop("__line", "__copy")
     return materialize(parsed.withColumn("row", F.monotonically_increasing_id()), name)

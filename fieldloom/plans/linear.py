@@ -7,13 +7,16 @@ from ..functions.vectors import dense_vector
 from ..operators import expand
 from ..operators import linear as lin
 from ..operators.evaluate import add_baseline, compare_models, rmse
-from ..operators.parse import parse_numeric_points
+from ..operators.encode import hash_features
+from ..operators.parse import parse_numeric_points, shift_label
 from ..operators.split import with_split
-from ..sources import read_table
+from .encoding import bucket_sql
 from .inputs import (
+    CLICKS_SQL,
     DOCUMENT_SIZES_SQL,
     ORDER_POINTS_SQL,
     PRICE_POINTS_SQL,
+    clicks,
     document_sizes,
     order_point_lines,
     price_points,
@@ -22,18 +25,18 @@ from .inputs import (
 )
 
 _ITERATIONS = 50
+_SPARSE_ITERATIONS = 3
+_BUCKETS = 32768
 _WEIGHTS = (0.5, -1.0, 2.0)
 _EXACT = {"tol": 1e-12}
+# Products that are nearly multiples of each other need many steps, all of them on moments.
+_PATIENT = {"tol": 1e-16, "maxIter": 20000}
 
 
 def _part(df, name):
     return df.filter(F.col("split") == name)
 
 
-def _first_feature(df):
-    return df.withColumn("features", F.slice("features", 1, 1))
-
-
 def _rmse_by_split(df):
     error = rmse(F.col("prediction"), F.col("label"))
     return df.groupBy("split").agg(rounded(error, 4).alias("rmse"))
@@ -74,6 +77,15 @@ def gd_error_curve(spark, folder):
     return spark.createDataFrame(rows, "iteration long, rmse double")
 
 
+def gd_sparse_weights(spark, folder):
+    """Descent on hashed categories, 32,768 features of which a row has four."""
+    rows = _part(clicks(spark, folder), "train")
+    hashed = hash_features(rows, keep=["label"], buckets=_BUCKETS, written=True)
+    result = lin.linreg_gradient_descent_sparse(hashed, _SPARSE_ITERATIONS)
+    rows = [(i, round(w, 6) + 0.0) for i, w in enumerate(result.weights)]
+    return spark.createDataFrame(rows, "idx long, weight double")
+
+
 def linreg_ols(spark, folder):
     points = price_points(spark, folder)
     table_of = lin.coefficient_table(points, lin.fit_linear(points, regParam=0.0))
@@ -104,31 +116,39 @@ def linreg_grid(spark, folder):
     return spark.createDataFrame(rows, "reg_param double, rmse double, chosen boolean")
 
 
+def linreg_path(spark, folder):
+    points = document_sizes(spark, folder)
+    result = lin.path_search(_part(points, "train"), _part(points, "validation"), width=2)
+    rows = [(reg, round(error, 4), reg == result.best_reg) for reg, error in result.trials]
+    return spark.createDataFrame(rows, "reg_param double, rmse double, chosen boolean")
+
+
+def _positions(df, column):
+    """Rows (doc_id, i, x) of an array. A plain explode would have the optimizer filter
+    out empty arrays at the scan, which builds the array there a second time."""
+    rows = df.select("doc_id", F.posexplode_outer(column).alias("i", "x")).filter("i is not null")
+    return rows.select("doc_id", F.col("i").cast("bigint").alias("i"), rounded("x").alias("x"))
+
+
 def interactions(spark, folder):
-    expanded = expand.two_way_interactions(document_sizes(spark, folder), width=2)
-    return expanded.select("doc_id", F.posexplode("features").alias("i", "x")).select(
-        "doc_id", F.col("i").cast("bigint").alias("i"), rounded("x").alias("x")
-    )
+    return _positions(expand.two_way_interactions(document_sizes(spark, folder), width=2), "features")
 
 
 def poly_expand(spark, folder):
     expanded = expand.polynomial(document_sizes(spark, folder))
-    values = expanded.select("doc_id", vector_to_array("polyFeatures").alias("values"))
-    return values.select("doc_id", F.posexplode("values").alias("i", "x")).select(
-        "doc_id", F.col("i").cast("bigint").alias("i"), rounded("x").alias("x")
-    )
+    return _positions(expanded, vector_to_array("polyFeatures"))
 
 
 def interaction_model(spark, folder):
-    points = _first_feature(document_sizes(spark, folder))
-    model = lin.fit_interactions(_part(points, "train"), width=1, **_EXACT)
-    return _rmse_by_split(lin.apply_model(expand.two_way_interactions(points, width=1), model))
+    points = document_sizes(spark, folder)
+    model = lin.fit_interactions(_part(points, "train"), width=2)
+    return _rmse_by_split(lin.apply_model(expand.two_way_interactions(points, width=2), model))
 
 
 def polynomial_pipeline(spark, folder):
-    points = _first_feature(document_sizes(spark, folder))
+    points = document_sizes(spark, folder)
     vectors = points.withColumn("features", dense_vector(F.col("features")))
-    model = lin.fit_polynomial_pipeline(_part(vectors, "train"), **_EXACT)
+    model = lin.fit_polynomial_pipeline(_part(vectors, "train"), **_PATIENT)
     return _rmse_by_split(model.transform(vectors))
 
 
@@ -143,14 +163,10 @@ def pipeline_mean_identity(spark, folder):
 
 
 def model_comparison(spark, folder):
-    orders = read_table(spark, folder, "orders").select(
-        "o_orderkey",
-        (F.col("o_totalprice") / 100000).alias("label"),
-        F.array((F.col("o_custkey") % 100) / 100).alias("features"),
-    )
-    points = with_split(orders, "o_orderkey")
+    points = parse_numeric_points(order_point_lines(spark, folder))
+    points = with_split(shift_label(points), "o_orderkey")
     train = _part(points, "train")
-    descent = lin.linreg_gradient_descent(train, _ITERATIONS, width=1)
+    descent = lin.linreg_gradient_descent(train, _ITERATIONS, width=3)
     scored = add_baseline(points, train, output="baseline")
     scored = scored.withColumn("descent", lin.dot(F.col("features"), descent.weights))
     scored = lin.apply_model(scored, lin.fit_linear(train, regParam=0.0), output="least_squares")
@@ -165,10 +181,12 @@ QUERIES = {
     "linear_predictions": linear_predictions,
     "gd_weights": gd_weights,
     "gd_error_curve": gd_error_curve,
+    "gd_sparse_weights": gd_sparse_weights,
     "linreg_ols": linreg_ols,
     "linreg_elastic": linreg_elastic,
     "linreg_predictions": linreg_predictions,
     "linreg_grid": linreg_grid,
+    "linreg_path": linreg_path,
     "interactions": interactions,
     "poly_expand": poly_expand,
     "interaction_model": interaction_model,
@@ -179,12 +197,12 @@ QUERIES = {
 
 _DOT = "(0.5 * x0 - 1.0 * x1 + 2.0 * x2)"
 
-_DESCENT_SQL = f"""WITH RECURSIVE {PRICE_POINTS_SQL},
-m AS (
+def _moments_sql(rows: str) -> str:
+    return f"""m AS (
   SELECT count(*)::DOUBLE AS n, sum(x1*x1) AS a11, sum(x1*x2) AS a12, sum(x1*x3) AS a13,
          sum(x2*x2) AS a22, sum(x2*x3) AS a23, sum(x3*x3) AS a33,
          sum(x1*y) AS b1, sum(x2*y) AS b2, sum(x3*y) AS b3
-  FROM prices),
+  FROM {rows}),
 w AS (
   SELECT 0 AS i, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, 0.0::DOUBLE AS w3
   UNION ALL
@@ -193,6 +211,55 @@ w AS (
          w3 - (a13*w1 + a23*w2 + a33*w3 - b3) / (n * sqrt(i + 1))
   FROM w, m WHERE i < {_ITERATIONS})"""
 
+
+_DESCENT_SQL = f"""WITH RECURSIVE {PRICE_POINTS_SQL},
+{_moments_sql("prices")}"""
+
+
+def _sparse_sql() -> str:
+    """Steps of the descent over (row, bucket) pairs, one after the other."""
+    steps = ["w0 AS (SELECT range AS bucket, 0.0::DOUBLE AS w FROM range({0}))".format(_BUCKETS)]
+    for i in range(_SPARSE_ITERATIONS):
+        steps.append(f"""r{i} AS (
+  SELECT o_orderkey, sum(w * hits) - any_value(label) AS r
+  FROM hits JOIN w{i} USING (bucket) GROUP BY o_orderkey),
+g{i} AS (
+  SELECT bucket, sum(r * hits) / (SELECT count(*) FROM r{i}) AS g
+  FROM hits JOIN r{i} USING (o_orderkey) GROUP BY bucket),
+w{i + 1} AS (
+  SELECT bucket, w - coalesce(g, 0) / sqrt({i + 1}) AS w FROM w{i} LEFT JOIN g{i} USING (bucket))""")
+    bucket = bucket_sql("category || ':' || feature_id", _BUCKETS)
+    return f"""WITH {CLICKS_SQL},
+hits AS (
+  SELECT o_orderkey, any_value(label) AS label, {bucket} AS bucket, count(*)::DOUBLE AS hits
+  FROM pairs JOIN clicks USING (o_orderkey) WHERE pairs.split = 'train' GROUP BY o_orderkey, bucket),
+{",".join(steps)}
+  SELECT bucket AS idx, round(w, 6) + 0.0 AS weight FROM w{_SPARSE_ITERATIONS}"""
+
+
+def _residuals_sql(source: str, columns: list[str], label: str) -> str:
+    """Tables q0, q1, ... that take one column after the other out of all columns behind it
+    and out of the label, by regression on the training rows. In the last one, ``y`` is
+    what a least squares model of all columns leaves of the label."""
+    k = len(columns)
+    names = [f"r{j}" for j in range(k)]
+    raw = ", ".join(f"{c} AS c{j}" for j, c in enumerate(columns))
+    centered = ", ".join(f"c{j} - m{j} AS r{j}" for j in range(k))
+    means = ", ".join(f"avg(c{j}) AS m{j}" for j in range(k))
+    steps = [f"""raw AS (SELECT split, {label} AS l, {raw} FROM {source}),
+q0 AS (
+  SELECT split, l - ml AS y, {centered}
+  FROM raw, (SELECT avg(l) AS ml, {means} FROM raw WHERE split = 'train'))"""]
+    for i in range(k):
+        later = [*names[i + 1 :], "y"]
+        moved = ", ".join(f"{c} - b_{c} * r{i} AS {c}" for c in later)
+        slopes = ", ".join(f"sum({c} * r{i}) / sum(r{i} * r{i}) AS b_{c}" for c in later)
+        steps.append(f"""q{i + 1} AS (
+  SELECT split, {moved}
+  FROM q{i}, (SELECT {slopes} FROM q{i} WHERE split = 'train'))""")
+    return ",\n".join(steps)
+
+
 def _elastic_sql(rows: str, regs: str = "0.1") -> str:
     """Elastic nets on two features, from their moments, by coordinate descent."""
     soft = lambda z: f"sign({z}) * greatest(abs({z}) - 0.2 * reg / sy, 0) / (1 + 0.8 * reg / sy)"
@@ -214,17 +281,18 @@ f AS (
   FROM d, m WHERE k = 500)"""
 
 
-_SQUARE_SQL = f"""WITH {DOCUMENT_SIZES_SQL},
-s AS (
-  SELECT covar_pop(x1, x1) AS s11, covar_pop(x1, x1*x1) AS s12, covar_pop(x1*x1, x1*x1) AS s22,
-         covar_pop(x1, y) AS s1y, covar_pop(x1*x1, y) AS s2y,
-         avg(x1) AS m1, avg(x1*x1) AS m2, avg(y) AS my
-  FROM sized WHERE split = 'train'),
-f AS (
-  SELECT (s1y*s22 - s2y*s12) / (s11*s22 - s12*s12) AS b1,
-         (s2y*s11 - s1y*s12) / (s11*s22 - s12*s12) AS b2, m1, m2, my FROM s)
-  SELECT split, round(sqrt(avg(power(my + b1*(x1 - m1) + b2*(x1*x1 - m2) - y, 2))), 4) AS rmse
-  FROM sized, f GROUP BY split"""
+def _least_squares_rmse_sql(columns: list[str]) -> str:
+    return f"""WITH {DOCUMENT_SIZES_SQL},
+{_residuals_sql("sized", columns, "y")}
+  SELECT split, round(sqrt(avg(y * y)), 4) AS rmse FROM q{len(columns)} GROUP BY split"""
+
+
+_GRID_SQL = f"""{_elastic_sql("split = 'train'", "0.1, 1e-10, 1e-5, 1e-2, 1.0")},
+e AS (
+  SELECT reg, sqrt(avg(power(b0 + b1*x1 + b2*x2 - y, 2))) AS rmse
+  FROM f, sized WHERE split = 'validation' GROUP BY reg)
+  SELECT reg AS reg_param, round(rmse, 4) AS rmse, rmse = (SELECT min(rmse) FROM e) AS chosen
+  FROM e"""
 
 ORACLES = {
     "gradient_summands": f"""WITH {ORDER_POINTS_SQL}
@@ -241,6 +309,7 @@ ORACLES = {
   SELECT 0::BIGINT AS idx, round(w1, 6) AS weight FROM w WHERE i = {_ITERATIONS}
   UNION ALL SELECT 1, round(w2, 6) FROM w WHERE i = {_ITERATIONS}
   UNION ALL SELECT 2, round(w3, 6) FROM w WHERE i = {_ITERATIONS}""",
+    "gd_sparse_weights": _sparse_sql(),
     "gd_error_curve": f"""{_DESCENT_SQL}
   SELECT i::BIGINT AS iteration, round(sqrt(avg(power(w1*x1 + w2*x2 + w3*x3 - y, 2))), 6) AS rmse
   FROM w, prices WHERE i < {_ITERATIONS} GROUP BY i""",
@@ -267,40 +336,33 @@ w AS (
   UNION ALL SELECT 1, round(b2, 4) + 0.0 FROM f""",
     "linreg_predictions": f"""{_elastic_sql("split = 'train'", "0.0")}
   SELECT doc_id, round(b0 + b1*x1 + b2*x2, 5) + 0.0 AS prediction FROM sized, f""",
-    "linreg_grid": f"""{_elastic_sql("split = 'train'", "0.1, 1e-10, 1e-5, 1e-2, 1.0")},
-e AS (
-  SELECT reg, sqrt(avg(power(b0 + b1*x1 + b2*x2 - y, 2))) AS rmse
-  FROM f, sized WHERE split = 'validation' GROUP BY reg)
-  SELECT reg AS reg_param, round(rmse, 4) AS rmse, rmse = (SELECT min(rmse) FROM e) AS chosen
-  FROM e""",
+    "linreg_grid": _GRID_SQL,
+    "linreg_path": _GRID_SQL,
     "interactions": f"""WITH {DOCUMENT_SIZES_SQL}
   SELECT doc_id, generate_subscripts(v, 1)::BIGINT - 1 AS i, round(unnest(v), 6) AS x
   FROM (SELECT doc_id, [x1, x2, x1*x1, x1*x2, x2*x1, x2*x2] AS v FROM sized)""",
     "poly_expand": f"""WITH {DOCUMENT_SIZES_SQL}
   SELECT doc_id, generate_subscripts(v, 1)::BIGINT - 1 AS i, round(unnest(v), 6) AS x
   FROM (SELECT doc_id, [x1, x1*x1, x2, x1*x2, x2*x2] AS v FROM sized)""",
-    "interaction_model": _SQUARE_SQL,
-    "polynomial_pipeline": _SQUARE_SQL,
+    # x2*x1 adds nothing to x1*x2.
+    "interaction_model": _least_squares_rmse_sql(["x1", "x2", "x1*x1", "x1*x2", "x2*x2"]),
+    "polynomial_pipeline": _least_squares_rmse_sql(["x1", "x1*x1", "x2", "x1*x2", "x2*x2"]),
     "pipeline_mean_identity": f"""WITH {DOCUMENT_SIZES_SQL}
   SELECT round(avg(y), 6) AS mean_prediction, round(avg(y), 6) AS mean_label FROM sized""",
-    "model_comparison": f"""WITH RECURSIVE points AS (
-  SELECT o_totalprice / 100000 AS y, (o_custkey % 100) / 100.0::DOUBLE AS x,
+    "model_comparison": f"""WITH RECURSIVE {ORDER_POINTS_SQL},
+parts AS (
+  SELECT label - (SELECT min(label) FROM points) AS y, x0 AS x1, x1 AS x2, x2 AS x3,
          {split_sql("o_orderkey")} AS split
-  FROM orders),
-m AS (
-  SELECT sum(x*x) / count(*) AS a, sum(x*y) / count(*) AS b, avg(y) AS my, avg(x) AS mx,
-         regr_slope(y, x) AS slope
-  FROM points WHERE split = 'train'),
-w AS (
-  SELECT 0 AS i, 0.0::DOUBLE AS w
-  UNION ALL SELECT i + 1, w - (a*w - b) / sqrt(i + 1) FROM w, m WHERE i < {_ITERATIONS}),
+  FROM points),
+train AS (SELECT * FROM parts WHERE split = 'train'),
+{_moments_sql("train")},
+{_residuals_sql("parts", ["x1", "x2", "x3"], "y")},
 p AS (
-  SELECT split, y, my AS baseline, w*x AS descent, my + slope*(x - mx) AS least_squares
-  FROM points, m, w WHERE i = {_ITERATIONS})
+  SELECT split, y - (SELECT avg(y) FROM train) AS baseline, y - w1*x1 - w2*x2 - w3*x3 AS descent
+  FROM parts, w WHERE i = {_ITERATIONS})
   SELECT 'baseline' AS model, split, 'rmse' AS metric,
-         round(sqrt(avg(power(baseline - y, 2))), 6) AS value FROM p GROUP BY split
-  UNION ALL SELECT 'descent', split, 'rmse', round(sqrt(avg(power(descent - y, 2))), 6)
+         round(sqrt(avg(power(baseline, 2))), 6) AS value FROM p GROUP BY split
+  UNION ALL SELECT 'descent', split, 'rmse', round(sqrt(avg(power(descent, 2))), 6)
   FROM p GROUP BY split
-  UNION ALL SELECT 'least_squares', split, 'rmse', round(sqrt(avg(power(least_squares - y, 2))), 6)
-  FROM p GROUP BY split""",
+  UNION ALL SELECT 'least_squares', split, 'rmse', round(sqrt(avg(y * y)), 6) FROM q3 GROUP BY split""",
 }

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clamped_sigmoid, dot
-from ..functions.vectors import vector_entries
 from ..operators.encode import build_dictionary, hash_features, one_hot_encode
 from ..operators.evaluate import (
     add_log_loss,
@@ -11,13 +10,13 @@ from ..operators.evaluate import (
     evaluate_results,
     mean_log_loss,
 )
-from ..operators.linear import coefficient_table
 from ..operators.logistic import (
     HASHED_SETTINGS,
     ONE_HOT_SETTINGS,
     add_probability,
     fit_logistic,
     fit_logistic_hashed,
+    optimality,
 )
 from ..sources import read_table
 from .encoding import bucket_sql
@@ -31,6 +30,8 @@ from .inputs import (
 )
 
 _CONVERGED = {"maxIter": 500, "tol": 1e-9}
+# For conditions that hold index by index, however few rows have it.
+_STILL = {"maxIter": 1000, "tol": 1e-15}
 _WEIGHTS = (0.8, -0.5)
 _INTERCEPT = 0.1
 
@@ -78,11 +79,13 @@ def constant_log_loss(spark, folder):
 
 
 def model_log_loss(spark, folder):
-    """A fitted model without penalty or features that vary has the class fraction everywhere."""
-    rows = _labelled_documents(spark, folder)
-    constant = rows.withColumn("features", F.array(F.lit(1.0), F.lit(2.0)))
-    model = fit_logistic(constant, regParam=0.0, **_CONVERGED)
-    return evaluate_results(constant, model=model).select(rounded("log_loss", 5).alias("log_loss"))
+    """A fitted model without penalty, with a feature for each order status but the first,
+    has the class fraction of the status."""
+    rows = clicks(spark, folder, dealt=False)
+    status = F.get("feature", F.lit(0))["_2"]
+    marks = rows.withColumn("features", F.array(*[(status == s).cast("double") for s in ("O", "P")]))
+    model = fit_logistic(marks, regParam=0.0, **_CONVERGED)
+    return evaluate_results(marks, model=model).select(rounded("log_loss", 5).alias("log_loss"))
 
 
 def fixed_model_probability(spark, folder):
@@ -101,28 +104,9 @@ def logistic_mean_identity(spark, folder):
     )
 
 
-def _slopes(scored, model, reg, mixing):
-    """How far each coefficient of a fitted model is from meeting its optimality condition.
-
-    The mean of (p - label) x plus the slope of the penalty has to vanish; at
-    coefficient 0 the L1 part allows any slope up to its weight.
-    """
-    entry = F.explode(vector_entries(F.col("features"))).alias("entry")
-    residual = (F.col("p") - F.col("label")).alias("residual")
-    sums = (
-        scored.select(residual, entry)
-        .groupBy(F.col("entry")["indices"].alias("idx"))
-        .agg(F.sum(F.col("residual") * F.col("entry")["values"]).alias("total"))
-    )
-    rows = scored.agg(F.count(F.lit(1))).scalar()
-    slope = F.col("total") / F.col("rows")
-    weight = F.col("coefficient")
-    smooth = slope + reg * (1 - mixing) * weight + reg * mixing * F.signum(weight)
-    excess = F.when(weight != 0, F.abs(smooth)).otherwise(
-        F.greatest(F.abs(slope) - reg * mixing, F.lit(0.0))
-    )
-    joined = sums.join(coefficient_table(scored, model), "idx").withColumn("rows", rows)
-    return joined.select(F.col("idx").cast("bigint").alias("idx"), rounded(excess, 5).alias("excess"))
+def _optimum(df, model):
+    found = optimality(df, model)
+    return found.select("idx", "n_rows", rounded("excess", 3).alias("excess"))
 
 
 def logistic_one_hot_optimum(spark, folder):
@@ -131,32 +115,28 @@ def logistic_one_hot_optimum(spark, folder):
     encoded = one_hot_encode(
         train, build_dictionary(train), row_id="o_orderkey", width=4, keep=["label"], written=True
     )
-    model = fit_logistic(encoded, **_CONVERGED)
-    scored = add_probability(encoded, model)
-    return _slopes(scored, model, ONE_HOT_SETTINGS["regParam"], ONE_HOT_SETTINGS["elasticNetParam"])
+    return _optimum(encoded, fit_logistic(encoded, **_STILL))
 
 
 def logistic_hashed_optimum(spark, folder):
-    train = hash_features(_part(clicks(spark, folder), "train"), keep=["label"], written=True)
-    model = fit_logistic_hashed(train, **_CONVERGED)
-    scored = add_probability(train, model)
-    return _slopes(scored, model, HASHED_SETTINGS["regParam"], HASHED_SETTINGS["elasticNetParam"])
+    train = hash_features(_part(clicks(spark, folder, dealt=False), "train"), keep=["label"], written=True)
+    return _optimum(train, fit_logistic_hashed(train, **_STILL))
 
 
 def click_model_comparison(spark, folder):
-    """Baseline against unpenalized models on one category, whose optimum is its mean label."""
-    rows = clicks(spark, folder).withColumn("feature", F.slice("feature", 2, 1))
+    """Baseline against the models on all one-hot and on all hashed categories, each with
+    its usual penalties and fitted until it stands still."""
+    rows = clicks(spark, folder, dealt=False)
     train = _part(rows, "train")
     kept = ["split", "label", "feature"]
-    encoded = one_hot_encode(rows, build_dictionary(train), width=1, keep=kept, written=True)
-    one_hot = fit_logistic(_part(encoded, "train"), regParam=0.0, **_CONVERGED)
-    scored = add_probability(encoded, one_hot, output="one_hot").drop("features")
-    hashed = hash_features(scored, keep=["split", "label", "one_hot"], written=True)
-    model = fit_logistic_hashed(_part(hashed, "train"), regParam=0.0, **_CONVERGED)
+    encoded = one_hot_encode(rows, build_dictionary(train), row_id="o_orderkey", width=4, keep=kept, written=True)
+    scored = add_probability(encoded, fit_logistic(_part(encoded, "train"), **_CONVERGED), output="one_hot")
+    hashed = hash_features(scored.drop("features"), keep=["split", "label", "one_hot"], written=True)
+    model = fit_logistic_hashed(_part(hashed, "train"), **_CONVERGED)
     scored = add_probability(hashed, model, output="hashed")
     scored = scored.withColumn("baseline", train.agg(F.avg("label")).scalar())
     models = {name: name for name in ("baseline", "one_hot", "hashed")}
-    return compare_models(scored, models, "log_loss").withColumn("value", rounded("value"))
+    return compare_models(scored, models, "log_loss").withColumn("value", rounded("value", 4))
 
 
 QUERIES = {
@@ -180,6 +160,62 @@ def loss_sql(p: str, label: str) -> str:
     )
 
 
+def _descent_sql(name: str, entries: str, settings: dict) -> str:
+    """Tables that fit a logistic model on ``entries`` (o_orderkey, label, split, idx, x) of the
+    training rows, the intercept at -1, by accelerated proximal steps, and score all rows.
+
+    A row's x add up to five with the intercept, so the mean of 5/4 x bounds the curvature.
+    """
+    l1 = settings["regParam"] * settings["elasticNetParam"]
+    l2 = settings["regParam"] * (1 - settings["elasticNetParam"])
+    return f"""
+{name}_x AS (
+  SELECT o_orderkey, label, split, idx, x FROM {entries}
+  UNION ALL SELECT o_orderkey, label, split, -1, 1.0 FROM clicks),
+{name}_train AS (SELECT * FROM {name}_x WHERE split = 'train'),
+{name}_h AS (
+  SELECT idx, 1.25 * sum(x) / (SELECT count(*) FROM clicks WHERE split = 'train') AS h,
+         CASE WHEN idx < 0 THEN 0 ELSE {l1} END AS l1, CASE WHEN idx < 0 THEN 0 ELSE {l2} END AS l2
+  FROM {name}_train GROUP BY idx),
+{name}_w AS (
+  SELECT 0 AS k, idx, h, l1, l2, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v FROM {name}_h
+  UNION ALL
+  SELECT k + 1, idx, h, l1, l2, new, new + {_MOMENTUM} * (new - w)
+  FROM (
+    SELECT s.k, s.idx, h, l1, l2, w,
+           sign(h*v - g) * greatest(abs(h*v - g) - l1, 0) / (h + l2) AS new
+    FROM {name}_w AS s JOIN (
+      SELECT idx, sum((1 / (1 + exp(-z)) - label) * x) / (SELECT count(*) FROM clicks WHERE split = 'train') AS g
+      FROM {name}_train JOIN (
+        SELECT o_orderkey, sum(v * x) AS z FROM {name}_w JOIN {name}_train USING (idx) GROUP BY o_orderkey
+      ) USING (o_orderkey) GROUP BY idx
+    ) AS slopes ON s.idx = slopes.idx
+    WHERE s.k < {_STEPS})),
+{name}_p AS (
+  SELECT o_orderkey, any_value(label) AS label, any_value(split) AS split,
+         1 / (1 + exp(-greatest(-20, least(20, sum(w * x))))) AS p
+  FROM {name}_x JOIN (SELECT idx, w FROM {name}_w WHERE k = {_STEPS}) USING (idx) GROUP BY o_orderkey)"""
+
+
+_STEPS, _MOMENTUM = 400, 0.9
+_COMPARISON_SQL = f"""WITH RECURSIVE {DICTIONARY_SQL},
+one_hot_entries AS (
+  SELECT o_orderkey, label, clicks.split, idx, 1.0::DOUBLE AS x
+  FROM pairs JOIN dictionary USING (feature_id, category) JOIN clicks USING (o_orderkey)),
+hashed_entries AS (
+  SELECT o_orderkey, any_value(label) AS label, any_value(clicks.split) AS split,
+         {bucket_sql("category || ':' || feature_id", 32768)} AS idx, count(*)::DOUBLE AS x
+  FROM pairs JOIN clicks USING (o_orderkey) GROUP BY o_orderkey, idx),
+{_descent_sql("one_hot", "one_hot_entries", ONE_HOT_SETTINGS)},
+{_descent_sql("hashed", "hashed_entries", HASHED_SETTINGS)},
+scored AS (
+  SELECT 'baseline' AS model, split, label, (SELECT avg(label) FROM clicks WHERE split = 'train') AS p
+  FROM clicks
+  UNION ALL SELECT 'one_hot', split, label, p FROM one_hot_p
+  UNION ALL SELECT 'hashed', split, label, p FROM hashed_p)
+  SELECT model, split, 'log_loss' AS metric, round(avg({loss_sql("p", "label")}), 4) AS value
+  FROM scored GROUP BY model, split"""
+
 _RAW = "0.8 * x1 - 0.5 * x2 + 0.1"
 
 ORACLES = {
@@ -198,10 +234,9 @@ scored AS (
   SELECT split, round(avg({loss_sql("p", "label")}), 6) AS log_loss FROM scored GROUP BY split""",
     "constant_log_loss": """
   SELECT round(avg(-ln(0.5::DOUBLE)), 6) AS log_loss FROM labels JOIN documents USING (doc_id)""",
-    "model_log_loss": f"""
-  SELECT round(avg({loss_sql("p", "quality")}), 5) AS log_loss
-  FROM (SELECT quality, (SELECT avg(quality) FROM labels JOIN documents USING (doc_id)) AS p
-        FROM labels JOIN documents USING (doc_id))""",
+    "model_log_loss": f"""WITH {CLICKS_SQL}
+  SELECT round(avg({loss_sql("p", "label")}), 5) AS log_loss
+  FROM clicks JOIN (SELECT c0, avg(label) AS p FROM clicks GROUP BY c0) USING (c0)""",
     "fixed_model_probability": f"""WITH {DOCUMENT_SIZES_SQL},
 scored AS (
   SELECT doc_id, quality, 1 / (1 + exp(-greatest(-20, least(20, {_RAW})))) AS p
@@ -212,22 +247,17 @@ scored AS (
   SELECT round(avg(quality), 6) AS mean_p, round(avg(quality), 6) AS mean_label
   FROM labels JOIN documents USING (doc_id)""",
     "logistic_one_hot_optimum": f"""WITH {DICTIONARY_SQL}
-  SELECT idx, 0.0::DOUBLE AS excess FROM dictionary""",
-    "logistic_hashed_optimum": f"""WITH {CLICKS_SQL}
-  SELECT DISTINCT {bucket_sql("category || ':' || feature_id", 32768)} AS idx,
-         0.0::DOUBLE AS excess
-  FROM pairs WHERE split = 'train'""",
-    "click_model_comparison": f"""WITH {CLICKS_SQL},
-means AS (
-  SELECT c1, avg(label) AS p FROM clicks WHERE split = 'train' GROUP BY c1),
-scored AS (
-  SELECT split, label, p, (SELECT avg(label) FROM clicks WHERE split = 'train') AS b
-  FROM clicks JOIN means USING (c1)),
-losses AS (
-  SELECT split, round(avg({loss_sql("b", "label")}), 6) AS base,
-         round(avg({loss_sql("p", "label")}), 6) AS fitted
-  FROM scored GROUP BY split)
-  SELECT 'baseline' AS model, split, 'log_loss' AS metric, base AS value FROM losses
-  UNION ALL SELECT 'one_hot', split, 'log_loss', fitted FROM losses
-  UNION ALL SELECT 'hashed', split, 'log_loss', fitted FROM losses""",
+  SELECT -1::BIGINT AS idx, count(*) AS n_rows, 0.0::DOUBLE AS excess FROM clicks WHERE split = 'train'
+  UNION ALL
+  SELECT idx, count(*), 0.0 FROM dictionary JOIN pairs USING (feature_id, category)
+  WHERE split = 'train' GROUP BY idx""",
+    "logistic_hashed_optimum": f"""WITH {CLICKS_SQL},
+buckets AS (
+  SELECT {bucket_sql("category || ':' || feature_id", 32768)} AS idx,
+         count(DISTINCT o_orderkey) AS n_rows
+  FROM pairs WHERE split = 'train' GROUP BY 1)
+  SELECT -1::BIGINT AS idx, count(*) AS n_rows, 0.0::DOUBLE AS excess FROM clicks WHERE split = 'train'
+  UNION ALL
+  SELECT range, coalesce(n_rows, 0), 0.0 FROM range(32768) LEFT JOIN buckets ON idx = range""",
+    "click_model_comparison": _COMPARISON_SQL,
 }

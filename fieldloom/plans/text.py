@@ -59,7 +59,7 @@ def parse_points(spark, folder):
 
 def parse_categorical(spark, folder):
     parsed = parse_categorical_lines(order_click_lines(spark, folder))
-    return parsed.select("o_orderkey", "label", F.explode("feature").alias("pair")).select(
+    return parsed.select("o_orderkey", "label", F.explode_outer("feature").alias("pair")).filter("pair is not null").select(
         "o_orderkey",
         "label",
         F.col("pair")["_1"].cast("bigint").alias("feature_id"),
