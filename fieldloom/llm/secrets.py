@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,11 @@ ASSIGN = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+# The same on UTF-8 bytes: all that they match is ASCII.
+_PATTERNS = {
+    "assign": (re.compile(ASSIGN.pattern.encode(), re.IGNORECASE), 2),
+    "access": (re.compile(ACCESS.pattern.encode()), 0),
+}
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "learned")
 
@@ -36,14 +42,17 @@ BEFORE, INSIDE, BEHIND = 20, 40, 8
 WIDTH = BEFORE + INSIDE + BEHIND
 #: Texts whose candidates and contexts the training set is made from, at most, and how
 #: much of a text's bytes one of them may have.
-SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 1500, 1 << 18
-#: Share of held-out findings that the threshold has to keep.
-RECALL = 0.95
+SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 1500, 1 << 16
+#: Share of held-out findings that the threshold has to keep, of each sort of findings
+#: that has this many.
+RECALL, SORT_ROWS = 0.95, 40
 EMBED, SPAN, FILTERS = 8, 5, 24
 EPOCHS, BATCH, RATE = 8, 64, 0.01
 #: Own plain tokens of the texts that the network learns to reject, at most.
 PLAIN = 6000
 
+# Windows that the network reads at a time.
+_BLOCK = 256
 _ALPHABET = 98  # printable ASCII, other, none
 _CODE = np.full(256, 96, np.uint8)
 _CODE[32:127] = np.arange(95)
@@ -100,8 +109,11 @@ def _tokens(raw: np.ndarray) -> np.ndarray:
 
 
 def find(column: pa.Array, free_only: bool = True) -> Found:
-    """Base findings and candidates of all texts, by default those outside the base
-    findings; null is empty."""
+    """Base findings and candidates of all texts; null is empty.
+
+    By default a token is a candidate if, outside the base findings, something of the
+    length of a candidate is left of it; it then is one as a whole.
+    """
     column = column.cast(pa.large_string()).fill_null("")
     raw, offsets = text_bytes(column)
     lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
@@ -114,45 +126,58 @@ def find(column: pa.Array, free_only: bool = True) -> Found:
     text = np.searchsorted(offsets, begin, "right") - 1
     for t, a, b in zip(text, point(begin, text), point(end, text)):
         base[t].append((int(a), int(b), "hex"))
-    maybe = pc.match_substring_regex(
-        column, r"(passw|secret|token|api_?key)", ignore_case=True
-    ).to_numpy(zero_copy_only=False)
-    for t in np.flatnonzero(maybe):
-        for m in ASSIGN.finditer(column[t].as_py()):
-            if len(m.group(2)) >= LEAST["assign"]:
-                base[t].append((m.start(), m.end(), "assign"))
-    maybe = pc.match_substring(column, "AKIA").to_numpy(zero_copy_only=False)
-    for t in np.flatnonzero(maybe):
-        for m in ACCESS.finditer(column[t].as_py()):
-            if m.end() - m.start() >= LEAST["access"]:
-                base[t].append((m.start(), m.end(), "access"))
-    begin, end = _runs(_tokens(raw), offsets, TOKEN)
+    covered = list(zip(begin, end))
+    marks = {
+        "assign": pc.match_substring_regex(column, r"(passw|secret|token|api_?key)", ignore_case=True),
+        "access": pc.match_substring(column, "AKIA"),
+    }
+    for kind, maybe in marks.items():
+        pattern, group = _PATTERNS[kind]
+        for t in np.flatnonzero(maybe.to_numpy(zero_copy_only=False)):
+            low = offsets[t]
+            for m in pattern.finditer(raw[low : offsets[t + 1]].tobytes()):
+                if m.end(group) - m.start(group) >= LEAST[kind]:
+                    a, b = low + m.start(), low + m.end()
+                    base[t].append((int(point(a, t)), int(point(b, t)), kind))
+                    covered.append((a, b))
+    inside = _tokens(raw)
+    begin, end = _runs(inside, offsets, TOKEN)
+    if free_only and covered:
+        for a, b in covered:
+            inside[a:b] = False
+        left, _ = _runs(inside, offsets, TOKEN)
+        keep = np.unique(np.searchsorted(begin, left, "right") - 1)
+        begin, end = begin[keep], end[keep]
     text = np.searchsorted(offsets, begin, "right") - 1
-    start = point(begin, text)
-    free = np.ones(len(begin), bool)
-    if free_only and len(begin):
-        some = np.array([bool(spans) for spans in base], bool)
-        for i in np.flatnonzero(some[text]):
-            at, to = start[i], start[i] + end[i] - begin[i]
-            free[i] = all(e <= at or to <= b for b, e, _ in base[text[i]])
-    return Found(base, begin[free], end[free], text[free], start[free], raw, offsets)
+    return Found(base, begin, end, text, point(begin, text), raw, offsets)
 
 
 def windows(raw, offsets, text, begin, end) -> np.ndarray:
     """Character codes of each token with its surroundings inside its text; of a token
     longer than the window its first and last characters."""
-    text, begin, end = (np.asarray(x, np.int64)[:, None] for x in (text, begin, end))
+    text, begin, end = (np.asarray(x, np.int64) for x in (text, begin, end))
     offsets = np.asarray(offsets)
     if not len(begin):
         return np.full((0, WIDTH), _NONE, np.uint8)
-    left = begin - BEFORE + np.arange(BEFORE)
-    inside = begin + np.arange(INSIDE)
-    cut = (end - begin > INSIDE) & (np.arange(INSIDE) >= INSIDE // 2)
-    inside = np.where(cut, end - INSIDE + np.arange(INSIDE), inside)
-    right = end + np.arange(BEHIND)
-    at = np.concatenate([left, inside, right], axis=1)
-    held = np.concatenate([left >= offsets[text], inside < end, right < offsets[text + 1]], axis=1)
-    return np.where(held, _CODE[raw[np.clip(at, 0, len(raw) - 1)]], np.uint8(_NONE))
+    # The stretch of bytes that the tokens lie in, with room for windows over its ends.
+    low, high = int(begin.min()) - BEFORE, int(end.max()) + max(INSIDE, BEHIND)
+    codes = np.full(high - low, _NONE, np.uint8)
+    codes[max(0, -low) : min(high, len(raw)) - low] = _CODE[raw[max(0, low) : high]]
+    shift = BEFORE - int(begin.min())
+    view = np.lib.stride_tricks.sliding_window_view
+    out = np.empty((len(begin), WIDTH), np.uint8)
+    left, middle, right = out[:, :BEFORE], out[:, BEFORE : BEFORE + INSIDE], out[:, BEFORE + INSIDE :]
+    left[:] = view(codes, BEFORE)[begin + shift - BEFORE]
+    middle[:] = view(codes, INSIDE)[begin + shift]
+    right[:] = view(codes, BEHIND)[end + shift]
+    long_ = np.flatnonzero(end - begin > INSIDE)
+    half = INSIDE // 2
+    middle[long_, half:] = view(codes, INSIDE - half)[end[long_] + shift - (INSIDE - half)]
+    room = (begin - offsets[text])[:, None]
+    left[np.arange(BEFORE, 0, -1) > room] = _NONE
+    middle[np.arange(INSIDE) >= (end - begin)[:, None]] = _NONE
+    right[np.arange(BEHIND) >= (offsets[text + 1] - end)[:, None]] = _NONE
+    return out
 
 
 def missed(x: np.ndarray) -> np.ndarray:
@@ -191,7 +216,7 @@ class CharNet:
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         tables = self._tables()
-        parts = [self._logits(x[i : i + 512], tables) for i in range(0, len(x), 512)]
+        parts = [self._logits(x[i : i + _BLOCK], tables) for i in range(0, len(x), _BLOCK)]
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
     def _tables(self) -> list[np.ndarray]:
@@ -203,14 +228,16 @@ class CharNet:
     def _logits(self, x: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
         """As the last of ``_forward``, by tables in place of products."""
         p = self.p
-        pad = np.pad(x, ((0, 0), (SPAN // 2, SPAN // 2)), constant_values=_NONE).astype(np.intp)
-        h = np.take(tables[-1], pad[:, SPAN - 1 :], axis=0)
-        both = pad[:, :-1] * _ALPHABET + pad[:, 1:]
+        # Places first: then maxima and sums over places run through whole rows of memory.
+        pad = np.full((WIDTH + SPAN - 1, len(x)), _NONE, np.intp)
+        pad[SPAN // 2 : SPAN // 2 + WIDTH] = x.T
+        h = np.take(tables[-1], pad[SPAN - 1 :], axis=0)
+        both = pad[:-1] * _ALPHABET + pad[1:]
         for k, table in enumerate(tables[:-1]):
-            h += np.take(table, both[:, 2 * k : 2 * k + WIDTH], axis=0)
+            h += np.take(table, both[2 * k : 2 * k + WIDTH], axis=0)
         np.maximum(h, 0, out=h)
-        best = np.concatenate([h[:, a:b].max(1) for a, b in self.PARTS], 1)
-        mean = np.concatenate([h[:, a:b].mean(1) for a, b in self.PARTS], 1)
+        best = np.concatenate([h[a:b].max(0) for a, b in self.PARTS], 1)
+        mean = np.concatenate([h[a:b].mean(0) for a, b in self.PARTS], 1)
         return np.concatenate([best, mean], 1) @ p["out"] + p["out_bias"]
 
     def probability(self, x: np.ndarray) -> np.ndarray:
@@ -260,13 +287,17 @@ class CharNet:
                     )
         return self
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> "CharNet":
+    def calibrate(
+        self, x: np.ndarray, y: np.ndarray, recall: float = RECALL, sorts: np.ndarray | None = None
+    ) -> "CharNet":
         """Fit slope and shift of the logits on held-out findings (Platt), and take the
         highest threshold that keeps ``recall`` of them; those that are no candidates are
-        lost at any threshold."""
+        lost at any threshold. With ``sorts``, a number for each row, that share of each
+        sort is kept, of those with ``SORT_ROWS`` findings or more."""
+        sorts = np.zeros(len(x), np.int64) if sorts is None else sorts
         seen = ~missed(x)
-        lost = int((y[~seen] == 1).sum())
-        x, y = x[seen], y[seen]
+        lost = np.bincount(sorts[~seen & (y == 1)], minlength=int(sorts.max(initial=0)) + 1)
+        x, y, sorts = x[seen], y[seen], sorts[seen]
         logit = self.logits(x).astype(float)
         a, b = 1.0, 0.0
         for _ in range(50):  # Newton's method, slightly damped by a prior on both
@@ -280,22 +311,39 @@ class CharNet:
             change *= min(1.0, 1.0 / max(1e-12, np.abs(change).max()))
             a, b = a - change[0], b - change[1]
         self.slope, self.shift = float(a), float(b)
-        known = np.sort(self.probability(x[y == 1]))
-        over = max(0, int((1 - recall) * (len(known) + lost)) - lost)
-        self.threshold = float(known[over]) if len(known) else 1.0
+        probability = self.probability(x)
+        self.threshold = 1.0
+        for sort in np.unique(sorts[y == 1]):
+            known = np.sort(probability[(y == 1) & (sorts == sort)])
+            total = len(known) + int(lost[sort])
+            if total >= min(SORT_ROWS, int((y == 1).sum())):
+                over = max(0, int((1 - recall) * total) - int(lost[sort]))
+                self.threshold = min(self.threshold, float(known[min(over, len(known) - 1)]))
         return self
 
 
-_SAFE = "abcdefghijklmnopqrstuvwxyz"
 _MIXED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 
+#: Sorts of findings in the training set: the base ones, keys of usual shapes, and short
+#: ones, such of letters alone, and dotted ones.
+SORTS = ("assign", "access", "hex", "key", "short", "letters", "dotted")
+
+
 def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and labels (1: secret) made from texts, as ``find`` gives the candidates.
+    """Windows and labels (1: secret) of ``labelled_tokens``."""
+    return labelled_tokens(texts, seed)[:2]
+
 
-    A secret that is no candidate has an empty window. Secrets are the base findings of the texts, each also with the surroundings of some
-    other place, so that the token itself has to be learned, and random keys of usual
-    shapes there. What is no secret: the texts' own other candidates that are plain
+def labelled_tokens(
+    texts: list[str | None], seed: int = 3
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows, labels (1: secret), sorts and checksums of tokens made from texts, as
+    ``find`` gives the candidates.
+
+    A secret that is no candidate has an empty window. Secrets are the base findings of
+    the texts, each also with the surroundings of some other place, so that the token
+    itself has to be learned, and random keys of usual shapes there. What is no secret: the texts' own other candidates that are plain
     numbers or words, words behind the names, and numbers, dates, paths, versions and
     joined words.
     """
@@ -304,11 +352,11 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
     pick = lambda letters, n: "".join(letters[i] for i in draw.integers(0, len(letters), n))
     words = [w for t in texts[:400] if t for w in t.split()[:60] if w.isalpha()] or ["word"]
     word = lambda: words[int(draw.integers(len(words)))]
-    examples: list[tuple[str, str, str, int]] = []
+    examples: list[tuple[str, str, str, int, int]] = []
 
-    def around(token, label, name=None):
+    def around(token, label, name=None, sort=0):
         left = " ".join([word(), word()]) + (name or " ")
-        examples.append((left, token, " " + word(), label))
+        examples.append((left, token, " " + word(), label, sort))
 
     names = (" key = ", ' auth: "', " Bearer ", " credential=", " pass: ", " pwd=", " key:", " -k ", " ")
     for t, spans in enumerate(found.base):
@@ -318,8 +366,9 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
             if kind == "assign":
                 token = ASSIGN.match(token).group(2)
                 a = b - len(token)
-            examples.append((text[max(0, a - BEFORE) : a], token, text[b : b + BEHIND], 1))
-            around(token, 1, names[int(draw.integers(len(names)))])
+            sort = SORTS.index(kind)
+            examples.append((text[max(0, a - BEFORE) : a], token, text[b : b + BEHIND], 1, sort))
+            around(token, 1, names[int(draw.integers(len(names)))], sort)
     for _ in range(700):
         n = int(draw.integers(16, 64))
         token = (
@@ -330,16 +379,18 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
             pick(_MIXED + "+/", n) + "==",
             "sk_" + pick(_MIXED, n),
         )[int(draw.integers(6))]
-        around(token, 1, names[int(draw.integers(len(names)))])
+        around(token, 1, names[int(draw.integers(len(names)))], SORTS.index("key"))
     for _ in range(1000):
         # Short ones and such of letters alone, behind a name; dotted ones anywhere.
         n = int(draw.integers(6, 16))
+        sort = int(draw.integers(3))
         token = (
             pick(_MIXED, n),
             pick(_MIXED[:52], int(draw.integers(8, 40))),
             ".".join(pick(_MIXED, int(draw.integers(4, 12))) for _ in range(3)),
-        )[int(draw.integers(3))]
-        around(token, 1, names[int(draw.integers(len(names) - ("." not in token)))])
+        )[sort]
+        name = names[int(draw.integers(len(names) - ("." not in token)))]
+        around(token, 1, name, SORTS.index("short") + sort)
     own = draw.permutation(len(found.begin))
     plain = 0
     for k in own:
@@ -351,7 +402,7 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
         if _PLAIN.fullmatch(token) and not _NAMED.search(found.raw[max(o[t], a - BEFORE) : b].tobytes().decode("latin-1")):
             left = found.raw[max(o[t], a - BEFORE) : a].tobytes().decode(errors="ignore")
             right = found.raw[b : min(o[t + 1], b + BEHIND)].tobytes().decode(errors="ignore")
-            examples.append((left, token, right, 0))
+            examples.append((left, token, right, 0, 0))
             plain += 1
     for _ in range(300):
         around(word(), 0, names[int(draw.integers(len(names)))])
@@ -369,37 +420,48 @@ def labelled_findings(texts: list[str | None], seed: int = 3) -> tuple[np.ndarra
         )[int(draw.integers(8))]
         around(token, 0)
     # As the scan sees them: the candidate that has most of the token.
-    found = find(pa.array([a + b + c for a, b, c, _ in examples], pa.large_string()), free_only=False)
+    found = find(pa.array([a + b + c for a, b, c, *_ in examples], pa.large_string()), free_only=False)
     at = found.offsets[:-1] + [len(left.encode()) for left, *_ in examples]
     to = at + [len(token.encode()) for _, token, *_ in examples]
+    checksums = np.array([zlib.crc32(token.encode()) for _, token, *_ in examples], np.int64)
     both = np.minimum(found.end, to[found.text]) - np.maximum(found.begin, at[found.text])
     most = np.full(len(examples), -1, np.int64)
     for k in np.argsort(both, kind="stable"):
         if both[k] > 0:
             most[found.text[k]] = k
-    labels = np.array([label for *_, label in examples], np.float32)
+    labels = np.array([label for *_, label, _ in examples], np.float32)
+    sorts = np.array([sort for *_, sort in examples], np.int64)
     x = np.full((len(examples), WIDTH), _NONE, np.uint8)
     some = most[most >= 0]
     x[most >= 0] = windows(found.raw, found.offsets, found.text[some], found.begin[some], found.end[some])
     kept = (labels == 1) | (most >= 0)
-    return x[kept], labels[kept]
+    return x[kept], labels[kept], sorts[kept], checksums[kept]
+
+
+def sample_texts(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
+    """At most ``rows`` different texts of at most ``SAMPLE_TEXT_BYTES``, by a hash of them.
+
+    A bound on the hash that the number of rows gives leaves about as many texts as are
+    wanted; only those, each once, are sent anywhere.
+    """
+    fit = docs.select(F.col(text).alias("text")).filter(F.octet_length(text) <= SAMPLE_TEXT_BYTES)
+    total = max(1, docs.count())
+    low, high = -(1 << 63), (1 << 63) - 1
+    bound = min(high, low + (1 << 64) * rows * 5 // (4 * total))
+    chosen = fit.withColumn("h", F.xxhash64("text")).filter(F.col("h") <= F.lit(bound))
+    return [row["text"] for row in chosen.distinct().orderBy("h", "text").limit(rows).collect()]
 
 
 def train(docs: DataFrame, text: str = "text") -> CharNet:
-    """Train on findings of at most ``SAMPLE_ROWS`` texts, the first in the order of a hash.
+    """Train on the findings of ``sample_texts``.
 
-    A fifth of the labelled findings is kept for calibration and the threshold.
+    The findings of a fifth of all tokens, wherever they stand, are kept for calibration
+    and the threshold, so no token that was trained on is measured.
     """
-    sample = (
-        docs.select(text)
-        .filter(F.octet_length(text) <= SAMPLE_TEXT_BYTES)
-        .orderBy(F.xxhash64(text), text)
-        .limit(SAMPLE_ROWS)
-    )
-    x, y = labelled_findings([row[0] for row in sample.collect()])
-    held = np.arange(len(x)) % 5 == 4
+    x, y, sorts, tokens = labelled_tokens(sample_texts(docs, text))
+    held = tokens % 5 == 4
     net = CharNet().fit(x[~held], y[~held])
-    return net.calibrate(x[held], y[held])
+    return net.calibrate(x[held], y[held], sorts=sorts[held])
 
 
 def _spans(found: Found, net: CharNet) -> list[list[tuple[int, int, str]]]:
