@@ -1,7 +1,10 @@
 """Near-duplicate vectors against brute force."""
 
+import time
+
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +129,36 @@ def test_audit_asks_every_twentieth_of_a_large_table(spark, monkeypatch):
     x = vectors._unit(np.array([v for _, v, _ in rows]))
     near = (x @ x.T >= 0.98).sum(1) - 1
     assert truth == {i: near[k] for k, (i, *_) in enumerate(rows) if i % 20 == 0}
+
+
+def test_search_through_a_dense_group_takes_few_steps_and_finds_all():
+    draw = np.random.default_rng(3)
+    hot = draw.standard_normal(24) + draw.standard_normal((1500, 24)) * 0.05
+    x = np.concatenate([hot, draw.standard_normal((1000, 24))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = vectors.build_graph(x)
+    began = time.monotonic()
+    q, v = vectors.range_search(x, graph, np.arange(0, 2500, 5), vectors.BEAM, 0.98)
+    assert time.monotonic() - began < 20
+    true = (x[::5] @ x.T >= 0.98).sum()
+    assert (np.einsum("nd,nd->n", x[q], x[v]) >= 0.98).sum() >= 0.98 * true
+
+
+def test_links_are_counted_in_the_first_shard_of_both():
+    shards = vectors._padded(pa.array([[3, 5], [5], [3, 5, 9], [9]], pa.list_(pa.int64())))
+    low, high = np.array([0, 0, 1, 2, 0]), np.array([1, 2, 2, 3, 3])
+    assert vectors._first_common(shards, low, high).tolist() == [5, 3, 5, 9, np.iinfo(np.int64).max]
+    a, b = vectors._forest(np.array([4, 1, 2]), np.array([5, 2, 4]), 7)
+    assert sorted(zip(a.tolist(), b.tolist())) == [(1, 2), (1, 4), (1, 5)]
+
+
+def test_rare_near_copies_are_audited_where_the_search_met_them(spark, monkeypatch, caplog):
+    monkeypatch.setattr(vectors, "AUDIT_ALL", 10)
+    draw = np.random.default_rng(4)
+    x = draw.standard_normal((300, 16))
+    x[7] = x[3] + 1e-3  # ids that the audit does not ask
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    with caplog.at_level("INFO", logger=vectors.__name__):
+        found = {r.vec_id: r.n_links for r in vectors.group_vectors(df).collect()}
+    assert {i for i, n in found.items() if n} == {3, 7}
+    assert "recall per link" in caplog.text and "1.0" in caplog.text
