@@ -45,7 +45,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 class Words:
     """The words of rows of UTF-8 bytes that lie one behind the other.
 
-    ``letters`` maps every byte to the byte it counts as, 0 between words. ``starts`` and
+    ``letters`` (bytes, too) maps every byte to the byte it counts as, 0 between words. ``starts`` and
     ``lengths`` are in bytes; ``counts`` is the number of words before each row (n + 1).
     """
 

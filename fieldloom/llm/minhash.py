@@ -48,9 +48,10 @@ def banding(percent: int) -> tuple[int, int]:
 
 
 def _word_bytes() -> np.ndarray:
-    """Byte to lower-cased word byte; 0 for white space. Byte 0 itself is a word byte."""
-    out = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint16)
-    out[0] = 256
+    """Byte to lower-cased word byte; 0 for white space. Byte 0 itself is a word byte, for
+    which 0xFF stands, as UTF-8 has it nowhere."""
+    out = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
+    out[0] = 0xFF
     out[0x20] = 0
     out[0x09:0x0E] = 0
     return out
@@ -59,6 +60,10 @@ def _word_bytes() -> np.ndarray:
 _WORD = _word_bytes()
 
 
+# Rows without id are numbered from here on; ids are less.
+_STAND_IN = 1 << 62
+
+
 def _mix(values: np.ndarray, key: int = 0) -> np.ndarray:
     with np.errstate(over="ignore"):
         z = values + np.uint64(key & (2**64 - 1))
@@ -293,23 +298,35 @@ def near_duplicates(
     nothing. Rows of equal ids may have different texts; they share the id's component.
     Rows without id take part: theirs is the smallest id reachable, or null.
     """
-    spark = docs.sparkSession
+    named = lambda name: F.when(F.col(name) < _STAND_IN, F.col(name)).alias(name)
+    found = _numbered_duplicates(docs, words, percent, key, text)
+    return found.select(named("id"), "text_hash", "n", named("component"))
+
+
+def _number(key: str, text: str):
+    """The id; of rows without one a number above all ids, by the text."""
+    stand_in = F.xxhash64(text).bitwiseAND(_STAND_IN - 1) + F.lit(_STAND_IN)
+    return F.coalesce(F.col(key).cast("long"), stand_in)
+
+
+def _numbered_duplicates(
+    docs: DataFrame, words: int, percent: int, key: str, text: str
+) -> DataFrame:
+    """As ``near_duplicates``, with the numbers of ``_number`` for ids."""
     base = docs.select(
-        F.col(key).cast("long").alias("__id"),
+        _number(key, text).alias("__id"),
         F.xxhash64(text).alias("__text_hash"),
         F.col(text).alias("__text"),
     )
     signed = materialize(base.mapInArrow(_Signatures(words, "__text", percent), _SIGNATURE), "signatures")
-    # Documents of equal sets are one class, named by its smallest id; a class without
-    # any id takes no part in links with others.
+    # Documents of equal sets are one class, named by its smallest id.
     classes = materialize(
         signed.filter("n > 0")
         .groupBy("d1", "d2", "n")
         .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")),
         "classes",
     )
-    alive = classes.filter("rep is not null")
-    rows = alive.select("rep", "n", F.explode("bands").alias("bucket"))
+    rows = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     crowded = materialize(rows.join(shared, "bucket"), "buckets")
     # A class that meets many others is likely to resemble them: it makes a good centre.
@@ -364,7 +381,7 @@ class _Fetch:
     """Whole sets of the classes that are to be compared, made from the texts again."""
 
     def __init__(self, base: DataFrame, words: int):
-        self.base = base.select(F.col("__id").alias("id"), "__text").filter("id is not null")
+        self.base = base.select(F.col("__id").alias("id"), "__text")
         self.words = words
 
     def __call__(self, ids: DataFrame) -> DataFrame:
@@ -450,25 +467,23 @@ def remove_near_duplicates(
 ) -> DataFrame:
     """One document of each group, that of the smallest id, with the columns of ``docs``.
 
-    Rows that repeat id and text stay once. Rows without id stay unless they belong to
-    a group with ids.
+    Rows that repeat id and text stay once. Of a group without any id one document stays;
+    rows without id whose texts have no words all stay.
     """
-    found = materialize(near_duplicates(docs, words, percent, key, text), "groups")
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component")))
+    found = materialize(_numbered_duplicates(docs, words, percent, key, text), "groups")
+    gone = found.filter(F.col("id") != F.col("component"))
     gone = gone.select(F.col("id").alias("__i"), F.col("text_hash").alias("__h")).distinct()
     again = (
-        found.filter("id is not null").groupBy(F.col("id").alias("__i"), F.col("text_hash").alias("__h"))
+        found.filter((F.col("id") < _STAND_IN) | (F.col("n") > 0)).groupBy(F.col("id").alias("__i"), F.col("text_hash").alias("__h"))
         .count().filter("count > 1").drop("count")
     )
-    keyed = docs.withColumn("__hash", F.xxhash64(text))
-    same = lambda other: (
-        F.col(key).cast("long").eqNullSafe(other["__i"]) & (F.col("__hash") == other["__h"])
-    )
+    keyed = docs.withColumn("__hash", F.xxhash64(text)).withColumn("__number", _number(key, text))
+    same = lambda other: (F.col("__number") == other["__i"]) & (F.col("__hash") == other["__h"])
     kept = keyed.join(_small(gone), same(gone), "left_anti")
     if again.isEmpty():
-        return kept.drop("__hash")
-    once = kept.join(again, same(again), "left_semi").dropDuplicates([key, "__hash"])
-    return kept.join(again, same(again), "left_anti").unionByName(once).drop("__hash")
+        return kept.drop("__hash", "__number")
+    once = kept.join(again, same(again), "left_semi").dropDuplicates(["__number", "__hash"])
+    return kept.join(again, same(again), "left_anti").unionByName(once).drop("__hash", "__number")
 
 
 def _small(frame: DataFrame) -> DataFrame:

@@ -95,6 +95,35 @@ def test_removal_keeps_one_and_all_columns(spark):
     assert minhash.remove_near_duplicates(df.limit(0)).collect() == []
 
 
+def test_near_copies_of_which_none_or_one_has_an_id(spark):
+    draw = random.Random(5)
+    text, other = prose(draw, 200), prose(draw, 200)
+    near = [edited(draw, text, 1) for _ in range(3)]
+    rows = [(None, text), (None, near[0]), (None, near[0]), (7, near[1]), (None, near[2]),
+            (None, other), (None, other), (None, edited(draw, other, 1)), (None, ""), (None, ""), (None, None)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, at int")
+    found = minhash.near_duplicates(df, 5).collect()
+    assert sorted(map(str, ((r.id, r.component) for r in found))) == sorted(
+        map(str, [(None, 7)] * 4 + [(7, 7)] + [(None, None)] * 6)
+    )
+    kept = sorted(r.at for r in minhash.remove_near_duplicates(df, 5).collect())
+    assert kept[0] == 3 and len(kept) == 5 and kept[2:] == [8, 9, 10] and kept[1] in (5, 6, 7)
+
+
+def test_documents_of_words_that_sums_of_letters_confuse(spark):
+    pairs = []
+    for size in (1024, 4096):
+        one = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+        pairs += [one, one.translate(str.maketrans("ab", "ba"))]
+    docs = list(enumerate(pairs))
+    assert all(r.kept for r in minhash.group_documents(frame(spark, docs), 2).collect())
+    items = spark.createDataFrame([(1, pairs[0])], "item_id long, text string")
+    found = decontaminate.contamination(frame(spark, docs), items).collect()
+    assert sorted((r.doc_id, r.n_hit, r.contaminated) for r in found) == [
+        (0, 1, True), (1, 0, False), (2, 0, False), (3, 0, False)
+    ]
+
+
 def test_components(spark):
     draw = random.Random(5)
     links = [(draw.randrange(120), draw.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 260)]
