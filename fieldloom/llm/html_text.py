@@ -1,18 +1,22 @@
 """Main text of web pages by text-to-tag ratios.
 
 The parser of the standard library streams events; every block of text becomes a line
-with the number of its characters and tags. Lines of what is never content (scripts,
-menus, forms, adverts, ...) are left out by their elements. The ratio of text to tags
-along the page is smoothed by a Gaussian, and lines above a threshold form clusters. The
-innermost container that holds all clusters, or all articles together, is the content
-region, whose lines are all kept, however short.
+with the number of its characters and tags. The ratio of text to tags along the page is
+smoothed by a Gaussian, and lines above a threshold form clusters. Elements whose role or
+name speaks of menus, forms, adverts and the like are left out only where the clusters
+agree: one that holds most of the clusters' text is no boilerplate, whatever its name.
+The innermost container that holds all clusters, without what lies before the first and
+behind the last of them in containers of its own, or all articles that hold clusters
+together, is the content region, whose lines are all kept, however short.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,8 @@ _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 _SKIPPED = frozenset(
-    "script style noscript template head title nav footer aside form button select option "
-    "textarea label iframe object svg math canvas audio video dialog menu".split()
+    "script style noscript template head title button select option textarea label iframe "
+    "object svg math canvas audio video dialog menu nav footer aside".split()
 )
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
@@ -51,48 +55,72 @@ _WORDS = frozenset(
     "replies respond related recommended share sharing social widget toolbar skip search "
     "contentinfo complementary hidden".split()
 )
+_READERS = frozenset("comment comments commentlist disqus reply replies respond".split())
 _HEADERS = frozenset(["header", "topbar", "site-header", "page-header"])
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _HIDDEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
+# What an element may be left out as: readers' comments, by its role or name, as the
+# header of something that is named in front of it; _GONE is left out in any case.
+_COMMENTS, _NAMED, _HEAD, _GONE = range(4)
 
-def _boilerplate(tag: str, attributes, in_article: bool) -> bool:
-    if tag in _SKIPPED:
-        return True
-    if tag == "header":
-        return not in_article
-    if tag in ("html", "body") or not attributes:
-        return False
+
+def _role(tag: str, attributes, in_article: bool) -> int | None:
+    if tag in _SKIPPED or (tag == "header" and not in_article):
+        return _GONE
+    role = _NAMED if tag == "form" else None
+    if tag in ("html", "body"):
+        return None
     for name, value in attributes:
         if name == "hidden":
-            return True
+            return _GONE
         if not value:
             continue
         if name == "aria-hidden" and value.lower() == "true":
-            return True
+            return _GONE
         if name == "style" and _HIDDEN.search(value):
-            return True
+            return _GONE
         if name in ("class", "id", "role"):
-            words = set(_SPLIT.split(value.lower()))
-            if words & _WORDS or (not in_article and words & _HEADERS):
-                return tag not in _ARTICLES or bool(words & {"comment", "comments", "reply"})
-    return False
+            value = value.lower()
+            words = set(_SPLIT.split(value))
+            if words & _READERS:
+                return _COMMENTS
+            if tag in _ARTICLES:
+                continue
+            if words & _WORDS or (not in_article and (words | set(value.split())) & _HEADERS):
+                if words & _WORDS or set(value.split()) & _HEADERS:
+                    role = _NAMED
+                elif role is None:
+                    role = _HEAD
+    return role
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    path: tuple[int, ...]  # of containers around it
+    roles: tuple[int, ...]  # of elements around it that may be left out
+    title: bool
 
 
 class PageLines(HTMLParser):
-    """Lines of a page: text, number of tags, and the path of containers around it."""
+    """Lines of a page, with the containers and the elements of a role around each."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.titles: list[bool] = []  # of the lines
+        self.lines: list[Line] = []
         self.stack: list[str] = []
+        self.open: Counter[str] = Counter()  # elements of the stack by name
         self.skipped_at = 0  # depth of the outermost skipped element, 0 for none
         self.path: list[int] = []
         self.depths: list[int] = []
         self.articles: set[int] = set()
         self.open_articles = 0
-        self.containers = 0
+        self.containers: list[str] = [""]  # names by number, from 1 on
+        self.kinds: list[int] = []  # of all elements with a role
+        self.places: list[tuple[int, ...]] = []  # the containers around each of them
+        self.roles: list[int] = []
+        self.role_depths: list[tuple[int, int]] = []  # and tags before
         self.parts: list[str] = []
         self.tags = 0
 
@@ -108,20 +136,27 @@ class PageLines(HTMLParser):
         if tag == "p" and self.stack and self.stack[-1] == "p":
             self._pop(len(self.stack) - 1)
         self.stack.append(tag)
+        self.open[tag] += 1
         if self.skipped_at:
             return
         if tag in _BLOCKS:
-            self._flush(self.stack[:-1])
+            self._flush(len(self.stack) - 1)
         self.tags += 1
-        if _boilerplate(tag, attributes, self.open_articles > 0):
-            self.skipped_at = len(self.stack)
-            return
+        role = _role(tag, attributes, self.open_articles > 0)
+        if role is not None:
+            if role == _GONE or tag not in _BLOCKS:
+                self.skipped_at = len(self.stack)
+                return
+            self.roles.append(len(self.kinds))
+            self.role_depths.append((len(self.stack), self.tags))
+            self.kinds.append(role)
+            self.places.append(tuple(self.path))
         if tag in _CONTAINERS:
-            self.containers += 1
-            self.path.append(self.containers)
+            self.path.append(len(self.containers))
+            self.containers.append(tag)
             self.depths.append(len(self.stack))
             if tag in _ARTICLES:
-                self.articles.add(self.containers)
+                self.articles.add(self.path[-1])
                 self.open_articles += 1
 
     def handle_startendtag(self, tag, attributes):
@@ -132,10 +167,12 @@ class PageLines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in _VOID:
             return
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth] == tag:
-                self._pop(depth)
-                break
+        # An end tag that nothing is open for closes nothing.
+        if self.open[tag]:
+            depth = len(self.stack) - 1
+            while self.stack[depth] != tag:
+                depth -= 1
+            self._pop(depth)
         if not self.skipped_at and tag in _BLOCKS:
             self._flush()
 
@@ -145,7 +182,13 @@ class PageLines(HTMLParser):
             self.skipped_at = 0
         elif not self.skipped_at and any(t in _BLOCKS for t in self.stack[depth:]):
             self._flush()
+        for tag in self.stack[depth:]:
+            self.open[tag] -= 1
         del self.stack[depth:]
+        while self.role_depths and self.role_depths[-1][0] > depth:
+            self.roles.pop()
+            # Tags inside do not count for what comes behind.
+            self.tags = self.role_depths.pop()[1]
         while self.depths and self.depths[-1] > depth:
             self.depths.pop()
             if self.path.pop() in self.articles:
@@ -155,16 +198,16 @@ class PageLines(HTMLParser):
         if not self.skipped_at:
             self.parts.append(data)
 
-    def _flush(self, around: list[str] | None = None):
-        """End a line; ``around``: the elements it lies in, if not those now open."""
+    def _flush(self, depth: int | None = None):
+        """End a line; ``depth``: of the elements it lies in, if not all those now open."""
         text = " ".join("".join(self.parts).split())
         if text:
-            self.titles.append("h1" in (self.stack if around is None else around))
-            self.lines.append((text, max(1, self.tags), tuple(self.path)))
+            title = self.open["h1"] > 0 and "h1" in self.stack[:depth]
+            self.lines.append(Line(text, max(1, self.tags), tuple(self.path), tuple(self.roles), title))
             self.tags = 0
         self.parts = []
 
-    def finish(self):
+    def finish(self) -> list[Line]:
         self.close()
         if not self.skipped_at:
             self._flush()
@@ -180,6 +223,54 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(mirrored, kernel, mode="valid")
 
 
+def _clusters(lines: list[Line]) -> np.ndarray:
+    """Which lines are in clusters: runs with a smoothed ratio of text to tags above the
+    threshold, without lines at their ends that only smoothing has lifted above it."""
+    ratio = np.array([len(line.text) / line.tags for line in lines], float)
+    smooth = smoothed(ratio)
+    least = SHARE * smooth.std()
+    content, own = smooth >= least, ratio >= least
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], content, [False]]).astype(np.int8)))
+    for first, last in zip(edges[::2], edges[1::2]):
+        inside = np.flatnonzero(own[first:last])
+        if len(inside):
+            content[first : first + inside[0]] = False
+            content[first + inside[-1] + 1 : last] = False
+    return content
+
+
+def _left_out(parser: PageLines, lines: list[Line]) -> set[int]:
+    """The elements of a role that are no part of the text, by the clusters inside them."""
+    content = _clusters(lines)
+    inside = np.zeros(len(parser.kinds))
+    total = 0
+    for line, cluster in zip(lines, content):
+        if cluster and not any(parser.kinds[r] == _COMMENTS for r in line.roles):
+            total += len(line.text)
+            for r in line.roles:
+                inside[r] += len(line.text)
+    out = {
+        r for r, kind in enumerate(parser.kinds) if kind == _COMMENTS or 2 * inside[r] <= total
+    }
+    free = sum(len(line.text) for line, c in zip(lines, content) if c and not out.intersection(line.roles))
+    if 10 * free < total:
+        # Nearly all the text lies in elements of a role, as where a layout names them so.
+        out = {r for r in out if not inside[r]}
+    if not total:
+        # No clusters but in comments: then these are the page's text.
+        out = {r for r in out if parser.kinds[r] != _COMMENTS}
+    # The header of a text, by its title and its place beside the clusters.
+    kept = [line.path for line, c in zip(lines, content) if c and not out.intersection(line.roles)]
+    region = os.path.commonprefix(kept) if kept else ()
+    for line in lines:
+        for r in line.roles:
+            place = parser.places[r]
+            inner = bool(place) and parser.containers[place[-1]] not in ("html", "body")
+            if line.title and parser.kinds[r] == _HEAD and inner and region[: len(place)] == place:
+                out.discard(r)
+    return out
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the main text of one page, joined by newlines; '' if there are none."""
     if not html:
@@ -189,19 +280,28 @@ def main_text(html: str | None) -> str:
     lines = parser.finish()
     if not lines:
         return ""
-    size = np.array([len(text) for text, _, _ in lines], float)
-    ratio = smoothed(size / np.array([tags for _, tags, _ in lines], float))
-    content = ratio >= SHARE * ratio.std()
-    paths = [path for _, _, path in lines]
+    if parser.kinds:
+        out = _left_out(parser, lines)
+        lines = [line for line in lines if not out.intersection(line.roles)]
+        if not lines:
+            return ""
+    content = _clusters(lines)
+    articles = {a for line, c in zip(lines, content) if c for a in parser.articles.intersection(line.path)}
+    if articles:
+        # All articles that hold clusters together.
+        return "\n".join(line.text for line in lines if articles.intersection(line.path))
     # A title belongs to the text, however short.
-    clusters = [path for path, c, title in zip(paths, content, parser.titles) if c or title]
-    if any(parser.articles.intersection(path) for path, c in zip(paths, content) if c):
-        # All articles together; those of comments are no lines at all.
-        kept = [text for text, _, path in lines if parser.articles.intersection(path)]
-    else:
-        # The innermost container of all clusters: where their paths part.
-        region = os.path.commonprefix(clusters)
-        kept = [text for text, _, path in lines if path[: len(region)] == region]
+    part = [i for i, line in enumerate(lines) if content[i] or line.title]
+    region = os.path.commonprefix([lines[i].path for i in part])
+    depth = len(region)
+    # Containers of the region that hold clusters, and the first and last of those.
+    held = {lines[i].path[: depth + 1] for i in part}
+    first, last = part[0], part[-1]
+    kept = []
+    for i, line in enumerate(lines):
+        beside = len(line.path) > depth and line.path[: depth + 1] not in held
+        if line.path[:depth] == region and (first <= i <= last or not beside):
+            kept.append(line.text)
     return "\n".join(kept)
 
 

@@ -1,7 +1,10 @@
 """Pages whose text is spread over several containers."""
 
+import time
+
 import pytest
 
+from fieldloom.llm import html_text
 from fieldloom.llm.html_text import main_text
 
 LONG = [f"Part {i} of the text goes on for a while, " + "and then for some more, " * 6 + "until it ends." for i in range(6)]
@@ -39,3 +42,42 @@ def test_menus_beside_the_text_stay_out():
     html = f"<body><div>{MENU}</div><div><h1>T</h1>{''.join(P)}</div><div>{MENU}</div></body>"
     nav = html.replace("<div><div><a", "<div class=menu><div><a")
     assert main_text(nav).split("\n") == ["T", *LONG]
+
+
+ALL = "".join(P)
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<body><form id="aspnetForm"><article><h1>T</h1>{ALL}</article></form></body>',
+        f'<body><form id="aspnetForm"><div><h1>T</h1>{ALL}</div></form></body>',
+        "<body><h1>T</h1>" + "".join(f'<div class="elementor-widget elementor-widget-text">{p}</div>' for p in P) + "</body>",
+        f'<body><div class="no-sidebar"><h1>T</h1>{ALL}</div></body>',
+        f'<body><div class="layout-sidebar-right"><nav><a>menu</a></nav><article><h1>T</h1>{ALL}</article></div></body>',
+        f'<body><div class="site-header"><h1>Site</h1></div><div class=post><div class="entry-header"><h1>T</h1></div>'
+        f"<div class=body>{ALL}</div></div></body>",
+        f"<body><div><a href=/>Home</a></div><div><h1>T</h1>{ALL}</div><div>(c) the owners</div></body>",
+        f"<body><div><a href=/>Home</a></div><div><h1>T</h1>{''.join(P[:3])}</div><div>{''.join(P[3:])}</div>"
+        "<div>(c) the owners</div></body>",
+        # Comments of readers, more than the text itself.
+        f"<body><div><h1>T</h1>{ALL}</div><div id=comments>" + "".join(f"<p>{x} No!</p>" for x in LONG * 9) + "</div></body>",
+    ],
+)
+def test_names_of_layouts_do_not_empty_a_page(html):
+    assert main_text(html).split("\n") == ["T", *LONG]
+
+
+def test_ratios_choose_the_region(monkeypatch):
+    menu = "".join(f"<p><a href=/{i}><b><i>go</i></b></a></p>" for i in range(12))
+    html = f"<body><div>{menu}</div><div>{ALL}</div><div>{menu}</div></body>"
+    assert main_text(html).split("\n") == LONG
+    monkeypatch.setattr(html_text, "smoothed", lambda values: 1 / values)
+    other = main_text(html).split("\n")
+    assert other != LONG and "go" in other
+
+
+def test_end_tags_that_match_nothing():
+    began = time.monotonic()
+    assert main_text("<i>" * 20_000 + "</b>" * 20_000 + "x") == "x"
+    assert time.monotonic() - began < 1
