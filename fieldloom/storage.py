@@ -4,7 +4,6 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -71,6 +70,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def materialize_vectors(df: DataFrame, column: str, name: str) -> DataFrame:
     """Write ``df`` once; read it with the struct ``column`` as the vector it stores."""
+    # Loaded here alone: tasks that use this module have no need of it, nor memory for it.
+    from pyspark.ml.linalg import VectorUDT
+
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
