@@ -19,7 +19,14 @@ from ..storage import materialize, new_path
 SLICE_BYTES = 4 << 20
 
 
+#: Bytes that go to a Python worker at a time, about; by default it would be 64 MB, which
+#: a task holds several times over.
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder, whose long texts reach Python workers a few at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

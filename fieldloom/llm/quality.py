@@ -50,6 +50,9 @@ def _byte_classes() -> tuple[np.ndarray, int]:
     return out, count
 
 
+# Texts are read in slices of about so many bytes, as each byte takes many times that.
+SLICE_BYTES = 1 << 20
+
 _CLASS, _CLASSES = _byte_classes()
 _PAIRS = 5
 FEATURES = _CLASSES + _PAIRS * _PAIRS + 8
@@ -255,7 +258,7 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionModel:
 
 
 def _bags(batches):
-    for batch in slices(batches):
+    for batch in slices(batches, size=SLICE_BYTES):
         raw, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         features, before = passages(raw, offsets)
         bags = [features[a:b].tobytes() for a, b in zip(before, before[1:])]
@@ -279,7 +282,7 @@ def score(docs: DataFrame, model: AttentionModel, text: str = "text", out: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE_BYTES):
             raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
             values = sent.value.scores(*passages(raw, offsets))
             yield pa.RecordBatch.from_arrays(

@@ -51,6 +51,8 @@ EPOCHS, BATCH, RATE = 8, 64, 0.01
 #: Own plain tokens of the texts that the network learns to reject, at most.
 PLAIN = 6000
 
+# Texts are scanned in slices of about so many bytes, as each byte takes many times that.
+SLICE_BYTES = 1 << 20
 # Windows that the network reads at a time.
 _BLOCK = 256
 _ALPHABET = 98  # printable ASCII, other, none
@@ -503,7 +505,7 @@ def scan(docs: DataFrame, net: CharNet, text: str = "text", out: str = "secrets"
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE_BYTES):
             found = find(batch.column(batch.schema.get_field_index(text)))
             rows = [
                 [{"start": a, "end": b, "kind": k} for a, b, k in spans]
