@@ -171,7 +171,15 @@ def write_tokens(
     ).coalesce(1).write.parquet(f"{folder}/codebook")
     book = spark.sparkContext.broadcast(lengths)
     key_field = T.StructField("__key", plain.schema["__key"].dataType)
-    coded = tokens.drop("counts").mapInArrow(
+    # Range bounds are drawn from a pass of their own, so tokens are coded behind it.
+    ordered = (
+        tokens.drop("counts")
+        .withColumn("__tie", F.monotonically_increasing_id())
+        .repartitionByRange("__key", "__tie")
+        .sortWithinPartitions("__key", "__tie")
+        .drop("__tie")
+    )
+    coded = ordered.mapInArrow(
         _Encode(book, kind),
         T.StructType(
             [
@@ -181,14 +189,7 @@ def write_tokens(
                 T.StructField("checkpoints", T.ArrayType(T.LongType())),
             ]
         ),
-    )
-    ordered = (
-        coded.withColumn("__tie", F.monotonically_increasing_id())
-        .repartitionByRange("__key", "__tie")
-        .sortWithinPartitions("__key", "__tie")
-        .drop("__tie")
-        .withColumn("part", F.spark_partition_id())
-    )
+    ).withColumn("part", F.spark_partition_id())
     blocks = T.StructType(
         [
             T.StructField("part", T.IntegerType()),
@@ -200,7 +201,7 @@ def write_tokens(
             T.StructField("code", T.BinaryType()),
         ]
     )
-    ordered.mapInArrow(_blocks, blocks).write.option("compression", "zstd").parquet(
+    coded.mapInArrow(_blocks, blocks).write.option("compression", "zstd").parquet(
         f"{folder}/blocks"
     )
     (
