@@ -19,12 +19,11 @@ _ENTRY_BYTES = 128
 MAX_CHAINED_JOINS = 64
 _JOINS_PER_STAGE = 8
 _MAX_VECTOR = 2**31 - 1
-# A pair is hot when it holds more of the sampled pairs than this share of what a
-# partition of the shuffled join gets on average, so there are at most a few hot pairs
-# per partition.
+# A pair is hot when it holds more of the pairs than this share of what a partition of
+# the shuffled join gets on average, so there are at most two hot pairs per partition.
 HOT_SHARE = 0.5
-HOT_SAMPLE = 0.01
-_SAMPLE_SEED = 17
+# Counters per partition that pairs are first counted in, and fewest counters.
+_COUNTERS, _LEAST_COUNTERS = 8, 4096
 
 # Fixed value: the usual number of hash buckets.
 HASH_BUCKETS = 2**15
@@ -193,18 +192,31 @@ def _encode_in_row(
     return df.select(*kept, F.sort_array("__found").alias("__indices"))
 
 
-def _hot_pairs(exploded: DataFrame, dictionary: OneHotDictionary) -> DataFrame:
-    """Frequent pairs with their index, or no index if unknown: at most a few per partition.
+def frequent_pairs(pairs: DataFrame, share: float, counters: int) -> DataFrame:
+    """The pairs (feature_id, category) with more than ``share`` of all rows, and no others.
 
-    The sample only decides which pairs take which way; both ways are exact.
+    Rows are counted by a hash of their pair first. No pair is in more rows than its
+    counter says, so pairs are counted one by one only where a counter is above the
+    limit. Both counts are combined before they are shuffled: a task sends a row for each
+    counter, then one for each pair of the few high counters. Pairs with a NULL do not
+    count.
     """
-    spark = exploded.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = HOT_SHARE / max(1, partitions)
-    sample = exploded.select(*_PAIR).dropna().sample(HOT_SAMPLE, _SAMPLE_SEED)
-    counts = materialize(sample.groupBy(*_PAIR).agg(F.count(F.lit(1)).alias("__n")), "pair-sample")
-    limit = counts.agg(F.sum("__n") * share).scalar()
-    hot = counts.filter(F.col("__n") > limit).select(*_PAIR)
+    pairs = pairs.select(*_PAIR).dropna()
+    pairs = pairs.withColumn("__counter", F.pmod(F.xxhash64(*_PAIR), F.lit(counters)))
+    counts = pairs.groupBy("__counter").agg(F.count(F.lit(1)).alias("__n"))
+    counts = materialize(counts, "pair-counters")
+    limit = (counts.agg(F.sum("__n")).first()[0] or 0) * share
+    high = counts.filter(F.col("__n") > limit).select("__counter")
+    each = pairs.join(F.broadcast(high), "__counter").groupBy(*_PAIR)
+    return each.agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).select(*_PAIR)
+
+
+def _hot_pairs(exploded: DataFrame, dictionary: OneHotDictionary) -> DataFrame:
+    """Frequent pairs with their index, or no index if unknown: at most two per partition."""
+    partitions = int(exploded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counters = max(_LEAST_COUNTERS, _COUNTERS * partitions)
+    frequent = frequent_pairs(exploded, HOT_SHARE / max(1, partitions), counters)
+    hot = materialize(frequent, "frequent-pairs")
     known = dictionary.frame.join(F.broadcast(hot), _PAIR)
     return materialize(hot.join(F.broadcast(known), _PAIR, "left"), "hot-pairs")
 
@@ -214,9 +226,9 @@ def _encode_by_shuffle(
 ) -> DataFrame:
     """Join exploded pairs with the dictionary, then regroup them by row.
 
-    Pairs are exploded and written once. Frequent ones, known or not, are found in a
-    sample and looked up by broadcast, and missing ones need no look-up, so no join key
-    of the shuffle holds a large share of the rows.
+    Pairs are exploded and written once. Frequent ones, known or not, are counted exactly
+    and looked up by broadcast, and missing ones need no look-up, so no join key of the
+    shuffle holds more than ``HOT_SHARE`` of an average partition.
     """
     # The constant keeps the struct valid when there is nothing else to carry.
     payload = F.struct(F.lit(0).alias("__"), *[F.col(name) for name in kept if name != row_id])

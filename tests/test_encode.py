@@ -112,7 +112,6 @@ def test_one_hot_encode_unusual_rows(spark, animals, limit, written):
 
 
 def test_shuffled_encoding_with_hot_known_and_unknown_pairs(spark, monkeypatch):
-    monkeypatch.setattr(encode, "HOT_SAMPLE", 0.5)
     monkeypatch.setattr(encode, "HOT_SHARE", 0.05)
     draw = random.Random(3)
     rows = [
@@ -139,6 +138,20 @@ def test_shuffled_encoding_with_hot_known_and_unknown_pairs(spark, monkeypatch):
     assert all(row.label == 2 * i and len(row.feature) == 3 for i, row in found.items())
 
 
+@pytest.mark.parametrize("counters", [1, 7, 4096])
+def test_frequent_pairs_at_and_just_below_the_limit(spark, counters):
+    # Of 10,000 pairs, those with more than 100: none at the limit, whatever shares a counter.
+    counts = {(0, "over"): 101, (1, "over"): 3000, (0, "at"): 100, (1, "below"): 99}
+    rows = [pair for pair, n in counts.items() for _ in range(n)]
+    rows += [(2, f"c{i}") for i in range(10_000 - len(rows))]
+    random.Random(5).shuffle(rows)
+    nulls = [(None, "over")] * 500 + [(3, None)] * 500
+    pairs = spark.createDataFrame(rows + nulls, "feature_id short, category string").repartition(5)
+    found = encode.frequent_pairs(pairs, 0.01, counters)
+    assert sorted(map(tuple, found.collect())) == [(0, "over"), (1, "over")]
+    assert encode.frequent_pairs(pairs.limit(0), 0.01, counters).count() == 0
+
+
 def test_large_dictionary_without_row_id(animals):
     dictionary = build_dictionary(animals)
     small = one_hot_encode(animals, dictionary, keep=["id"])
