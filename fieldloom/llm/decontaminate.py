@@ -60,6 +60,8 @@ def _byte_table() -> np.ndarray:
 
 
 _BYTES = _byte_table()
+
+
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
     """Start positions of all suffixes in the order of their first ``depth`` words.
 
@@ -139,36 +141,64 @@ def search(text, order, query, starts, lengths) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass
 class TestSet:
-    """Word codes of benchmark items, one behind the other, and all their windows."""
+    """Word codes of benchmark items, a 0 behind each, and their distinct windows.
+
+    Equal windows are one; ``borders`` has where the places of each begin in ``places``,
+    which come in the order of the whole suffixes that begin there.
+    """
 
     __test__ = False
 
     ids: list[str]
     words: np.ndarray
-    ends: np.ndarray  # end of the item that each window belongs to
-    item: np.ndarray
+    left: np.ndarray  # words from each place up to the end of its item, the 0 included
     starts: np.ndarray
     lengths: np.ndarray
+    borders: np.ndarray
+    places: np.ndarray
+    item: np.ndarray  # of each of ``places``
+
+    def items(self, windows: np.ndarray) -> list[str]:
+        """Ids of all items that hold one of the windows, each once and in order."""
+        parts = [self.item[self.borders[w] : self.borders[w + 1]] for w in windows]
+        return sorted({self.ids[i] for i in np.unique(np.concatenate(parts))})
+
+
+def _separated(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of rows with a 0 behind each row, which no match goes across, and where rows begin."""
+    shift = np.arange(len(counts) - 1)
+    out = np.zeros(len(codes) + len(shift), np.uint64)
+    out[np.arange(len(codes)) + np.repeat(shift, np.diff(counts))] = codes
+    return out, counts[:-1] + shift
 
 
 def read_tests(ids: list[str], texts: list[str | None], window: int = WINDOW) -> TestSet:
     raw, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    words, counts = word_codes(raw, offsets, _BYTES)
-    item, starts, lengths, ends = [], [], [], []
-    for i in range(len(ids)):
-        begin, end = int(counts[i]), int(counts[i + 1])
-        size = min(window, end - begin)
-        for start in range(begin, end - size + 1) if size else ():
-            item.append(i)
-            starts.append(start)
-            lengths.append(size)
-            ends.append(end)
-    as_long = lambda x: np.array(x, np.int64)
-    return TestSet(list(ids), words, as_long(ends), as_long(item), as_long(starts), as_long(lengths))
+    codes, counts = word_codes(raw, offsets, _BYTES)
+    words, begin = _separated(codes, counts)
+    sizes = np.diff(counts)
+    item = np.repeat(np.arange(len(sizes)), sizes + 1)
+    left = (begin + sizes + 1)[item] - np.arange(len(words))
+    length = np.minimum(window, sizes)[item]
+    is_start = (left > length) & (length > 0)
+    order = suffix_array(words, int(sizes.max(initial=0)) + 1) if len(words) else np.zeros(0, np.int64)
+    places = order[is_start[order]]
+    same = length[places[1:]] == length[places[:-1]]
+    for k in range(window):
+        here, before = (np.minimum(x + k, len(words) - 1) for x in (places[1:], places[:-1]))
+        same &= (words[here] == words[before]) | (k >= length[places[1:]])
+    heads = np.flatnonzero(np.append(True, ~same)) if len(places) else np.zeros(0, np.int64)
+    starts = places[heads]
+    return TestSet(
+        list(ids), words, left, starts, length[starts], np.append(heads, len(places)), places, item[places]
+    )
 
 
 def _matches(text, order, tests: TestSet):
-    """All pairs (place in ``text``, window) with equal words."""
+    """All pairs (place in ``text``, window) with equal words.
+
+    As equal windows are one, a place has at most one of each length.
+    """
     present = np.isin(tests.words[tests.starts], text) if len(text) else np.zeros(0, bool)
     chosen = np.flatnonzero(present)
     if not len(chosen):
@@ -180,55 +210,79 @@ def _matches(text, order, tests: TestSet):
     return order[np.repeat(lo, sizes) + inner], window
 
 
-def _extend(text, places, tests: TestSet, windows) -> np.ndarray:
-    """Words that agree from each place on, up to the end of the item."""
-    length = tests.lengths[windows].copy()
-    open_ = np.arange(len(places))
+def _nearest(text, places, tests: TestSet, windows) -> np.ndarray:
+    """For each place the number, in ``tests.places``, of the first suffix of its window
+    that is not less than the text from there on, or of the window's last one."""
+    lo, hi = tests.borders[windows], tests.borders[windows + 1] - 1
+    open_ = np.flatnonzero(lo < hi)
     while len(open_):
-        here, there = places[open_] + length[open_], tests.starts[windows[open_]] + length[open_]
-        go = (here < len(text)) & (there < tests.ends[windows[open_]])
-        open_, here, there = open_[go], here[go], there[go]
-        open_ = open_[text[here] == tests.words[there]]
-        length[open_] += 1
-    return length
+        mid = (lo[open_] + hi[open_]) // 2
+        there = tests.places[mid]
+        above = _compare(text, places[open_], tests.words, there, tests.left[there]) > 0
+        lo[open_[above]] = mid[above] + 1
+        hi[open_[~above]] = mid[~above]
+        open_ = open_[lo[open_] < hi[open_]]
+    return lo
+
+
+def _extend(text, places, tests: TestSet, windows) -> tuple[np.ndarray, np.ndarray]:
+    """Words that agree from each place on with an item, and the item.
+
+    The longest match is with a neighbour of the text in the order of suffixes. What also
+    agrees one word further left is part of a longer match and is not read on.
+    """
+    last = _nearest(text, places, tests, windows)
+    length, number = tests.lengths[windows].copy(), last.copy()
+    for candidate in (last, np.maximum(last - 1, tests.borders[windows])):
+        there = tests.places[candidate]
+        own = tests.lengths[windows].copy()
+        inner = (places > 0) & (there > 0) & (text[places - 1] == tests.words[there - 1])
+        open_ = np.flatnonzero(~(inner & (text[places - 1] != 0)))
+        while len(open_):
+            a, b = places[open_] + own[open_], there[open_] + own[open_]
+            go = (a < len(text)) & (tests.words[b] != 0)
+            open_, a, b = open_[go], a[go], b[go]
+            open_ = open_[text[a] == tests.words[b]]
+            own[open_] += 1
+        better = own > length
+        length[better], number[better] = own[better], candidate[better]
+    return length, tests.item[number]
 
 
 def _shard(batch: pa.RecordBatch, column: str, tests: TestSet, window: int):
     """Per row: number of words, hit positions, items and the longest match."""
     raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(column)))
     codes, counts = word_codes(raw, offsets, _BYTES)
-    rows = len(counts) - 1
-    # A 0 behind each document stops every match at its end.
-    shift = np.arange(rows)
-    text = np.zeros(len(codes) + rows, np.uint64)
-    row_of = np.repeat(shift, np.diff(counts))
-    text[np.arange(len(codes)) + row_of] = codes
-    begin = counts[:-1] + shift
+    text, begin = _separated(codes, counts)
     order = suffix_array(text, window) if len(codes) else np.zeros(0, np.int64)
     places, windows = _matches(text, order, tests)
-    longest = _extend(text, places, tests, windows)
+    longest, with_item = _extend(text, places, tests, windows)
     marks = np.zeros(len(text) + 1, np.int64)
     marks += np.bincount(places, minlength=len(marks))
     marks -= np.bincount(places + tests.lengths[windows], minlength=len(marks))
     hit = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
     hit_row = np.searchsorted(begin, hit, "right") - 1
     row = np.searchsorted(begin, places, "right") - 1
-    pairs = np.unique(row * max(1, len(tests.ids)) + tests.item[windows]) if len(row) else row
-    item_row, item = np.divmod(pairs, max(1, len(tests.ids)))
-    found = {}
-    for r in np.unique(row):
-        found[int(r)] = ([], [], 0, -1, None)
+    distinct = max(1, len(tests.starts))
+    window_row, window = np.divmod(np.unique(row * distinct + windows), distinct)
     bounds = lambda values, r: slice(*np.searchsorted(values, [r, r + 1]))
     by_row = np.lexsort((places, -longest, row))
     sorted_row = row[by_row]
-    for r in found:
+    # Rows with the same windows share the list of their items.
+    lists: dict[bytes, list[str]] = {}
+    found = {}
+    for r in np.unique(row).tolist():
         best = by_row[np.searchsorted(sorted_row, r)]
+        own = window[bounds(window_row, r)]
+        known = own.tobytes()
+        if known not in lists:
+            lists[known] = tests.items(own)
         found[r] = (
             (hit[bounds(hit_row, r)] - begin[r]).tolist(),
-            [tests.ids[i] for i in item[bounds(item_row, r)]],
+            lists[known],
             int(longest[best]),
             int(places[best] - begin[r]),
-            tests.ids[tests.item[windows[best]]],
+            tests.ids[with_item[best]],
         )
     return np.diff(counts), found
 
@@ -256,17 +310,19 @@ def contamination(
     named like a report column are replaced.
     """
     base = docs.select(*[c for c in docs.columns if c not in _REPORT])
-    rounds = list(_blocks(benchmark, item))
     state = T.StructType([*base.schema.fields, T.StructField("__state", _STATE)])
     result = T.StructType(
         [*base.schema.fields, *(T.StructField(k, v) for k, v in _REPORT.items())]
     )
     frame = base
-    for i, (ids, texts) in enumerate(rounds):
-        last = i == len(rounds) - 1
-        tests = docs.sparkSession.sparkContext.broadcast(read_tests(ids, texts, window))
-        task = _Round(tests, text, window, share, i > 0, last)
-        frame = frame.mapInArrow(task, result if last else state)
+    # One block at a time is on the driver; what has been sent lies in files.
+    rounds = _blocks(benchmark, item)
+    block, i = next(rounds), 0
+    while block is not None:
+        tests = docs.sparkSession.sparkContext.broadcast(read_tests(*block, window))
+        block = next(rounds, None)
+        task = _Round(tests, text, window, share, i > 0, block is None)
+        frame, i = frame.mapInArrow(task, result if block is None else state), i + 1
     return frame
 
 
@@ -310,7 +366,7 @@ class _Round:
             rows = [found.get(r, nothing) for r in range(batch.num_rows)]
             if self.last:
                 hits = np.array([len(x[0]) for x in rows], np.int64)
-                items = [sorted(set(x[1])) for x in rows]
+                items = [x[1] for x in rows]
                 columns += [
                     pa.array(sizes.astype(np.int64)),
                     pa.array(hits),

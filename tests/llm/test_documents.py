@@ -155,6 +155,42 @@ def test_contamination(spark, monkeypatch):
     assert decontaminate.contamination(frame(spark, docs).limit(0), table).count() == 0
 
 
+def test_equal_windows_of_many_items(spark):
+    draw = random.Random(17)
+    head = prose(draw, 15)
+    items = [(i, "yes") for i in range(300)]
+    items += [(1000 + i, f"{head} {i} {prose(draw, 30)}") for i in range(60)] + [(2000, head), (2001, head + " 7")]
+    items += [(2002, "yes yes yes"), (2003, "")]
+    draw.shuffle(items)
+    texts = dict(items)
+    docs = [(i, "yes " * draw.randrange(4) + prose(draw, 20)) for i in range(200)]
+    docs += [(500 + i, f"{prose(draw, 5)} {' '.join(texts[1000 + i].split()[: 15 + 2 * i])} end") for i in range(15)]
+    docs += [(600, texts[1020] + " " + texts[1021]), (601, head), (602, "yes"), (603, None)]
+    rows = decontaminate.contamination(
+        frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    expected = brute.contamination(docs, items)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows} == expected
+    # The longest match has at least a window of its item.
+    spaced = {str(i): (min(13, len(t.split())), f" {t.lower()} ") for i, t in items if t}
+    for r in rows:
+        words = (dict(docs)[r.doc_id] or "").lower().split()
+        longest = 0
+        for at in range(len(words) if r.n_hit else 0):
+            for size, text in spaced.values():
+                n = max(size, longest + 1)
+                while at + n <= len(words) and f" {' '.join(words[at : at + n])} " in text:
+                    longest, n = n, n + 1
+        assert r.longest_words == longest, r
+        if longest:
+            match = " ".join(words[r.longest_start : r.longest_start + longest])
+            assert f" {match} " in spaced[r.longest_item][1]
+    tests = decontaminate.read_tests([str(i) for i, _ in items], [text for _, text in items])
+    text = decontaminate.read_tests(["d"], ["yes " * 50]).words
+    places, _ = decontaminate._matches(text, decontaminate.suffix_array(text, 13), tests)
+    assert len(places) == 50 + 48  # once each, not for each item; the run of three, too
+
+
 def test_suffix_array_against_sorting():
     words = np.random.default_rng(2).integers(1, 4, 300).astype(np.uint64)
     order = decontaminate.suffix_array(words, 16)
