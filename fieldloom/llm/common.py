@@ -139,6 +139,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def frequent_keys(facts: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """The keys that hold more than half of what a shuffle partition gets on average.
+
+    ``facts`` has a row for each key, and in ``count`` its number of rows, so there are at
+    most two such keys for each partition, however large the table is.
+    """
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    hot = facts.filter(F.col(count) * 2 * partitions > total).select(*keys)
+    return materialize(hot, "frequent-keys")
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has at most one row for each key.
+
+    Rows of the keys in ``hot`` (see ``frequent_keys``) stay where they lie and look their
+    facts up by broadcast; only the others are shuffled.
+    """
+    marked = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
+    lying = marked.filter("__hot").drop("__hot")
+    rest = marked.filter("__hot is null").drop("__hot")
+    few = facts.join(F.broadcast(hot), keys, "left_semi")
+    return lying.join(F.broadcast(few), keys).unionByName(rest.join(facts, keys))
+
+
 def with_running_total(
     df: DataFrame, keys: list[str], weight: str, out: str, name: str
 ) -> tuple[DataFrame, int]:

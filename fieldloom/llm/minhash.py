@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import materialize
-from .common import slices, text_bytes, word_codes
+from .common import frequent_keys, join_facts, slices, text_bytes, word_codes
 from .components import components
 
 #: Chance at most that no band of two sets at the threshold agrees, and coordinates at most.
@@ -328,7 +328,10 @@ def _numbered_duplicates(
     )
     rows = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    crowded = materialize(rows.join(shared, "bucket"), "buckets")
+    shared = materialize(shared, "bucket-sizes")
+    # A bucket may hold a third of all classes; no task gets all of it.
+    hot = frequent_keys(shared, ["bucket"], "m")
+    crowded = materialize(join_facts(rows, shared, ["bucket"], hot), "buckets")
     # A class that meets many others is likely to resemble them: it makes a good centre.
     met = crowded.groupBy("rep").agg(F.sum("m").alias("met"))
     crowded = materialize(crowded.join(met, "rep").select("bucket", "rep", "met"), "buckets")
@@ -337,7 +340,7 @@ def _numbered_duplicates(
     for _ in range(ROUNDS):
         best = F.max(F.struct(F.col("met"), (-F.col("rep")).alias("back")))
         centers = crowded.groupBy("bucket").agg((-best["back"]).alias("center"))
-        crowded = materialize(crowded.join(centers, "bucket"), "buckets")
+        crowded = materialize(join_facts(crowded, centers, ["bucket"], hot), "buckets")
         pairs = crowded.filter("rep <> center").select("center", "rep").distinct()
         parts = _grown(parts, _verified(fetch, pairs, percent))
         # What was compared with all others of its bucket is done with; so is a bucket
@@ -353,12 +356,12 @@ def _numbered_duplicates(
             .filter("low <> high")
             .select("bucket")
         )
-        crowded = materialize(rest.join(open_, "bucket"), "buckets")
+        crowded = materialize(join_facts(rest, open_, ["bucket"], hot), "buckets")
         if crowded.isEmpty():
             break
         left, crowded = crowded, crowded.drop("component")
     else:
-        parts = _grown(parts, _compare_blocks(fetch, left, percent))
+        parts = _grown(parts, _compare_blocks(fetch, left, hot, percent))
     found = classes.select("d1", "d2", F.col("n").alias("size"), "rep").join(
         parts.withColumnRenamed("node", "rep"), "rep", "left"
     ).select("d1", "d2", "size", F.coalesce("component", "rep").alias("component"))
@@ -412,7 +415,7 @@ def _verified(fetch: _Fetch, pairs: DataFrame, percent: int) -> DataFrame:
     return materialize(checked.filter("linked").select("a", "b"), "similar")
 
 
-def _compare_blocks(fetch: _Fetch, crowded: DataFrame, percent: int) -> DataFrame:
+def _compare_blocks(fetch: _Fetch, crowded: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """Links between components of each bucket, all its members compared in blocks.
 
     Members outside the bucket's largest component are compared with all members; those
@@ -425,14 +428,16 @@ def _compare_blocks(fetch: _Fetch, crowded: DataFrame, percent: int) -> DataFram
         F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("m")
     )
     count = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
-    placed = crowded.select("bucket", F.col("rep").alias("id"), "component").join(
+    placed = join_facts(
+        crowded.select("bucket", F.col("rep").alias("id"), "component"),
         sizes.select(
             "bucket",
             F.col("most.component").alias("largest"),
             count(F.col("m")).alias("all"),
             count(F.col("m") - F.col("most.size")).alias("asking"),
         ),
-        "bucket",
+        ["bucket"],
+        hot,
     )
     own = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))

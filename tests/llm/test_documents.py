@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from fieldloom.llm import decontaminate, html_text, minhash, quality, secrets, substrings
+from fieldloom.llm.common import frequent_keys, join_facts
 from fieldloom.llm.components import components
 
 WORDS = ["the", "The", "river", "old", "stone", "éa", "runs", "under", "bridge", "x1", "and", "café"]
@@ -84,6 +85,32 @@ def test_sketches_estimate_similarity():
     assert (both != 0).all()
 
 
+def test_facts_of_frequent_keys_are_joined_without_a_shuffle(spark):
+    rows = spark.range(4000).selectExpr("id", "if(id % 3 = 0, -1, id % 500) k").repartition(6)
+    counts = rows.groupBy("k").count().filter("k <> 7")
+    hot = frequent_keys(counts, ["k"], "count")
+    assert [r.k for r in hot.collect()] == [-1]
+    joined = join_facts(rows, counts, ["k"], hot)
+    assert joined.columns == ["k", "id", "count"]
+    expected = rows.join(counts, "k").select("k", "id", "count")
+    assert sorted(joined.collect()) == sorted(expected.collect())
+    assert frequent_keys(counts.limit(0), ["k"], "count").isEmpty()
+
+
+@pytest.mark.parametrize("copies", [0, 400])
+def test_copies_and_near_copies_that_hold_most_rows(spark, copies):
+    draw = random.Random(23)
+    base = prose(draw, 60)
+    docs = [(i, prose(draw, 40)) for i in range(60)] + [(100 + i, edited(draw, base, 1)) for i in range(copies // 2)]
+    docs += [(1000 + i, base) for i in range(copies)] + [(5000 + i, "short") for i in range(copies)]
+    expected, sizes = brute.near_duplicates(docs, 2, 80)
+    found = {r.doc_id: r.component_id for r in minhash.group_documents(frame(spark, docs), 2).collect()}
+    assert found == expected
+    rows = substrings.report(frame(spark, docs)).collect()
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
+    assert found == brute.repeated(docs)
+
+
 def test_removal_keeps_one_and_all_columns(spark):
     text = prose(random.Random(1), 80)
     rows = [(3, text, "a"), (5, text, "b"), (5, text, "b"), (7, "other words here", "c"), (7, "other words here", "c"),
