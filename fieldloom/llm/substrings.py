@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import materialize
-from .common import slices, text_bytes, written
+from .common import frequent_keys, join_facts, slices, text_bytes, written
 
 LENGTH = 50
 ANCHOR = 32
@@ -527,10 +527,11 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     anything to each other; a row without id counts as one of the largest. An empty table
     gives no rows.
     """
+    long = F.octet_length(text) >= LENGTH
     base = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.xxhash64(text).alias("h1"),
-        F.xxhash64(text, F.lit(1)).alias("h2"),
+        F.when(long, F.xxhash64(text)).alias("h1"),
+        F.when(long, F.xxhash64(text, F.lit(1))).alias("h2"),
         F.col(text).alias("text"),
     )
     shape = "docs binary, sizes binary, h1 array<long>, h2 array<long>, ids array<long>, texts binary"
@@ -538,10 +539,13 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         base.mapInArrow(_chunks, shape).withColumn("chunk", F.monotonically_increasing_id()), "chunks"
     )
     # Whole texts that a smaller document has too need no sorting.
+    # Those without a hash are too short to lose anything.
     rows = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "h1", "h2")).alias("at", "x"))
-    rows = rows.select("chunk", "at", "x.*")
+    rows = rows.select("chunk", "at", "x.*").filter("h1 is not null")
     first = rows.groupBy("h1", "h2").agg(F.min("ids").alias("first"), F.count(F.lit(1)).alias("n"))
-    copies = rows.join(first.filter("n > 1"), ["h1", "h2"]).filter("ids > first")
+    first = materialize(first.filter("n > 1"), "copied-texts")
+    hot = frequent_keys(first, ["h1", "h2"], "n")
+    copies = join_facts(rows, first, ["h1", "h2"], hot).filter("ids > first")
     dropped = copies.groupBy("chunk").agg(F.collect_list(F.col("at").cast("long")).alias("dropped"))
     total = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     expected = total * 2 // (LEFT + 2)
