@@ -540,13 +540,14 @@ def mask(docs: DataFrame, text: str = "text", length: str = "n_chars", put: str
     Overlapping findings are one. A column named ``length`` gets the new number of
     characters of the texts that change. The columns stay the same.
     """
-    found = scan(docs, train(docs, text), text, "__secrets")
-    names = docs.columns
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, text))
 
+    # Found and replaced in one pass, as every further pass would be one more Python
+    # worker beside each task.
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, text, SLICE_BYTES):
             where = batch.schema.get_field_index(text)
-            spans = batch.column(batch.schema.get_field_index("__secrets")).to_pylist()
+            spans = _spans(find(batch.column(where)), sent.value)
             columns = list(batch.columns)
             hit = [i for i, s in enumerate(spans) if s]
             if hit:
@@ -554,16 +555,15 @@ def mask(docs: DataFrame, text: str = "text", length: str = "n_chars", put: str
                 at = batch.schema.get_field_index(length)
                 lengths = columns[at].to_pylist() if at >= 0 else None
                 for i in hit:
-                    texts[i] = _replaced(texts[i], [(s["start"], s["end"]) for s in spans[i]], put)
+                    texts[i] = _replaced(texts[i], [(a, b) for a, b, _ in spans[i]], put)
                     if lengths is not None:
                         lengths[i] = len(texts[i])
                 columns[where] = pa.array(texts, columns[where].type)
                 if lengths is not None:
                     columns[at] = pa.array(lengths, columns[at].type)
-            table = pa.RecordBatch.from_arrays(columns, batch.schema.names)
-            yield table.select(names)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return found.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _replaced(text: str, spans: list[tuple[int, int]], put: str) -> str:
