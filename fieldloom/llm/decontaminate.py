@@ -26,7 +26,7 @@ SHARE = 20
 # Benchmark text that is sent to every executor at once. A larger benchmark is worked
 # off in several rounds of at most so many bytes (or one item) each.
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 
 _REPORT = {
     "n_words": T.LongType(),
