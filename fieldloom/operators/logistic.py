@@ -3,25 +3,59 @@
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clamped_sigmoid
 from ..functions.vectors import as_vector, stored_entries
+from .keyed import fit_by_key
 
 # The settings used on one-hot and on hashed features.
 ONE_HOT_SETTINGS = {"elasticNetParam": 0.0, "regParam": 0.01, "maxIter": 20}
 HASHED_SETTINGS = {"elasticNetParam": 0.7, "regParam": 0.001, "maxIter": 20}
 
+# Models of more coefficients than this are fitted by key if their rows allow it. Below it, a
+# gradient of each partition is small, however many steps there are.
+WIDE = 2**16
+_BY_KEY = {"elasticNetParam", "regParam", "maxIter", "tol", "standardization"}
+
+
+def _fit_by_key(rows: DataFrame, settings: dict, wide: int) -> LogisticRegressionModel | None:
+    """The model fitted by ``fit_by_key``, or None if settings or rows are not for that."""
+    first = rows.select(F.unwrap_udt("features")["size"].alias("size")).first()
+    if first is None or (first["size"] or 0) <= wide or not _BY_KEY.issuperset(settings):
+        return None
+    estimator = LogisticRegression(**settings)
+    penalty = estimator.getRegParam()
+    if estimator.getElasticNetParam() or estimator.getStandardization() or not penalty:
+        return None
+    found = fit_by_key(rows, penalty, estimator.getMaxIter(), estimator.getTol())
+    if found is None:
+        return None
+    spark = rows.sparkSession
+    java = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel
+    weights = _py2java(spark.sparkContext, Vectors.dense(found[1]))
+    model = LogisticRegressionModel(java(estimator.uid, weights, found[0]))
+    for name, value in settings.items():
+        model.set(model.getParam(name), value)
+    return model
+
 
 def fit_logistic(
-    train: DataFrame, features: str = "features", label: str = "label", **settings
+    train: DataFrame, features: str = "features", label: str = "label", wide: int = WIDE, **settings
 ) -> LogisticRegressionModel:
-    """Fit without feature scaling, by the one-hot settings unless overridden."""
+    """Fit without feature scaling, by the one-hot settings unless overridden.
+
+    Each step of Spark's solver shuffles a gradient over all coefficients for each
+    partition. A model of more than ``wide`` coefficients without L1 penalty, whose rows
+    have one wide index each, is fitted by key in place of that (see ``fit_by_key``).
+    """
     chosen = {"standardization": False, **ONE_HOT_SETTINGS, **settings}
     rows = train.select(as_vector(train, features).alias("features"), F.col(label).alias("label"))
-    return LogisticRegression(**chosen).fit(rows)
+    return _fit_by_key(rows, chosen, wide) or LogisticRegression(**chosen).fit(rows)
 
 
 def fit_logistic_hashed(
