@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +25,14 @@ _BY_KEY = {"elasticNetParam", "regParam", "maxIter", "tol", "standardization"}
 
 def _fit_by_key(rows: DataFrame, settings: dict, wide: int) -> LogisticRegressionModel | None:
     """The model fitted by ``fit_by_key``, or None if settings or rows are not for that."""
-    first = rows.select(F.unwrap_udt("features")["size"].alias("size")).first()
-    if first is None or (first["size"] or 0) <= wide or not _BY_KEY.issuperset(settings):
-        return None
     estimator = LogisticRegression(**settings)
     penalty = estimator.getRegParam()
-    if estimator.getElasticNetParam() or estimator.getStandardization() or not penalty:
+    if not _BY_KEY.issuperset(settings) or estimator.getStandardization():
+        return None
+    if estimator.getElasticNetParam() or not penalty:
+        return None
+    first = rows.select(F.unwrap_udt("features")["size"].alias("size")).first()
+    if first is None or (first["size"] or 0) <= wide:
         return None
     found = fit_by_key(rows, penalty, estimator.getMaxIter(), estimator.getTol())
     if found is None:
@@ -55,7 +57,10 @@ def fit_logistic(
     """
     chosen = {"standardization": False, **ONE_HOT_SETTINGS, **settings}
     rows = train.select(as_vector(train, features).alias("features"), F.col(label).alias("label"))
-    return _fit_by_key(rows, chosen, wide) or LogisticRegression(**chosen).fit(rows)
+    # Arrays become dense vectors, in which no index is a row's own.
+    sparse = isinstance(train.schema[features].dataType, VectorUDT)
+    model = _fit_by_key(rows, chosen, wide) if sparse else None
+    return model or LogisticRegression(**chosen).fit(rows)
 
 
 def fit_logistic_hashed(
