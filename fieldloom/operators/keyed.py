@@ -15,33 +15,33 @@ _SHARED_ROWS = 1 / 128
 _REST = 2**20
 
 
-def _varied_place(rows: DataFrame) -> int | None:
-    """The place among the stored entries of a row where most different indices stand."""
-    places = rows.select(F.posexplode("indices").alias("place", "idx")).groupBy("place")
-    counts = places.agg(F.approx_count_distinct("idx").alias("n"))
-    first = counts.orderBy(F.desc("n"), "place").first()
-    return first["place"] if first else None
-
-
-def _shared_indices(rows: DataFrame, place: int, total: int) -> np.ndarray | None:
-    """The indices that stand at another place in some row, or in very many rows; None if
-    they are more than ``MAX_SHARED``."""
-    entries = rows.select(F.posexplode("indices").alias("place", "idx"))
-    counts = entries.groupBy("idx").agg(
-        F.count(F.lit(1)).alias("n"), F.min("place").alias("low"), F.max("place").alias("high")
-    )
-    other = (F.col("low") != place) | (F.col("high") != place) | (F.col("n") > total * _SHARED_ROWS)
-    found = counts.filter(other).select("idx").limit(MAX_SHARED + 1).collect()
-    if len(found) > MAX_SHARED:
+def _own_indices(shared: np.ndarray) -> Column:
+    """The row's indices that are not shared."""
+    known = F.array(*[F.lit(int(i)) for i in shared]).cast("array<int>")
+    return F.array_except("indices", known)
+
+
+def _shared_indices(rows: DataFrame, total: int) -> np.ndarray | None:
+    """Frequent indices without which no row has more than one, or None.
+
+    Those of very many rows if that is enough, else the ``MAX_SHARED`` most frequent ones.
+    """
+    counts = rows.select(F.explode("indices").alias("idx")).groupBy("idx").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), "idx").limit(MAX_SHARED + 1).collect()
+    hot = [row["idx"] for row in top if row["n"] > total * _SHARED_ROWS]
+    if len(hot) > MAX_SHARED:
         return None
-    return np.array(sorted(row["idx"] for row in found), dtype=np.int64)
+    for chosen in (hot, [row["idx"] for row in top[:MAX_SHARED]]):
+        shared = np.array(sorted(chosen), dtype=np.int64)
+        if (rows.agg(F.max(F.size(_own_indices(shared)))).first()[0] or 0) <= 1:
+            return shared
+    return None
 
 
-def _own_index(place: int, shared: np.ndarray) -> Column:
-    """The row's index at ``place``, or a negative number if that one is shared or missing."""
-    key = F.get("indices", F.lit(place))
+def _key(shared: np.ndarray) -> Column:
+    """The row's own index, or a negative number if all of its indices are shared."""
     rest = -1 - F.pmod(F.xxhash64("indices", "values"), F.lit(_REST)).cast("int")
-    return F.when(key.isNull() | key.isin([int(i) for i in shared]), rest).otherwise(key)
+    return F.coalesce(F.get(_own_indices(shared), F.lit(0)), rest)
 
 
 def fit_by_key(
@@ -73,11 +73,10 @@ def fit_by_key(
         return None
     if counts["sparse"] != total or counts["least"] != counts["size"]:
         return None
-    place = _varied_place(rows)
-    shared = None if place is None else _shared_indices(rows, place, total)
+    shared = _shared_indices(rows, total)
     if shared is None:
         return None
-    keyed = rows.select(_own_index(place, shared).alias("key"), "label", "indices", "values")
+    keyed = rows.select(_key(shared).alias("key"), "label", "indices", "values")
     grouped = keyed.repartition("key").sortWithinPartitions("key").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         start = np.zeros(len(shared) + 1)

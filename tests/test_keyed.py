@@ -49,6 +49,21 @@ def test_model_of_the_operator(spark):
     assert max(r.excess for r in optimality(df, model).collect()) < 1e-6
 
 
+def test_keys_at_any_place_of_the_row(spark):
+    """Where a field is missing, the key moves up among the entries."""
+    draw = np.random.default_rng(6)
+    rows = []
+    for i in range(1200):
+        names = [int(draw.integers(3))] if i % 10 else []
+        names += [3 + int(draw.integers(4)) if i % 9 else 7 + int(draw.integers(4))]
+        key = 11 + int(draw.integers(300)) + 300 * (i % 10 == 0)
+        rows.append((float(draw.random() < 0.4), Vectors.sparse(611, {k: 1.0 for k in [*names, key]})))
+    df = spark.createDataFrame(rows, ["label", "features"])
+    model = fit_logistic(df, wide=10, maxIter=100, tol=1e-14)
+    assert not model.hasSummary
+    assert max(r.excess for r in optimality(df, model).collect()) < 1e-6
+
+
 def test_other_rows_are_left_to_the_solver(spark):
     df = keyed_rows(spark, 300)
     assert fit_logistic(df, wide=10, elasticNetParam=0.5).hasSummary
